@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from mudlark.llm import best_fit_packing, quality_rules
+from mudlark.llm import best_fit_packing, fingerprints, quality_rules
 
-MODULES = (best_fit_packing, quality_rules)
+MODULES = (best_fit_packing, fingerprints, quality_rules)
 
 
 def queries() -> dict:
