@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from mudlark.llm import best_fit_packing, fingerprints, quality_rules
+from mudlark.llm import best_fit_packing, fingerprints, quality_rules, token_counts
 
-MODULES = (best_fit_packing, fingerprints, quality_rules)
+MODULES = (best_fit_packing, fingerprints, quality_rules, token_counts)
 
 
 def queries() -> dict:
