@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from mudlark.llm import best_fit_packing, fingerprints, minhash_dedup, quality_rules, token_counts
+from mudlark.llm import best_fit_packing, fingerprints, line_dedup, minhash_dedup, quality_rules, token_counts
 
-MODULES = (best_fit_packing, fingerprints, minhash_dedup, quality_rules, token_counts)
+MODULES = (best_fit_packing, fingerprints, line_dedup, minhash_dedup, quality_rules, token_counts)
 
 
 def queries() -> dict:
