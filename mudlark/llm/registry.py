@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from mudlark.llm import best_fit_packing, fingerprints, line_dedup, minhash_dedup, quality_rules, token_counts
+from mudlark.llm import best_fit_packing, fingerprints, language_id, line_dedup, minhash_dedup, quality_rules, source_mixing, token_counts
 
-MODULES = (best_fit_packing, fingerprints, line_dedup, minhash_dedup, quality_rules, token_counts)
+MODULES = (best_fit_packing, fingerprints, language_id, line_dedup, minhash_dedup, quality_rules, source_mixing, token_counts)
 
 
 def queries() -> dict:
