@@ -1,9 +1,10 @@
 """Token counts without ids: the pieces of every distinct pre-token are counted once, joined to the documents'
 pre-token frequencies, and summed.
 
-The frequencies are kept as postings: one row for each pre-token of a task's documents, which lists the
-documents and how often each holds it. So a pre-token that stands in every document is one row for each task,
-not for each document, and texts are never shuffled.
+The frequencies are kept as postings: for each pre-token of a task's documents a list of the documents and how
+often each holds it. The postings are dealt out by buckets of pre-tokens; there each distinct one is counted once
+and joined to all its postings. A pre-token that stands in every document has one list for each task, and texts
+are never shuffled.
 
 Defined results: a null text counts as empty (0 tokens); every input row is counted on its own, also rows with
 equal or null ids; an empty table gives no rows; extra columns are not carried; texts are counted whole.
@@ -12,6 +13,7 @@ equal or null ids; an empty table gives no rows; extra columns are not carried;
 from __future__ import annotations
 
 import threading
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import partial
@@ -31,8 +33,8 @@ _SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
 PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 _LOCAL = threading.local()
 
-ROWS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("special", pa.int64()), ("pre_token", pa.binary()), ("docs", pa.binary()), ("counts", pa.binary())])
-ROWS_KIND = "row long, doc_id long, n_bytes long, special long, pre_token binary, docs binary, counts binary"
+PACKS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("special", pa.int64()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("text", "lens", "holders", "docs", "counts")]])
+PACKS_KIND = "row long, doc_id long, n_bytes long, special long, bucket int, text binary, lens binary, holders binary, docs binary, counts binary"
 
 
 def load(tokenizer_name: str):
@@ -45,63 +47,73 @@ def load(tokenizer_name: str):
     return _LOCAL.tokenizer
 
 
-def _postings(batches: Iterator[pa.RecordBatch], specials: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
-    """Rows of two kinds: one for each document, one for each pre-token of up to POSTED characters of documents."""
+def _frequencies(text: str, find, cut, specials: tuple[str, ...]) -> tuple[Counter, int]:
+    """A text's pre-tokens and how often each stands in it, and its special strings."""
+    if cut and any(s in text for s in specials):
+        counts: Counter = Counter()
+        for part in cut.split(text):
+            counts.update(find(part))
+        return counts, len(cut.findall(text))
+    return Counter(find(text)), 0
+
+
+def _packed(base: int, held: dict[str, list[int]], buckets: int) -> pa.RecordBatch:
+    """A row for each bucket of pre-tokens: their bytes end to end and lengths, how many postings each has, and the
+    postings: places of documents after ``base`` and counts up to 255 (a larger one is several postings)."""
+    packs = defaultdict(lambda: ([], [], []))
+    for token, postings in held.items():
+        data = token.encode()
+        tokens, docs, counts = packs[zlib.crc32(data) % buckets]
+        tokens.append((data, len(postings) // 2))
+        docs += postings[0::2]
+        counts += postings[1::2]
+    rows = []
+    for bucket, (tokens, docs, counts) in packs.items():
+        rows.append((bucket, b"".join([t for t, _ in tokens]), np.array([len(t) for t, _ in tokens], dtype="<u4").tobytes(), np.array([n for _, n in tokens], dtype="<u2").tobytes(), np.array(docs, dtype="<u2").tobytes(), bytes(counts)))
+    nothing = pa.nulls(len(rows), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array([base] * len(rows), type=pa.int64()), nothing, nothing, nothing, *[pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), list(PACKS)[4:], strict=True)]], schema=PACKS)
+
+
+def _postings(batches: Iterator[pa.RecordBatch], specials: tuple[str, ...], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows of two kinds: one for each document, and packs of the pre-tokens of up to POSTED characters of documents."""
     import regex
 
     find, cut = regex.compile(PRE_TOKEN).findall, regex.compile("|".join(map(regex.escape, specials))) if specials else None
     row = TaskContext.get().partitionId() << 33
 
     def flush(docs, held):
-        nothing = [None] * len(docs)
-        yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in docs], type=pa.int64()) for i in range(4)] + [pa.array(nothing, type=pa.binary())] * 3, schema=ROWS)
-        keys = list(held)
-        for at in range(0, len(keys), 20_000):
-            some = keys[at : at + 20_000]
-            base = docs[0][0]
-            columns = [pa.array([base] * len(some), type=pa.int64()), *[pa.nulls(len(some), pa.int64())] * 3, pa.array([k.encode() for k in some], type=pa.binary())]
-            columns.append(pa.array([np.array(held[k][0::2], dtype="<u4").tobytes() if len(held[k]) > 2 else held[k][0].to_bytes(4, "little") for k in some], type=pa.binary()))
-            columns.append(pa.array([b"" if max(c := held[k][1::2]) == 1 else np.array(c, dtype="<u4").tobytes() if max(c) > 255 else bytes(c) for k in some], type=pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, schema=ROWS)
+        yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in docs], type=pa.int64()) for i in range(4)] + [pa.nulls(len(docs), f.type) for f in list(PACKS)[4:]], schema=PACKS)
+        if held:
+            yield _packed(docs[0][0], held, buckets)
 
     docs, held, size = [], defaultdict(list), 0
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             text = text or ""
-            special = 0
-            if cut and any(s in text for s in specials):
-                special = len(cut.findall(text))
-                counts: Counter = Counter()
-                for part in cut.split(text):
-                    counts.update(find(part))
-            else:
-                counts = Counter(find(text))
+            counts, special = _frequencies(text, find, cut, specials)
             place = len(docs)
-            for k, n in counts.items():
-                held[k] += (place, n)
+            for token, n in counts.items():
+                while n > 255:
+                    held[token] += (place, 255)
+                    n -= 255
+                held[token] += (place, n)
             docs.append((row, doc_id, len(text.encode()), special))
             row, size = row + 1, size + len(text)
-            if size > POSTED:
+            if size > POSTED or len(docs) >= 60_000:
                 yield from flush(docs, held)
                 docs, held, size = [], defaultdict(list), 0
     if docs:
         yield from flush(docs, held)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], tokenizer_name: str) -> Iterator[pa.RecordBatch]:
-    """The number of pieces of each pre-token: the merges applied to its byte letters."""
+def _sums(batches: Iterator[pa.RecordBatch], tokenizer_name: str) -> Iterator[pa.RecordBatch]:
+    """Tokens of each document, from packs sorted by bucket: the pieces of each distinct pre-token of a bucket are
+    counted once, by the merges applied to its byte letters, and joined to its postings."""
     from mudlark.llm.best_fit_packing import byte_letters
 
     visible, merge = byte_letters(), load(tokenizer_name).model.tokenize
-    for batch in batches:
-        n = [len(merge(k.decode("latin-1").translate(visible))) for k in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, type=pa.int32())], names=["pre_token", "pieces"])
-
-
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of each document from the joined postings: sums of what this task has seen of it."""
     held: dict[int, np.ndarray] = {}
-    size = 0
+    bucket, known, size = None, {}, 0
 
     def flush():
         for base, total in held.items():
@@ -109,18 +121,18 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(base + at), pa.array(total[at])], names=["row", "n"])
 
     for batch in batches:
-        bases = batch.column(0).to_numpy()
-        pieces = batch.column(3).to_numpy()
-        docs, counts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        order = np.argsort(bases, kind="stable")
-        edges = np.flatnonzero(np.diff(bases[order], prepend=-1))
-        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)], strict=True):
-            some = order[a:b].tolist()
-            base = int(bases[some[0]])
-            place = np.frombuffer(b"".join([docs[i] for i in some]), dtype="<u4").astype(np.int64)
-            lens = np.array([len(docs[i]) // 4 for i in some])
-            n = np.concatenate([np.frombuffer(c, dtype="<u4" if len(c) == 4 * m > 0 and m else np.uint8).astype(np.int64) if (c := counts[i]) else np.ones(m, dtype=np.int64) for i, m in zip(some, lens.tolist(), strict=True)])
-            got = np.bincount(place, weights=n * np.repeat(pieces[some].astype(np.int64), lens)).astype(np.int64)
+        for base, own, text, lens, holders, docs, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if own != bucket:
+                bucket, known = own, {}
+            pieces, at = [], 0
+            for n in np.frombuffer(lens, dtype="<u4").tolist():
+                token = text[at : at + n]
+                at += n
+                if (k := known.get(token)) is None:
+                    k = known[token] = len(merge(token.decode("latin-1").translate(visible)))
+                pieces.append(k)
+            weight = np.repeat(np.array(pieces), np.frombuffer(holders, dtype="<u2")) * np.frombuffer(counts, dtype=np.uint8)
+            got = np.bincount(np.frombuffer(docs, dtype="<u2"), weights=weight).astype(np.int64)
             if (old := held.get(base)) is None or len(old) < len(got):
                 grown = np.zeros(len(got), dtype=np.int64)
                 if old is not None:
@@ -137,11 +149,11 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def token_counts(docs: DataFrame, tokenizer_name: str = "byte_bpe_50k.json", specials: tuple[str, ...] = ("<|endoftext|>",), limit: int = 1024) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row. ``specials`` are the vocabulary's special strings,
     each one token wherever it stands in a text."""
-    rows = materialise(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_postings, specials=specials), ROWS_KIND), "postings")
-    posted = rows.where("pre_token is not null")
-    pieces = posted.select("pre_token").distinct().mapInArrow(partial(_pieces, tokenizer_name=tokenizer_name), "pre_token binary, pieces int")
-    sums = posted.join(pieces, "pre_token").select("row", "docs", "counts", "pieces").mapInArrow(_sums, "row long, n long").groupBy("row").agg(F.sum("n").alias("n"))
-    documents = rows.where("pre_token is null").select("row", "doc_id", "n_bytes", "special")
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialise(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_postings, specials=specials, buckets=buckets), PACKS_KIND), "postings")
+    packs = rows.where("bucket is not null").select("row", "bucket", "text", "lens", "holders", "docs", "counts")
+    sums = packs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(partial(_sums, tokenizer_name=tokenizer_name), "row long, n long").groupBy("row").agg(F.sum("n").alias("n"))
+    documents = rows.where("bucket is null").select("row", "doc_id", "n_bytes", "special")
     n = F.coalesce("n", F.lit(0)) + F.col("special")
     return documents.join(sums, "row", "left").select("doc_id", "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"))
 
