@@ -7,9 +7,11 @@ probability is the product of its decisions' mixtures over all depths, from the
 context seen in training.
 
 How it runs: documents are dealt into blocks by a hash of their id. A block gives its distinct n-grams (context
-and byte) with their training counts. These are summed over the blocks, the trees are built level by level with
-grouped sums, all n-grams asked for are scored once, and the scores go back to the blocks that hold them, where
-each text is read off. Nothing is broadcast or sent to the driver; a block's table is bounded by its bytes.
+and byte) with their training counts, in packs by bucket; a bucket holds all n-grams whose contexts end in the same
+bytes, so whole subtrees. There the trees' lower levels are built, the few levels above are grouped sums over
+all buckets, and every distinct n-gram is scored once. The scores go back to the blocks that asked, where each text
+is read off. Nothing is broadcast or sent to the driver; a block's table is bounded by its bytes, a bucket's by
+the number of contexts that share an ending.
 
 Defined results: a null text counts as empty: its score is that of the end sign at the start of a text; rows with
 equal or null ids are scored on their own (a null id is training data); an empty table gives no rows; without
@@ -29,14 +31,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mudlark.llm.common import materialise, read_table
-from mudlark.llm.shingles import _LOWER, in_slices, word_hashes
+from mudlark.llm.shingles import _LOWER, in_slices, mixed, word_hashes
 
 #: Bytes of context.
-DEPTH = 4
+DEPTH = 5
 #: Sign of the end of a text, and of what is before its start: a byte that UTF-8 never has.
 END = 0xFF
 #: Bytes of text in a block, about.
-BLOCK = 16 << 20
+BLOCK = 32 << 20
 
 
 def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -59,36 +61,162 @@ def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarra
 
 #: Kinds of keys of a block's table: n-grams of bytes, and words.
 GRAM, WORD = 0, 1
-TABLE = ["block", "kind", "key", "train"]
+PACK = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("train", pa.binary())])
+PACK_KIND = "block int, kind int, bucket int, keys binary, train binary"
+#: Bytes of context that the subtrees of a bucket share: the levels above are summed over all buckets.
+TOP = 3
 
 
-def _counted(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
-    """``block, kind, key, train``: distinct grams and words of the blocks' texts in this task, with their
-    training counts."""
-    held: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
-    size = 0
+def _bucket(kind: int, keys: np.ndarray, depth: int, buckets: int) -> np.ndarray:
+    """The bucket of a gram is that of its last TOP context bytes, so that whole subtrees meet."""
+    if kind == GRAM:
+        keys = (keys >> 8) & ((1 << (8 * min(TOP, depth))) - 1)
+    return (mixed(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _tables(texts: list[bytes], depth: int) -> dict[int, np.ndarray]:
+    return {GRAM: grams(texts, depth)[0], WORD: word_hashes(texts)[0].view(np.int64)}
+
+
+def _counted(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Packs of the distinct grams and words of each block's texts, with their training counts; rows come sorted
+    by block. Keys are in ascending order inside a pack."""
+    at, held, size = None, {GRAM: [], WORD: []}, 0
+
+    def merged(kind):
+        key, back = np.unique(np.concatenate([p[0] for p in held[kind]]), return_inverse=True)
+        return key, np.bincount(back, weights=np.concatenate([p[1] for p in held[kind]])).astype(np.int64)
 
     def flush():
-        for (block, kind), parts in held.items():
-            key, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            n = np.bincount(at, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), block, dtype=np.int32)), pa.array(np.full(len(key), kind, dtype=np.int32)), pa.array(key), pa.array(n)], names=TABLE)
+        for kind in (GRAM, WORD):
+            key, n = merged(kind)
+            where = _bucket(kind, key, depth, buckets)
+            order = np.argsort(where, kind="stable")
+            key, n, where = key[order], n[order], where[order]
+            edges = np.flatnonzero(np.diff(where, prepend=-1))
+            rows = [(at, kind, int(where[a]), key[a:b].tobytes(), n[a:b].astype("<u8" if n[a:b].max() >> 32 else "<u4").tobytes()) for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(key)], strict=True)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), PACK, strict=True)], schema=PACK)
 
     for batch in batches:
         block, held_out = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
         texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
-        for b in np.unique(block):
+        for b in np.unique(block).tolist():
+            if b != at:
+                if at is not None:
+                    yield from flush()
+                at, held, size = b, {GRAM: [], WORD: []}, 0
             for out in (False, True):
                 own = [texts[i] for i in np.flatnonzero((block == b) & (held_out == out))]
                 for part in in_slices(own):
-                    for kind, keys in ((GRAM, grams(own[part], depth)[0]), (WORD, word_hashes(own[part])[0].view(np.int64))):
+                    for kind, keys in _tables(own[part], depth).items():
                         key, n = np.unique(keys, return_counts=True)
-                        held.setdefault((int(b), kind), []).append((key, n * (not out)))
+                        held[kind].append((key, n * (not out)))
                         size += len(key)
-        if size > 6_000_000:
-            yield from flush()
-            held, size = {}, 0
-    yield from flush()
+                    if size > 8_000_000:
+                        for kind in (GRAM, WORD):
+                            held[kind] = [merged(kind)]
+                        size = sum(len(held[k][0][0]) for k in held) // 2
+    if at is not None:
+        yield from flush()
+
+
+def _unpacked(keys: bytes, train: bytes) -> tuple[np.ndarray, np.ndarray]:
+    k = np.frombuffer(keys, dtype=np.int64)
+    return k, np.frombuffer(train, dtype="<u4" if len(train) == 4 * len(k) else "<u8").astype(np.int64)
+
+
+def _log_gamma_array(x: np.ndarray) -> np.ndarray:
+    """Natural logarithm of gamma for x >= 1/2: Stirling's series seven steps up."""
+    y = x + 7
+    low = np.log(x * (x + 1) * (x + 2) * (x + 3)) + np.log((x + 4) * (x + 5) * (x + 6))
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - low
+
+
+def _subtrees(gram: np.ndarray, n: np.ndarray, depth: int, top: int) -> list[tuple]:
+    """The levels from ``depth`` up to ``top`` of the trees over these grams (all below their ``top`` contexts): per
+    level the nodes, their counts, log mixture, share of their own estimate, that estimate, and each node's place
+    in the level above. A node's number is its context's bytes, then the byte's decisions so far behind a 1.
+    Grams of count 0 are nodes of probability 1/2, which change no mixture."""
+    byte = gram & 255
+    step = np.arange(8)
+    path = ((byte | 256)[:, None] >> (8 - step)).ravel()
+    bit = ((byte[:, None] >> (7 - step)) & 1).ravel()
+    node, back = np.unique(((gram >> 8) << 8).repeat(8) | path, return_inverse=True)
+    each = n.repeat(8)
+    total, ones = np.bincount(back, weights=each), np.bincount(back, weights=each * bit)
+    levels, below, first = [], None, back
+    for d in range(depth, top - 1, -1):
+        zeros = total - ones
+        kt = _log_gamma_array(zeros + 0.5) + _log_gamma_array(ones + 0.5) - _log_gamma_array(total + 1) - math.log(math.pi)
+        if below is None:
+            mix, own = kt, np.ones(len(kt))
+        else:
+            mix = np.logaddexp(kt, below) - math.log(2)
+            own = np.exp(kt - mix - math.log(2))
+        up, back = np.unique(node & ((1 << (8 * d)) - 1), return_inverse=True) if d > top else (None, None)
+        levels.append((node, total, ones, mix, own, (ones + 0.5) / (total + 1), back))
+        if d > top:
+            node, below = up, np.bincount(back, weights=mix)
+            total, ones = np.bincount(back, weights=total), np.bincount(back, weights=ones)
+    return [(first, bit), *levels]
+
+
+def _merged_grams(packs: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    both = [_unpacked(k, t) for k, t in packs]
+    gram, back = np.unique(np.concatenate([k for k, _ in both]), return_inverse=True)
+    return gram, np.bincount(back, weights=np.concatenate([t for _, t in both])).astype(np.int64)
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], list[tuple]]]:
+    """Rows sorted by kind and bucket, gathered by these (columns 1 and 2)."""
+    at, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (row[1], row[2]) != at:
+                if rows:
+                    yield at, rows
+                at, rows = (row[1], row[2]), []
+            rows.append(row)
+    if rows:
+        yield at, rows
+
+
+def _tops(batches: Iterator[pa.RecordBatch], depth: int, top: int) -> Iterator[pa.RecordBatch]:
+    """The ``top`` level of a bucket's subtrees; of words, how many are known and their training tokens."""
+    names = ["kind", "bucket", "node", "n", "n1", "mix", "own", "p"]
+    for (kind, bucket), rows in _by_bucket(batches):
+        key, n = _merged_grams([(r[3], r[4]) for r in rows])
+        if kind == GRAM:
+            node, total, ones, mix, own, p, _ = _subtrees(key, n, depth, top)[-1]
+        else:
+            node, total, ones = np.zeros(1, dtype=np.int64), np.array([n.sum()], dtype=float), np.array([(n > 0).sum()], dtype=float)
+            mix = own = p = np.zeros(1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), kind, dtype=np.int32)), pa.array(np.full(len(node), bucket, dtype=np.int32)), pa.array(node), pa.array(total.astype(np.int64)), pa.array(ones.astype(np.int64)), pa.array(mix), pa.array(own), pa.array(p)], names=names)
+
+
+def _answers(batches: Iterator[pa.RecordBatch], depth: int, top: int) -> Iterator[pa.RecordBatch]:
+    """For every pack the values of its keys in their order: of grams the log10 probability, of words the count.
+    A row of ``block`` -1 holds what the levels down to ``top`` have said of the bucket's nodes."""
+    for (kind, bucket), rows in _by_bucket(batches):
+        packs = [r for r in rows if r[0] >= 0]
+        key, n = _merged_grams([(r[3], r[4]) for r in packs])
+        if kind == GRAM:
+            (place, bit), *levels = _subtrees(key, n, depth, top)
+            said = np.zeros(len(levels[-1][0]))
+            rest = np.zeros(len(levels[-1][0]))
+            for r in rows:
+                if r[0] < 0:
+                    k = np.searchsorted(levels[-1][0], np.frombuffer(r[3], dtype=np.int64))
+                    said[k], rest[k] = np.frombuffer(r[4], dtype=np.float64).reshape(2, -1)
+            for _, _, _, _, own, p, back in reversed(levels[:-1]):
+                said, rest = said[back] + rest[back] * own * p, rest[back] * (1 - own)
+            p1 = said[place]  # the leaves' own share is 1: nothing rests
+            value = np.log10(np.where(bit == 1, p1, 1 - p1)).reshape(-1, 8).sum(axis=1)
+        else:
+            value = n.astype(float)
+        out = [(r[0], kind, bucket, value[np.searchsorted(key, np.frombuffer(r[3], dtype=np.int64))].astype("<f4" if kind == GRAM else "<f8").tobytes()) for r in packs]
+        yield pa.RecordBatch.from_arrays([*[pa.array([o[i] for o in out], type=pa.int32()) for i in range(3)], pa.array([o[3] for o in out], type=pa.binary())], names=["block", "kind", "bucket", "value"])
 
 
 def _log_gamma(x: Column) -> Column:
@@ -103,76 +231,52 @@ def _log_sum(a: Column, b: Column) -> Column:
     return F.greatest(a, b) + F.log1p(F.exp(-F.abs(a - b)))
 
 
-def _decisions() -> Column:
-    """The eight decisions of a gram's byte: ``path``, those made so far behind a leading 1, and the ``bit``."""
-    byte = F.col("gram").bitwiseAND(F.lit(255)).cast("int")
-    shift = lambda x, by: F.call_function("shiftright", x, by)
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(7)),
-        lambda i: F.struct(shift(byte.bitwiseOR(F.lit(256)), F.lit(8) - i).cast("long").alias("path"), shift(byte, F.lit(7) - i).bitwiseAND(F.lit(1)).alias("bit")),
-    )
-
-
-def trees(counts: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
-    """Per depth ``node, p1``: the mixture's probability of a 1 at the nodes, as the deepest context seen.
-
-    ``counts(gram, n)``. A node's number is its context's bytes, then the decisions made so far behind a
-    leading 1. Levels are built from the leaves to the root, then weights are handed down."""
-    bits = F.explode(_decisions())
-    level = counts.select((F.shiftright("gram", 8)).alias("context"), bits.alias("b"), "n")
-    level = level.groupBy((F.col("context") * 256 + F.col("b.path")).alias("node")).agg(F.sum(F.when(F.col("b.bit") == 1, F.col("n")).otherwise(0)).alias("n1"), F.sum("n").alias("n"))
-    # children's part of a node's mixture; leaves have none
-    level = level.withColumn("below", F.lit(None).cast("double"))
-    levels = []
-    for d in range(depth, -1, -1):
+def _handed(tops: DataFrame, top: int) -> DataFrame:
+    """``bucket, node, said, rest`` at depth ``top``: the part of a decision's probability that the levels down to
+    there have said, and the weight that rests for those below. Sums over the contexts above, level by level."""
+    levels, level = [tops], tops
+    for d in range(top, 0, -1):
+        # the parent's context lacks the first byte
+        level = level.groupBy(F.col("node").bitwiseAND(F.lit((1 << (8 * d)) - 1)).alias("node")).agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"), F.sum("mix").alias("below"))
         n0, n1 = (F.col("n") - F.col("n1")).cast("double"), F.col("n1").cast("double")
         kt = _log_gamma(n0 + 0.5) + _log_gamma(n1 + 0.5) - _log_gamma(n0 + n1 + 1) - math.log(math.pi)
-        level = level.withColumn("kt", kt).withColumn("mix", F.when(F.col("below").isNull(), F.col("kt")).otherwise(_log_sum(F.col("kt"), F.col("below")) - math.log(2)))
-        # share of a node's own estimate in its mixture
-        own = F.when(F.col("below").isNull(), F.lit(1.0)).otherwise(F.exp(F.col("kt") - F.col("mix") - math.log(2)))
-        level = materialise(level.select("node", "n", "n1", "mix", own.alias("own"), ((n1 + 0.5) / (n0 + n1 + 1)).alias("p")), f"level{d}")
-        levels.insert(0, level)
-        if d:
-            # drop the context's first byte
-            parent = F.col("node").bitwiseAND(F.lit((1 << (8 * d)) - 1))
-            level = level.groupBy(parent.alias("node")).agg(F.sum("n1").alias("n1"), F.sum("n").alias("n"), F.sum("mix").alias("below"))
-    out, above = [], None
-    for d, level in enumerate(levels):
+        level = level.withColumn("kt", kt).withColumn("mix", _log_sum(F.col("kt"), F.col("below")) - math.log(2))
+        level = level.select("node", "n", "n1", "mix", F.exp(F.col("kt") - F.col("mix") - math.log(2)).alias("own"), ((n1 + 0.5) / (n0 + n1 + 1)).alias("p"))
+        level = materialise(level, "level")
+        levels.append(level)
+    above = None
+    for d, level in enumerate(reversed(levels)):
         if above is None:
-            level = level.select("node", "own", "p", F.lit(0.0).alias("said"), F.lit(1.0).alias("rest"))
+            level = level.withColumns({"said": F.lit(0.0), "rest": F.lit(1.0)})
         else:
-            level = level.select(F.col("node").bitwiseAND(F.lit((1 << (8 * d)) - 1)).alias("up"), "node", "own", "p").join(above.select(F.col("node").alias("up"), "said", "rest"), "up")
+            level = level.withColumn("up", F.col("node").bitwiseAND(F.lit((1 << (8 * d)) - 1))).join(above.select(F.col("node").alias("up"), "said", "rest"), "up")
         said, rest = F.col("said") + F.col("rest") * F.col("own") * F.col("p"), F.col("rest") * (1 - F.col("own"))
-        above = materialise(level.select("node", said.alias("said"), rest.alias("rest")), f"handed{d}")
-        out.append(above.select("node", (F.col("said") + F.col("rest") * 0.5).alias("p1")))
-    return out
-
-
-def gram_scores(wanted: DataFrame, levels: list[DataFrame], depth: int = DEPTH) -> DataFrame:
-    """``gram, score``: log10 probability of the byte after its context, for the distinct grams ``wanted(gram)``."""
-    rows = wanted.select("gram", F.shiftright("gram", 8).alias("context"), F.explode(_decisions()).alias("b"))
-    rows = rows.select("gram", (F.col("context") * 256 + F.col("b.path")).alias("node"), F.col("b.bit").alias("bit"))
-    best = None
-    for d in range(depth, -1, -1):
-        at = F.col("node").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1))
-        rows = rows.withColumn("at", at).join(levels[d].select(F.col("node").alias("at"), F.col("p1").alias(f"p{d}")), "at", "left").drop("at")
-        best = F.col(f"p{d}") if best is None else F.coalesce(best, F.col(f"p{d}"))
-    p1 = F.coalesce(best, F.lit(0.5))
-    return rows.groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, p1).otherwise(1 - p1))).alias("score"))
+        above = level.select(*(["bucket"] if "bucket" in level.columns else []), "node", said.alias("said"), rest.alias("rest"))
+    return above
 
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long"
 
 
-def _read_off(docs: pd.DataFrame, table: pd.DataFrame, depth: int, end_count: int) -> pd.DataFrame:
-    """A block's texts read off its table: the score of each, and the baseline's sum of log10(count + 1/2)."""
+def _read_off(docs: pd.DataFrame, table: pd.DataFrame, depth: int, buckets: int, end_count: int) -> pd.DataFrame:
+    """A block's texts read off the answers: the score of each, and the baseline's sum of log10(count + 1/2). The
+    answers of a bucket are in the order of the block's keys, which the texts give again."""
+    texts = [(t or "").encode() for t in docs["text"]]
+    parts = in_slices(texts)
+    found = {GRAM: [], WORD: []}
+    for part in parts:
+        for kind, keys in _tables(texts[part], depth).items():
+            found[kind].append(np.unique(keys))
     look = {}
     for kind in (GRAM, WORD):
-        own = table[table["kind"] == kind].sort_values("key")
-        look[kind] = own["key"].to_numpy(), own["value"].to_numpy()
-    texts = [(t or "").encode() for t in docs["text"]]
+        keys = np.unique(np.concatenate(found[kind]))
+        where = _bucket(kind, keys, depth, buckets)
+        own = table[table["kind"] == kind].sort_values("bucket")
+        value = np.empty(len(keys))
+        value[np.argsort(where, kind="stable")] = np.frombuffer(b"".join(own["value"]), dtype="<f4" if kind == GRAM else "<f8")
+        look[kind] = keys, value
     score, base, known, tokens = ([np.zeros(0)] for _ in range(4))
-    for part in in_slices(texts):
+    for part in parts:
         keys, values = look[GRAM]
         g, lens = grams(texts[part], depth)
         score.append(np.add.reduceat(values[np.searchsorted(keys, g)], np.cumsum(lens) - lens))
@@ -195,20 +299,23 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     words and an end token, ``bits_per_byte`` the tree model's code length."""
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     blocks = max(1, math.ceil(size / BLOCK))
+    buckets, top = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(TOP, depth)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("held_out", F.lit(False)).alias("held_out"), F.col("text").cast("string"))
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).cast("int"))
-    dealt = docs.select("block", "held_out", "text").repartition("block")
-    counts = materialise(dealt.mapInArrow(partial(_counted, depth=depth), "block int, kind int, key long, train long"), "grams")
-    sums = materialise(counts.groupBy("kind", "key").agg(F.sum("train").alias("n")), "counts")
-    byte = sums.where(f"kind = {GRAM}").select(F.col("key").alias("gram"), "n")
-    word = sums.where(f"kind = {WORD} and n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).head()
+    dealt = docs.select("block", "held_out", "text").repartition("block").sortWithinPartitions("block")
+    packs = materialise(dealt.mapInArrow(partial(_counted, depth=depth, buckets=buckets), PACK_KIND), "packs")
+
+    def gathered(rows: DataFrame) -> DataFrame:
+        return rows.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
+
+    tops = materialise(gathered(packs).mapInArrow(partial(_tops, depth=depth, top=top), "kind int, bucket int, node long, n long, n1 long, mix double, own double, p double"), "tops")
+    word = tops.where(f"kind = {WORD}").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("n1"), F.lit(0)).alias("v")).head()
     trained = docs.where(~F.col("held_out")).count()
     total, distinct = word["n"] + trained, word["v"] + (trained > 0)
-    levels = trees(byte.where("n > 0"), depth)
-    scores = gram_scores(byte.select("gram"), levels, depth).select(F.lit(GRAM).alias("kind"), F.col("gram").alias("key"), F.col("score").alias("value"))
-    known = scores.union(sums.where(f"kind = {WORD}").select("kind", "key", F.col("n").cast("double")))
-    table = counts.select("block", "kind", "key").distinct().join(known, ["kind", "key"])
-    out = docs.groupBy("block").cogroup(table.groupBy("block")).applyInPandas(lambda d, t: _read_off(d, t, depth, trained), SCORED)
+    handed = _handed(tops.where(f"kind = {GRAM}").drop("kind"), top)
+    handed = handed.mapInArrow(_handed_packs, PACK_KIND)
+    answers = gathered(packs.union(handed)).mapInArrow(partial(_answers, depth=depth, top=top), "block int, kind int, bucket int, value binary")
+    out = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(lambda d, t: _read_off(d, t, depth, buckets, trained), SCORED)
     return out.select(
         "doc_id",
         "held_out",
@@ -221,6 +328,18 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     )
 
 
+def _handed_packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of nodes as packs of block -1, one for each bucket in a batch."""
+    for batch in batches:
+        bucket, node, said, rest = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        rows = []
+        for b in np.unique(bucket).tolist():
+            own = bucket == b
+            rows.append((-1, GRAM, b, node[own].tobytes(), np.stack([said[own], rest[own]]).tobytes()))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), PACK, strict=True)], schema=PACK)
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
