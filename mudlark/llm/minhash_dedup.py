@@ -2,10 +2,12 @@
 
 1. Every text gives its set of 5-word shingles (64-bit hashes), a digest of that set and a SuperMinHash
    signature. Equal sets are one class, represented by its smallest id, so copies cost nothing further.
-2. Bands of the signatures are buckets. In a bucket every class is paired with the smallest one only.
-3. Pairs whose signatures agree are verified on their full sets, and components are formed.
-4. Buckets that still hold more than one component are looked at again: all pairs of different components
-   of a small one; a large one is dealt out anew by every second band that its members share.
+2. Bands of the signatures are buckets. First, in the buckets of a few bands every class is paired with the
+   smallest one only; pairs whose signatures agree are verified on their full sets, and components are formed.
+   That joins large groups of copies at one pair for each member and band.
+3. Then all bands are used, but only buckets that still hold more than one component. Their members' signatures
+   are compared inside the bucket and only pairs that agree leave it, to be verified on their full sets. A bucket
+   of more than SMALL classes is first dealt out anew by every second band that its members share.
 
 A pair of similarity 0.75 shares no band with probability (1 - 0.75**4)**32 = 5e-6.
 
@@ -32,8 +34,10 @@ from mudlark.llm.shingles import in_slices, mixed, shingle_sets
 RANKS, ROWS = 128, 4
 BANDS = RANKS // ROWS
 SHINGLE = 5
-#: Buckets of up to so many classes are paired off whole; larger ones are dealt out by a second band first.
-SMALL = 16
+#: Bands of the first round.
+FIRST = 4
+#: Buckets of up to so many classes are compared whole; larger ones are dealt out by a second band first.
+SMALL = 64
 #: Ranks that must agree before two full sets are compared. A pair of similarity 0.75 has fewer with probability 1e-10.
 AGREE = 64
 
@@ -153,13 +157,15 @@ class _Matcher:
     def __init__(self, docs: DataFrame, classes: DataFrame, percent: int, size: int):
         self.docs, self.classes, self.percent, self.size = docs, classes, percent, size
 
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """``pairs(a, b)`` of class keys: those whose signatures agree."""
+        sig = self.classes.select("set_key", "signature")
+        both = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b")
+        return both.select("a", "b", "sa", "sb").mapInArrow(partial(_agreeing, least=AGREE), "a binary, b binary")
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """``pairs(a, b)`` of class keys, no pair twice: those whose full sets have the similarity."""
-        sig = self.classes.select("set_key", "signature")
-        likely = (
-            pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(partial(_agreeing, least=AGREE), "a binary, b binary")
-        )
-        likely = materialise(likely, "likely")
+        likely = materialise(pairs, "likely")
         keys = likely.select(F.col("a").alias("set_key")).union(likely.select("b")).distinct()
         wanted = self.classes.join(keys, "set_key", "left_semi").select(F.col("rep").alias("doc_id"))
         texts = self.docs.select("doc_id", "text").join(wanted.distinct(), "doc_id", "left_semi").select("text")
@@ -177,18 +183,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = SHINGLE) ->
     classes = materialise(classes, "classes")
     match = _Matcher(docs, classes, percent, size)
 
-    band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * (2 * ROWS) + 1, 2 * ROWS))))
-    rows = classes.where("rep is not null").select("set_key", "n", band.alias("bucket"))
+    known = classes.where("rep is not null")
+    rows = known.select("set_key", "n", F.explode(_bands(FIRST)).alias("bucket"))
     hubs = rows.groupBy("bucket").agg(F.min(F.struct("set_key", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1")
-    shared = materialise(rows.join(hubs, "bucket"), "buckets")
-    stars = shared.where((F.col("set_key") != F.col("hub.set_key")) & _near_size("n", "hub.n", percent))
-    linked = match.verified(stars.select(F.col("hub.set_key").alias("a"), F.col("set_key").alias("b")).distinct())
-
-    labels = materialise(components(linked.toDF("src", "dst")), "labels")
-    more = _across(shared, labels, classes, percent)
-    linked2 = match.verified(more)
-    if not linked2.isEmpty():
-        labels = materialise(components(labels.toDF("src", "dst").union(linked2.toDF("src", "dst"))), "labels")
+    stars = rows.join(hubs, "bucket").where((F.col("set_key") != F.col("hub.set_key")) & _near_size("n", "hub.n", percent))
+    stars = stars.select(F.col("hub.set_key").alias("a"), F.col("set_key").alias("b")).distinct()
+    labels = materialise(components(match.verified(match.likely(stars)).toDF("src", "dst")), "labels")
+    across = match.verified(_across(known, labels, percent))
+    if not across.isEmpty():
+        labels = materialise(components(labels.toDF("src", "dst").union(across.toDF("src", "dst"))), "labels")
     named = labels.join(classes.select(F.col("set_key").alias("node"), "rep"), "node")
     named = named.join(named.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select(F.col("node").alias("set_key"), "component_id")
     names = classes.select("set_key", "rep").join(named, "set_key", "left").select("set_key", F.coalesce("component_id", "rep").alias("component_id"))
@@ -197,28 +200,60 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = SHINGLE) ->
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a bucket and are not yet in one component."""
-    rows = shared.select("bucket", "set_key", "n").join(labels.toDF("set_key", "component"), "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+def _bands(n: int) -> Column:
+    """Buckets of a signature's first bands."""
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * (2 * ROWS) + 1, 2 * ROWS)))
+
+
+def _inside(batches: Iterator[pa.RecordBatch], least: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by bucket: pairs of one bucket that are of different components and agree."""
+    at, rows = None, []
 
-    def mixed_buckets(rows: DataFrame) -> DataFrame:
+    def agreeing(rows):
+        if len(rows) < 2:
+            return
+        sig = np.frombuffer(b"".join([r[4] for r in rows]), dtype="<u2").reshape(len(rows), -1)
+        n = np.array([r[2] for r in rows])
+        component = np.unique(np.array([r[3].hex() for r in rows]), return_inverse=True)[1]
+        for i in range(len(rows) - 1):
+            other = n[i + 1 :]
+            fits = (component[i + 1 :] != component[i]) & (100 * np.minimum(other, n[i]) >= percent * np.maximum(other, n[i]))
+            near = np.flatnonzero(fits) + i + 1
+            for j in near[(sig[near] == sig[i]).sum(axis=1) >= least].tolist():
+                yield tuple(sorted((rows[i][1], rows[j][1])))
+
+    def batch_of(pairs):
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], type=pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    for batch in batches:
+        found = []
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[0] != at:
+                found += agreeing(rows)
+                at, rows = row[0], []
+            rows.append(row)
+        yield batch_of(found)
+    yield batch_of(list(agreeing(rows)))
+
+
+def _across(classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` that share a bucket, are not yet in one component, and whose signatures agree."""
+    rows = classes.join(labels.toDF("set_key", "component"), "set_key", "left").select("set_key", "n", F.coalesce("component", "set_key").alias("component"), "signature")
+    rows = materialise(rows, "labelled")
+
+    def in_mixed(rows: DataFrame) -> DataFrame:
         of = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-        return of.where("lo <> hi").select("bucket", "size")
-
-    def paired(rows: DataFrame) -> DataFrame:
-        a, b = (rows.select("bucket", *(F.col(c).alias(c + s) for c in ("set_key", "n", "component"))) for s in ("_a", "_b"))
-        pairs = a.join(b, "bucket").where((F.col("set_key_a") < F.col("set_key_b")) & (F.col("component_a") != F.col("component_b")) & _near_size("n_a", "n_b", percent))
-        return pairs.select(F.col("set_key_a").alias("a"), F.col("set_key_b").alias("b"))
-
-    rows = materialise(rows.join(mixed_buckets(rows), "bucket"), "mixed")
-    small = paired(rows.where(F.col("size") <= SMALL))
-    large = rows.where(F.col("size") > SMALL).drop("size").join(classes.select("set_key", "signature"), "set_key")
-    second = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.struct(i.alias("i"), F.substring("signature", i * (2 * ROWS) + 1, 2 * ROWS).alias("v"))))
-    again = large.select("set_key", "n", "component", "bucket", second.alias("second"))
-    # a member's own band is the bucket itself: it is left out
-    again = again.where(F.xxhash64("second.i", "second.v") != F.col("bucket")).withColumn("bucket", F.xxhash64("bucket", "second.i", "second.v")).drop("second")
-    dealt = materialise(again.join(mixed_buckets(again), "bucket"), "dealt")
-    return small.union(paired(dealt)).distinct()
+        return rows.join(of.where("lo <> hi").select("bucket", "size"), "bucket")
+
+    def compared(rows: DataFrame) -> DataFrame:
+        whole = rows.join(classes.select("set_key", "signature"), "set_key").select("bucket", "set_key", "n", "component", "signature")
+        return whole.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(partial(_inside, least=AGREE, percent=percent), "a binary, b binary")
+
+    first = materialise(in_mixed(rows.select("set_key", "n", "component", F.explode(_bands(BANDS)).alias("bucket"))), "mixed")
+    large = first.where(F.col("size") > SMALL).drop("size").join(classes.select("set_key", "signature"), "set_key")
+    again = large.select("set_key", "n", "component", "bucket", F.explode(_bands(BANDS)).alias("second")).where("second <> bucket")
+    again = in_mixed(again.select("set_key", "n", "component", F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias("bucket")).distinct())
+    return compared(first.where(F.col("size") <= SMALL)).union(compared(again)).distinct()
 
 
 def op4_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
