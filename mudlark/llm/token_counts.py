@@ -117,8 +117,7 @@ def _sums(batches: Iterator[pa.RecordBatch], tokenizer_name: str) -> Iterator[pa
 
     def flush():
         for base, total in held.items():
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(base + at), pa.array(total[at])], names=["row", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([base], type=pa.int64()), pa.array([total.astype("<u8" if total.max(initial=0) >> 32 else "<u4").tobytes()], type=pa.binary()), pa.array([len(total)], type=pa.int64())], names=["row", "sums", "n"])
 
     for batch in batches:
         for base, own, text, lens, holders, docs, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -146,13 +145,35 @@ def _sums(batches: Iterator[pa.RecordBatch], tokenizer_name: str) -> Iterator[pa
     yield from flush()
 
 
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the same documents from different tasks (sorted by their first row) added up."""
+    at, total = None, np.zeros(0, dtype=np.int64)
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array(at + np.arange(len(total), dtype=np.int64)), pa.array(total)], names=["row", "n"])
+
+    for batch in batches:
+        for base, sums, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            own = np.frombuffer(sums, dtype="<u4" if len(sums) == 4 * n else "<u8").astype(np.int64)
+            if base != at:
+                if at is not None:
+                    yield out()
+                at, total = base, np.zeros(0, dtype=np.int64)
+            if len(total) < len(own):
+                total = np.concatenate([total, np.zeros(len(own) - len(total), dtype=np.int64)])
+            total[: len(own)] += own
+    if at is not None:
+        yield out()
+
+
 def token_counts(docs: DataFrame, tokenizer_name: str = "byte_bpe_50k.json", specials: tuple[str, ...] = ("<|endoftext|>",), limit: int = 1024) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row. ``specials`` are the vocabulary's special strings,
     each one token wherever it stands in a text."""
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = materialise(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_postings, specials=specials, buckets=buckets), PACKS_KIND), "postings")
     packs = rows.where("bucket is not null").select("row", "bucket", "text", "lens", "holders", "docs", "counts")
-    sums = packs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(partial(_sums, tokenizer_name=tokenizer_name), "row long, n long").groupBy("row").agg(F.sum("n").alias("n"))
+    sums = packs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(partial(_sums, tokenizer_name=tokenizer_name), "row long, sums binary, n long")
+    sums = sums.repartition("row").sortWithinPartitions("row").mapInArrow(_added, "row long, n long")
     documents = rows.where("bucket is null").select("row", "doc_id", "n_bytes", "special")
     n = F.coalesce("n", F.lit(0)) + F.col("special")
     return documents.join(sums, "row", "left").select("doc_id", "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"))
