@@ -38,7 +38,7 @@ DEPTH = 5
 #: Sign of the end of a text, and of what is before its start: a byte that UTF-8 never has.
 END = 0xFF
 #: Bytes of text in a block, about.
-BLOCK = 32 << 20
+BLOCK = 16 << 20
 
 
 def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +113,7 @@ def _counted(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Ite
                         key, n = np.unique(keys, return_counts=True)
                         held[kind].append((key, n * (not out)))
                         size += len(key)
-                    if size > 8_000_000:
+                    if size > 3_000_000:
                         for kind in (GRAM, WORD):
                             held[kind] = [merged(kind)]
                         size = sum(len(held[k][0][0]) for k in held) // 2
