@@ -2,12 +2,14 @@
 
 1. Every text gives its set of 5-word shingles (64-bit hashes), a digest of that set and a SuperMinHash
    signature. Equal sets are one class, represented by its smallest id, so copies cost nothing further.
-2. Bands of the signatures are buckets. First, in the buckets of a few bands every class is paired with the
-   smallest one only; pairs whose signatures agree are verified on their full sets, and components are formed.
-   That joins large groups of copies at one pair for each member and band.
-3. Then all bands are used, but only buckets that still hold more than one component. Their members' signatures
-   are compared inside the bucket and only pairs that agree leave it, to be verified on their full sets. A bucket
-   of more than SMALL classes is first dealt out anew by every second band that its members share.
+2. Bands of the signatures are buckets. In a few rounds of a few bands each, every class of a bucket is paired
+   with one hub of it, another in each round, unless both are of one component already. Pairs whose signatures
+   agree are verified on their full sets, and components are formed. So a large group of near copies becomes one
+   component at a few pairs for each member.
+3. Then all bands are used, but only buckets that still hold more than one component. Signatures are compared
+   inside the bucket, only those outside its largest component with the others, and only pairs that agree leave
+   it, to be verified. A bucket with more than SMALL classes outside its largest component is first dealt out
+   anew by every second band that its members share.
 
 A pair of similarity 0.75 shares no band with probability (1 - 0.75**4)**32 = 5e-6.
 
@@ -34,12 +36,12 @@ from mudlark.llm.shingles import in_slices, mixed, shingle_sets
 RANKS, ROWS = 128, 4
 BANDS = RANKS // ROWS
 SHINGLE = 5
-#: Bands of the first round.
-FIRST = 4
-#: Buckets of up to so many classes are compared whole; larger ones are dealt out by a second band first.
+#: Rounds with hubs, and bands of each.
+STARS, FEW = 3, 4
+#: Buckets with up to so many classes outside the largest component are compared as they are.
 SMALL = 64
-#: Ranks that must agree before two full sets are compared. A pair of similarity 0.75 has fewer with probability 1e-10.
-AGREE = 64
+#: Ranks that must agree before two full sets are compared. A pair of similarity 0.75 has fewer with probability 5e-6.
+AGREE = 74
 
 
 def superminhash(hashes: np.ndarray, counts: np.ndarray, ranks: int = RANKS) -> np.ndarray:
@@ -184,14 +186,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = SHINGLE) ->
     match = _Matcher(docs, classes, percent, size)
 
     known = classes.where("rep is not null")
-    rows = known.select("set_key", "n", F.explode(_bands(FIRST)).alias("bucket"))
-    hubs = rows.groupBy("bucket").agg(F.min(F.struct("set_key", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1")
-    stars = rows.join(hubs, "bucket").where((F.col("set_key") != F.col("hub.set_key")) & _near_size("n", "hub.n", percent))
-    stars = stars.select(F.col("hub.set_key").alias("a"), F.col("set_key").alias("b")).distinct()
-    labels = materialise(components(match.verified(match.likely(stars)).toDF("src", "dst")), "labels")
-    across = match.verified(_across(known, labels, percent))
-    if not across.isEmpty():
-        labels = materialise(components(labels.toDF("src", "dst").union(across.toDF("src", "dst"))), "labels")
+    labels = None
+    for r in range(STARS):
+        rows = _labelled(known, labels).select("set_key", "n", "component", F.explode(_bands(FEW * r, FEW)).alias("bucket"))
+        hub = F.min(F.struct(F.xxhash64(F.lit(r), "set_key").alias("order"), "set_key", "n", "component")).alias("hub")
+        hubs = rows.groupBy("bucket").agg(hub, F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket", "hub")
+        stars = rows.join(hubs, "bucket").where((F.col("component") != F.col("hub.component")) & _near_size("n", "hub.n", percent))
+        found = match.verified(match.likely(stars.select(F.col("hub.set_key").alias("a"), F.col("set_key").alias("b")).distinct()))
+        labels = _joined(labels, found)
+    labels = _joined(labels, match.verified(_across(known, labels, percent)))
     named = labels.join(classes.select(F.col("set_key").alias("node"), "rep"), "node")
     named = named.join(named.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select(F.col("node").alias("set_key"), "component_id")
     names = classes.select("set_key", "rep").join(named, "set_key", "left").select("set_key", F.coalesce("component_id", "rep").alias("component_id"))
@@ -200,9 +203,21 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = SHINGLE) ->
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _bands(n: int) -> Column:
-    """Buckets of a signature's first bands."""
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * (2 * ROWS) + 1, 2 * ROWS)))
+def _joined(labels: DataFrame | None, found: DataFrame) -> DataFrame:
+    """Components of the links so far and those found."""
+    links = found.toDF("src", "dst")
+    return materialise(components(links if labels is None else links.union(labels.toDF("src", "dst"))), "labels")
+
+
+def _labelled(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return classes.withColumn("component", F.col("set_key"))
+    return classes.join(labels.toDF("set_key", "component"), "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+
+
+def _bands(first: int, n: int) -> Column:
+    """Buckets of some of a signature's bands."""
+    return F.transform(F.sequence(F.lit(first), F.lit(first + n - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * (2 * ROWS) + 1, 2 * ROWS)))
 
 
 def _inside(batches: Iterator[pa.RecordBatch], least: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -212,10 +227,13 @@ def _inside(batches: Iterator[pa.RecordBatch], least: int, percent: int) -> Iter
     def agreeing(rows):
         if len(rows) < 2:
             return
+        _, component, size = np.unique(np.array([r[3].hex() for r in rows]), return_inverse=True, return_counts=True)
+        # those of the largest component come last and are not compared with each other
+        order = np.argsort(component == size.argmax(), kind="stable")
+        component, rows = component[order], [rows[i] for i in order]
         sig = np.frombuffer(b"".join([r[4] for r in rows]), dtype="<u2").reshape(len(rows), -1)
         n = np.array([r[2] for r in rows])
-        component = np.unique(np.array([r[3].hex() for r in rows]), return_inverse=True)[1]
-        for i in range(len(rows) - 1):
+        for i in range(len(rows) - size.max()):
             other = n[i + 1 :]
             fits = (component[i + 1 :] != component[i]) & (100 * np.minimum(other, n[i]) >= percent * np.maximum(other, n[i]))
             near = np.flatnonzero(fits) + i + 1
@@ -238,22 +256,22 @@ def _inside(batches: Iterator[pa.RecordBatch], least: int, percent: int) -> Iter
 
 def _across(classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` that share a bucket, are not yet in one component, and whose signatures agree."""
-    rows = classes.join(labels.toDF("set_key", "component"), "set_key", "left").select("set_key", "n", F.coalesce("component", "set_key").alias("component"), "signature")
-    rows = materialise(rows, "labelled")
+    rows = materialise(_labelled(classes, labels).select("set_key", "n", "component", "signature"), "labelled")
 
     def in_mixed(rows: DataFrame) -> DataFrame:
-        of = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-        return rows.join(of.where("lo <> hi").select("bucket", "size"), "bucket")
+        """Rows of buckets with several components, and how many are outside the largest."""
+        of = rows.groupBy("bucket", "component").agg(F.count("*").alias("c")).groupBy("bucket").agg(F.count("*").alias("components"), (F.sum("c") - F.max("c")).alias("others"))
+        return rows.join(of.where("components > 1").select("bucket", "others"), "bucket")
 
     def compared(rows: DataFrame) -> DataFrame:
         whole = rows.join(classes.select("set_key", "signature"), "set_key").select("bucket", "set_key", "n", "component", "signature")
         return whole.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(partial(_inside, least=AGREE, percent=percent), "a binary, b binary")
 
-    first = materialise(in_mixed(rows.select("set_key", "n", "component", F.explode(_bands(BANDS)).alias("bucket"))), "mixed")
-    large = first.where(F.col("size") > SMALL).drop("size").join(classes.select("set_key", "signature"), "set_key")
-    again = large.select("set_key", "n", "component", "bucket", F.explode(_bands(BANDS)).alias("second")).where("second <> bucket")
+    first = materialise(in_mixed(rows.select("set_key", "n", "component", F.explode(_bands(0, BANDS)).alias("bucket"))), "mixed")
+    large = first.where(F.col("others") > SMALL).drop("others").join(classes.select("set_key", "signature"), "set_key")
+    again = large.select("set_key", "n", "component", "bucket", F.explode(_bands(0, BANDS)).alias("second")).where("second <> bucket")
     again = in_mixed(again.select("set_key", "n", "component", F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias("bucket")).distinct())
-    return compared(first.where(F.col("size") <= SMALL)).union(compared(again)).distinct()
+    return compared(first.where(F.col("others") <= SMALL)).union(compared(again)).distinct()
 
 
 def op4_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
