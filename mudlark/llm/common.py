@@ -36,7 +36,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     keeps a result that several steps read from being computed again."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

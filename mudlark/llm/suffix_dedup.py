@@ -276,7 +276,7 @@ def bucketed(docs: DataFrame, parts: int) -> DataFrame:
     name = f"mudlark_texts_{uuid.uuid4().hex}"
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    rows.write.bucketBy(parts, "id").saveAsTable(name)
+    rows.write.option("compression", "zstd").bucketBy(parts, "id").saveAsTable(name)
     return docs.sparkSession.table(name)
 
 
