@@ -272,11 +272,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def bucketed(docs: DataFrame, parts: int) -> DataFrame:
-    """``id, key, doc_id, text`` as a table bucketed by id in the warehouse."""
+    """``id, key, doc_id, text`` as a table bucketed by id and key in the warehouse."""
     name = f"mudlark_texts_{uuid.uuid4().hex}"
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    rows.write.option("compression", "zstd").bucketBy(parts, "id").saveAsTable(name)
+    rows.write.option("compression", "zstd").bucketBy(parts, "id", "key").saveAsTable(name)
     return docs.sparkSession.table(name)
 
 
