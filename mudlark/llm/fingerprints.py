@@ -110,7 +110,7 @@ def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if after:
                 closed = True
                 yield _compared(rows)
-            elif size > 4_000_000 and len(rows) > 1:
+            elif size > 1_000_000 and len(rows) > 1:
                 yield _compared(rows)
                 rows, size = rows[-1:], len(rows[-1][1])
     if rows and not closed:

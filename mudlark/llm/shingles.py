@@ -78,7 +78,7 @@ def shingle_sets(texts: list[bytes], size: int = 5, lower: bool = True) -> tuple
     return h[new], np.bincount(doc[new], minlength=len(texts))
 
 
-def in_slices(texts: list[bytes], most: int = 4_000_000) -> list[slice]:
+def in_slices(texts: list[bytes], most: int = 1_000_000) -> list[slice]:
     """Slices of a list of texts of about so many bytes each; a longer text stands alone."""
     out, begin, size = [], 0, 0
     for i, t in enumerate(texts):
