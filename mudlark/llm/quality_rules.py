@@ -103,8 +103,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     plain = F.col("_t")
     for c in SYMBOLS:
         plain = F.replace(plain, F.lit(c), F.lit(""))
-    return out.select(
-        F.col(id_col),
+    measures = F.struct(
         F.col("_n").cast("long").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         (F.length("_t") - F.length(plain)).cast("long").alias("n_symbols"),
@@ -114,6 +113,8 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         upper.cast("long").alias("n_upper"),
         F.size(F.filter("_l", lambda x: F.ltrim(x).rlike(r"^[-*•]"))).cast("long").alias("n_bullet_lines"),
     )
+    # as the output of a generator: a filter on a measurement is then not pushed down as its whole expression
+    return out.select(F.col(id_col), F.inline(F.array(measures)))
 
 
 def fail_bits() -> Column:
