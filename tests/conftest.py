@@ -15,6 +15,8 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.sql.adaptive.enabled", "false")
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
