@@ -14,6 +14,7 @@ into full pieces and one shorter one.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Callable, Iterator
 from functools import partial
@@ -169,12 +170,29 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = STEP
             out.append((dict(key), count))
             for x, a in key:
                 left[x] -= a * count
+    out += filled(left, capacity)
+    if sum(count for _, count in out) <= full + math.ceil(total):
+        return out  # no packing has fewer
+    plain = ([({capacity: 1}, full)] if full else []) + filled(dict(zip(lengths.tolist(), demand.tolist(), strict=True)), capacity)
+    return min(out, plain, key=lambda patterns: sum(count for _, count in patterns))
+
+
+def filled(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Patterns that use up the lengths ``left``: the longest first, and the space behind it filled as full as the
+    others allow, by the same dynamic program with lengths as prices; repeated while the counts last."""
+    out = []
     while left := {x: c for x, c in left.items() if c}:
-        space, pattern, order = capacity, {}, sorted(left, reverse=True)
-        for x in order:
-            if x <= space:
-                pattern[x] = min(left[x], space // x)
-                space -= x * pattern[x]
+        order = np.array(sorted(left, reverse=True), dtype=np.int64)
+        bound = np.array([left[x] for x in order.tolist()], dtype=np.int64)
+        bound[0] -= 1
+        space = capacity - int(order[0])
+        bound[order > space] = 0
+        pattern = {int(order[0]): 1}
+        if space and bound.any():
+            rest = best_pattern(order, order.astype(float), bound, space)
+            for x, a in zip(order.tolist(), rest.tolist(), strict=True):
+                if a:
+                    pattern[x] = pattern.get(x, 0) + a
         count = min(left[x] // a for x, a in pattern.items())
         out.append((pattern, count))
         for x, a in pattern.items():
