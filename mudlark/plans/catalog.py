@@ -186,6 +186,12 @@ def _empty_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _register("empty_samples", _empty_samples, "fx_align", "select concat(sample_id, '_', cast(read_id as string)) as sample_id, count(*) as total from fx_align where flag & 1024 = 0 and flag % 3 = 0 group by 1 having count(*) filter (flag & 4 = 0) = 0")
+_register(
+    "empty_samples_whole",
+    lambda s, d: reads.empty_samples(view(s, d, "fx_align").withColumn("sample_id", F.concat_ws("_", "sample_id", F.col("read_id").cast("string")))),
+    "fx_align",
+    "select concat(sample_id, '_', cast(read_id as string)) as sample_id, count(*) as total from fx_align group by 1 having count(*) filter (flag & 4 = 0) = 0",
+)
 _register("read_qc", lambda s, d: view(s, d, "fx_reads").where(reads.passes_qc(40, 200, "n")).select("sample_id", "read_id"), "fx_reads", "select sample_id, read_id from fx_reads where length(seq) >= 200 and length(seq) - length(replace(seq, 'n', '')) <= 40")
 
 
@@ -325,6 +331,15 @@ def _merge_linkout(spark: SparkSession, sf_dir: str) -> DataFrame:
 _register("merge_linkout", _merge_linkout, "fx_linkout", "select a.patric_id, uniprot_id, role from (select patric_id, max(uniprot_id) as uniprot_id from fx_linkout group by 1) a join (select patric_id, max(concat('role of ', uniprot_id)) as role from fx_linkout where uniprot_id < 'P5' group by 1) b on a.patric_id = b.patric_id order by 1")
 
 
+def _merge_linkout_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linkout, trembl = view(spark, sf_dir, "fx_linkout"), view(spark, sf_dir, "fx_trembl")
+    annotation = linkout.join(trembl, F.col("uniprot_id") == F.col("uniprot")).select("patric_id", F.col("func").alias("role"))
+    return refdb.merge_linkout(linkout, annotation)
+
+
+_register("merge_linkout_whole", _merge_linkout_whole, "fx_linkout fx_trembl", "select a.patric_id, uniprot_id, role from (select patric_id, max(uniprot_id) as uniprot_id from fx_linkout group by 1) a join (select patric_id, max(func) as role from fx_linkout join fx_trembl on uniprot = uniprot_id group by 1) b on a.patric_id = b.patric_id order by 1")
+
+
 def _pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     genomes = view(spark, sf_dir, "fx_linkout").withColumn("genome", refdb.genome_of())
     return refdb.pending(genomes.select("genome").distinct(), genomes.where("uniprot_id = 'P11'"), ["genome"])

@@ -34,6 +34,20 @@ def test_same_rows(spark, sql, name):
         assert rows_of(rows, got.columns) == rows_of(expected.fetchall(), expected.columns)
 
 
+def test_whole_tables(spark):
+    """No alignment and no annotation is left out before the operators."""
+    samples = {}
+    for r in catalog.view(spark, SF, "fx_align").collect():
+        samples.setdefault(f"{r.sample_id}_{r.read_id}", []).append(r.flag)
+    got = {r.sample_id: r.total for r in catalog.queries()["empty_samples_whole"](spark, SF).collect()}
+    assert got == {s: len(flags) for s, flags in samples.items() if all(f & 4 for f in flags)}
+    func, roles = {r.uniprot: r.func for r in catalog.view(spark, SF, "fx_trembl").collect()}, {}
+    for r in catalog.view(spark, SF, "fx_linkout").collect():
+        if r.uniprot_id in func:
+            roles[r.patric_id] = max(roles.get(r.patric_id, ""), func[r.uniprot_id])
+    assert {r.patric_id: r.role for r in catalog.queries()["merge_linkout_whole"](spark, SF).collect()} == roles
+
+
 def test_entry(spark):
     import __spark_entry__
 
