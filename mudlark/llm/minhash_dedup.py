@@ -8,8 +8,9 @@
    component at a few pairs for each member.
 3. Then all bands are used, but only buckets that still hold more than one component. Signatures are compared
    inside the bucket, only those outside its largest component with the others, and only pairs that agree leave
-   it, to be verified. A bucket with more than SMALL classes outside its largest component is first dealt out
-   anew by every second band that its members share.
+   it, to be verified. A bucket of more than BLOCK classes is cut into blocks, those of the largest component
+   and those outside it apart, and each block outside is compared with every block in a cell of its own: a task
+   holds two blocks at a time, and each pair meets once.
 
 A pair of similarity 0.75 shares no band with probability (1 - 0.75**4)**32 = 5e-6.
 
@@ -38,8 +39,8 @@ BANDS = RANKS // ROWS
 SHINGLE = 5
 #: Rounds with hubs, and bands of each.
 STARS, FEW = 3, 4
-#: Buckets with up to so many classes outside the largest component are compared as they are.
-SMALL = 64
+#: Classes of a bucket that are compared as they are; of larger buckets, about so many make a block.
+BLOCK = 512
 #: Ranks that must agree before two full sets are compared. A pair of similarity 0.75 has fewer with probability 5e-6.
 AGREE = 74
 
@@ -221,22 +222,27 @@ def _bands(first: int, n: int) -> Column:
 
 
 def _inside(batches: Iterator[pa.RecordBatch], least: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by bucket: pairs of one bucket that are of different components and agree."""
+    """Of rows sorted by cell: pairs of one cell that are of different components and agree. Rows of side 0 are
+    compared with each other, those of side 1 with those of side 2."""
     at, rows = None, []
 
     def agreeing(rows):
         if len(rows) < 2:
             return
         _, component, size = np.unique(np.array([r[3].hex() for r in rows]), return_inverse=True, return_counts=True)
-        # those of the largest component come last and are not compared with each other
-        order = np.argsort(component == size.argmax(), kind="stable")
-        component, rows = component[order], [rows[i] for i in order]
+        side = np.array([r[5] for r in rows])
+        # of one side those of the largest component come last and are not compared with each other
+        order = np.lexsort((component == size.argmax(), side))
+        component, side, rows = component[order], side[order], [rows[i] for i in order]
         sig = np.frombuffer(b"".join([r[4] for r in rows]), dtype="<u2").reshape(len(rows), -1)
         n = np.array([r[2] for r in rows])
-        for i in range(len(rows) - size.max()):
-            other = n[i + 1 :]
-            fits = (component[i + 1 :] != component[i]) & (100 * np.minimum(other, n[i]) >= percent * np.maximum(other, n[i]))
-            near = np.flatnonzero(fits) + i + 1
+        crossed = bool(side[-1])
+        half = int((side == 1).sum()) if crossed else len(rows) - size.max()
+        for i in range(half):
+            begin = half if crossed else i + 1
+            other = n[begin:]
+            fits = (component[begin:] != component[i]) & (100 * np.minimum(other, n[i]) >= percent * np.maximum(other, n[i]))
+            near = np.flatnonzero(fits) + begin
             for j in near[(sig[near] == sig[i]).sum(axis=1) >= least].tolist():
                 yield tuple(sorted((rows[i][1], rows[j][1])))
 
@@ -254,24 +260,34 @@ def _inside(batches: Iterator[pa.RecordBatch], least: int, percent: int) -> Iter
     yield batch_of(list(agreeing(rows)))
 
 
+def _cells(rows: DataFrame, classes: DataFrame, block: int) -> DataFrame:
+    """Rows ``bucket, set_key, n, component`` of buckets with several components, once for every cell in which they
+    are compared, with ``cell``, ``side`` and the class's signature.
+
+    The classes outside a bucket's largest component make ``k`` blocks, those of it the ``m`` blocks behind. There is
+    a cell for every two blocks, one of which is outside, and for each block outside with itself."""
+    of = rows.groupBy("bucket", "component").agg(F.count("*").alias("c"))
+    of = of.groupBy("bucket").agg(F.count("*").alias("components"), F.sum("c").alias("all"), F.max(F.struct("c", "component")).alias("most")).where("components > 1")
+    blocks = lambda n: F.ceil(n / F.lit(block)).cast("int")
+    whole, most = F.col("all") <= block, F.col("most.c")
+    of = of.select("bucket", F.col("most.component").alias("largest"), F.when(whole, 1).otherwise(blocks(F.col("all") - most)).alias("k"), F.when(whole, 0).otherwise(blocks(most)).alias("m"))
+    rows = materialise(rows.join(of, "bucket"), "mixed").join(classes.select("set_key", "signature"), "set_key")
+    main = (F.col("m") > 0) & (F.col("component") == F.col("largest"))
+    own = F.pmod(F.xxhash64("set_key", "bucket"), F.when(main, F.col("m")).otherwise(F.col("k"))).cast("int")
+    rows = rows.withColumn("main", main).withColumn("own", own + F.when(main, F.col("k")).otherwise(0))
+    other = F.transform(
+        F.sequence(F.lit(0), F.when(F.col("main"), F.col("k")).otherwise(F.col("k") + F.col("m")) - 1),
+        lambda j: F.struct(F.least(j, "own").alias("i"), F.greatest(j, "own").alias("j"), F.when(j == F.col("own"), 0).when(j > F.col("own"), 1).otherwise(2).alias("side")),
+    )
+    rows = rows.withColumn("at", F.explode(other))
+    return rows.select(F.xxhash64("bucket", "at.i", "at.j").alias("cell"), "set_key", "n", "component", "signature", "at.side")
+
+
 def _across(classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` that share a bucket, are not yet in one component, and whose signatures agree."""
     rows = materialise(_labelled(classes, labels).select("set_key", "n", "component", "signature"), "labelled")
-
-    def in_mixed(rows: DataFrame) -> DataFrame:
-        """Rows of buckets with several components, and how many are outside the largest."""
-        of = rows.groupBy("bucket", "component").agg(F.count("*").alias("c")).groupBy("bucket").agg(F.count("*").alias("components"), (F.sum("c") - F.max("c")).alias("others"))
-        return rows.join(of.where("components > 1").select("bucket", "others"), "bucket")
-
-    def compared(rows: DataFrame) -> DataFrame:
-        whole = rows.join(classes.select("set_key", "signature"), "set_key").select("bucket", "set_key", "n", "component", "signature")
-        return whole.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(partial(_inside, least=AGREE, percent=percent), "a binary, b binary")
-
-    first = materialise(in_mixed(rows.select("set_key", "n", "component", F.explode(_bands(0, BANDS)).alias("bucket"))), "mixed")
-    large = first.where(F.col("others") > SMALL).drop("others").join(classes.select("set_key", "signature"), "set_key")
-    again = large.select("set_key", "n", "component", "bucket", F.explode(_bands(0, BANDS)).alias("second")).where("second <> bucket")
-    again = in_mixed(again.select("set_key", "n", "component", F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias("bucket")).distinct())
-    return compared(first.where(F.col("others") <= SMALL)).union(compared(again)).distinct()
+    cells = _cells(rows.select("set_key", "n", "component", F.explode(_bands(0, BANDS)).alias("bucket")), classes, BLOCK)
+    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(partial(_inside, least=AGREE, percent=percent), "a binary, b binary").distinct()
 
 
 def op4_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -155,6 +155,45 @@ def test_near_duplicates(spark, documents, texts):
     assert minhash_dedup.near_duplicates(without_rows(documents)).count() == 0
 
 
+def signatures():
+    """Classes that all share their first band: sparse families whose members agree in 97 of 128 ranks and share
+    no other band, and one component of 40."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for family in range(60):
+        base = rng.integers(0, 1 << 16, 128)
+        for member in range(3 if family else 40):
+            sig = base.copy()
+            sig[:4] = 7
+            sig[4::4] = rng.integers(0, 1 << 16, 31)
+            rows.append((len(rows), f"{family:03}-{member:03}".encode(), bytearray(sig.astype("<u2").tobytes()), family))
+    return rows
+
+
+def test_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 8, raising=False)
+    rows = signatures()
+    classes = spark.createDataFrame([(k, i, 100, s) for i, k, s, _ in rows], "set_key binary, rep long, n long, signature binary")
+    one = [(k, b"000-000") for _, k, _, family in rows if not family]
+    got = [(bytes(r.a), bytes(r.b)) for r in minhash_dedup._across(classes, spark.createDataFrame(one, "node binary, component binary"), 75).collect()]
+    sig = {k: np.frombuffer(bytes(s), dtype="<u2") for _, k, s, _ in rows}
+    family = {k: f for _, k, _, f in rows}
+    truth = {(a, b) for a in sig for b in sig if a < b and (family[a] or family[b]) and (sig[a] == sig[b]).sum() >= minhash_dedup.AGREE}
+    assert len(got) == len(set(got)) and set(got) == truth and len(truth) == 59 * 3
+
+
+def test_cells_bound_rows_and_meet_once(spark):
+    """However large a bucket or its largest component, a cell holds about two blocks, and each pair meets in one."""
+    rows = [(1, f"{i:04}".encode(), 100, b"main" if i < 600 else f"{i:04}".encode()) for i in range(700)]
+    classes = spark.createDataFrame([(r[1], bytearray(256)) for r in rows], "set_key binary, signature binary")
+    cells = defaultdict(list)
+    for r in minhash_dedup._cells(spark.createDataFrame(rows, "bucket long, set_key binary, n long, component binary"), classes, 50).collect():
+        cells[r.cell].append((bytes(r.set_key), r.side))
+    assert max(map(len, cells.values())) < 200
+    met = Counter(frozenset((a, b)) for c in cells.values() for a, x in c for b, y in c if a < b and (x == y == 0 or {x, y} == {1, 2}))
+    assert set(met.values()) == {1} and len(met) == 100 * 99 // 2 + 100 * 600
+
+
 def test_superminhash_estimates():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 2**63, 900).astype(np.uint64)
