@@ -5,8 +5,8 @@ because neighbouring trigrams repeat each other; the probability that a page in
 declares, and has the address suffix it has; and the prior of its host, smoothed towards the prior of its
 suffix, and that towards the overall one. Text counts, reliabilities and priors are grouped sums over all rows.
 
-Models are bounded: BUCKETS log-probabilities for each language, and languages are labels that hold a share of
-LEAST of the labelled rows, so at most 1 / LEAST of them.
+Every label is a language, however few rows it has. The model is BUCKETS log-probabilities for each, 128 KB,
+on the driver and in every worker; a task that counts holds the counts of HELD languages at a time.
 
 Defined results: null and empty texts, and such without a letter, have language null, confidence 0 and are not
 kept; a missing declaration, suffix or host is no evidence; rows with equal or null ids are judged on their own; an
@@ -28,7 +28,7 @@ from mudlark.llm.common import materialise, read_table
 from mudlark.llm.shingles import _LOWER, in_slices
 
 BUCKETS = 1 << 15
-LEAST = 0.001
+HELD = 64
 #: Power of the text's likelihood; pseudo-counts of the trigrams, the reliabilities and the priors.
 TEMPER, ALPHA, BETA, KAPPA = 0.1, 0.5, 1.0, 20.0
 #: Least confidence of a language that is kept.
@@ -44,27 +44,36 @@ def _buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros((len(languages), BUCKETS), dtype=np.int64)
+    total: dict[int, np.ndarray] = {}
     at = {x: i for i, x in enumerate(languages)}
+
+    def summed():
+        for k, n in total.items():
+            bucket = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), k, dtype=np.int32)), pa.array(bucket.astype(np.int32)), pa.array(n[bucket])], names=["k", "bucket", "n"])
+
     for batch in batches:
-        label, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for k, name in enumerate(languages):
-            own = [(t or "").encode() for t, x in zip(texts, label, strict=True) if at.get(x) == k]
-            for part in in_slices(own):
-                total[k] += np.bincount(_buckets(own[part])[0], minlength=BUCKETS)
-    k, bucket = np.nonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(total[k, bucket])], names=["k", "bucket", "n"])
+        own: dict[int, list[bytes]] = {}
+        for x, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            own.setdefault(at[x], []).append((t or "").encode())
+        for k, texts in own.items():
+            if k not in total:
+                if len(total) == HELD:
+                    yield from summed()
+                    total.clear()
+                total[k] = np.zeros(BUCKETS, dtype=np.int64)
+            for part in in_slices(texts):
+                total[k] += np.bincount(_buckets(texts[part])[0], minlength=BUCKETS)
+    yield from summed()
 
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages and their trigram log-probabilities, from all rows of ``docs(text, lang)`` with a label."""
-    labels = docs.where("lang is not null").groupBy("lang").count()
-    total = labels.agg(F.sum("count")).head()[0] or 0
-    languages = sorted(r["lang"] for r in labels.where(F.col("count") >= LEAST * total).collect())  # at most 1 / LEAST rows
+    labelled = docs.where("lang is not null").select(F.col("lang").cast("string"), F.col("text").cast("string"))
+    languages = sorted(r["lang"] for r in labelled.select("lang").distinct().collect())
     counts = np.zeros((len(languages), BUCKETS))
     if languages:
-        some = docs.where(F.col("lang").isin(languages)).select(F.col("lang").cast("string"), F.col("text").cast("string"))
-        sums = some.mapInArrow(partial(_counted, languages=languages), "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n"))
+        sums = labelled.mapInArrow(partial(_counted, languages=languages), "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n"))
         got = sums.toPandas()  # at most BUCKETS rows for each language
         counts[got["k"].to_numpy(), got["bucket"].to_numpy()] = got["n"].to_numpy()
     p = np.log((counts + ALPHA) / (counts.sum(axis=1, keepdims=True) + ALPHA * BUCKETS))

@@ -354,6 +354,18 @@ def test_language(spark, documents):
     assert one[1].language == "de" and one[1].suffix == "de" and not one[2].kept
 
 
+def test_rare_languages(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "HELD", 2, raising=False)
+    common = "the cat sat with the other animals and then went home again "
+    rare = {f"q{i}": f"zu{i}x wo{i}v qy{i}k jj{i}b " * 12 for i in range(4)}
+    rows = [(i, common * (1 + i % 3), "en", "a") for i in range(6000)] + [(9000 + i, t, name, "b") for i, (name, t) in enumerate(rare.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    languages, model = language_id.train(docs)
+    assert languages == ["en", *rare]
+    got = {r.doc.doc_id: r for r in language_id.identified(language_id.of_documents(docs), languages, model).where("doc.doc_id >= 9000").collect()}
+    assert [(got[9000 + i].language, got[9000 + i].kept) for i in range(4)] == [(name, True) for name in rare]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
