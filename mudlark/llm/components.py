@@ -12,7 +12,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``node, component`` of every node of ``links(src, dst)``; a component is named by its smallest node.
 
     Each round points the larger neighbours of every node, then the smaller ones, at the smallest neighbour;
-    neighbourhoods are only ever aggregated to their minimum, never gathered. Ends when a round changes nothing.
+    neighbourhoods are only ever aggregated to their minimum, never gathered. Ends when a round changes nothing; an
+    error is raised if that takes more than ``most_rounds``.
     Null ends and links of a node to itself are left out; an empty list gives no rows.
     """
     edges = links.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct()
@@ -31,5 +32,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         if state == (now["n"], now["s"]):
             break
         state = (now["n"], now["s"])
+    else:
+        raise RuntimeError(f"components: links still change after {most_rounds} rounds")
     # every node but the least now points at the least
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v"), F.col("v")).distinct())

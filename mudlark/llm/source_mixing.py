@@ -14,6 +14,7 @@ empty table gives no rows; further columns pass through untouched, whatever thei
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,7 +71,9 @@ def tempered(cells: DataFrame, dim: str, power: float) -> DataFrame:
 def raked(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """Cells with ``weight``: their tokens fitted to the target shares. Values without a target get weight 0.
 
-    One round scales to each dimension in turn; it ends when the largest step of a round is below CLOSE."""
+    One round scales to each dimension in turn; it ends when the largest step of a round is below CLOSE.
+    Where that is not reached in ROUNDS (targets may not be compatible), a warning says how far the last round moved
+    and how far each dimension's shares are from their targets at most."""
     total = float(cells.agg(F.sum("tokens")).head()[0] or 0)
     fitted = cells.withColumn("weight", F.col("tokens").cast("double"))
     for dim, target in targets.items():
@@ -85,6 +88,12 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
         moved = fitted.agg(F.max(F.abs(F.col("weight") - F.col("before"))).alias("m")).head()["m"] or 0.0
         if moved <= CLOSE * max(total, 1.0):
             break
+    else:
+        far = {}
+        for dim in targets:
+            sums = fitted.groupBy(dim).agg(F.sum("weight").alias("s"), F.first(f"share_{dim}").alias("share"))
+            far[dim] = sums.agg(F.max(F.abs(F.col("s") / F.lit(max(total, 1.0)) - F.col("share"))).alias("m")).head()["m"] or 0.0
+        warnings.warn(f"raked: after {ROUNDS} rounds a cell still moved by {moved:.6g} tokens; shares differ from their targets by {far}", RuntimeWarning, stacklevel=2)
     return fitted.select(*DIMENSIONS, "tokens", "weight")
 
 

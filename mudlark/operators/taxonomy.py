@@ -30,6 +30,7 @@ def lineages(taxa: DataFrame, nodes: DataFrame, merged: DataFrame | None = None,
 
     One join with the tree per step up, over distinct ids only, until none has a parent left; steps
     are written to the checkpoint folder now and then so that the plan stays short. Unknown ids get empty ranks.
+    An id that is more than ``most_depth`` steps from the root, or in a circle, is an error.
     """
     ids = current_ids(taxa, merged, deleted)
     tree = nodes.select(F.col("taxid").alias("at"), "parent", "rank", "name")
@@ -43,6 +44,9 @@ def lineages(taxa: DataFrame, nodes: DataFrame, merged: DataFrame | None = None,
             front, found = checkpointed(front), checkpointed(found)
             if front.isEmpty():
                 break
+    else:
+        if not front.isEmpty():
+            raise RuntimeError(f"lineages: ids have parents left after {most_depth} steps")
 
     def slot(i: int) -> Column:
         if i:

@@ -212,6 +212,17 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, **{i: 5 for i in range(5, 10)}, **{100 + i: 100 for i in range(13)}}
 
 
+def test_limits_are_not_silent(spark, monkeypatch):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "src long, dst long")
+    with pytest.raises(RuntimeError, match="after 2 rounds"):
+        components(chain, most_rounds=2)
+    monkeypatch.setattr(source_mixing, "ROUNDS", 1)
+    cells = spark.createDataFrame([("a", "x", "t", 5), ("a", "y", "t", 90), ("b", "x", "t", 40), ("b", "y", "t", 7)], "source string, lang string, topic string, tokens long")
+    aims = {d: source_mixing.tempered(cells, d, 0.3) for d in ("source", "lang")}
+    with pytest.warns(RuntimeWarning, match="after 1 rounds"):
+        source_mixing.raked(cells, aims)
+
+
 def test_lines(documents):
     got = {r.doc.doc_id: r for r in line_dedup.line_deduplicated(documents).collect()}
     assert got[900012].text == "o\n" and got[900012].n_removed == 4

@@ -73,6 +73,13 @@ def test_lineages_of_merged_and_deleted(spark):
     assert got == {20: "k__Bacteria;p__P;c__;o__;f__;g__;s__S", 99: "k__Bacteria;p__P;c__;o__;f__;g__;s__", 50: an.NO_LINEAGE}
 
 
+def test_too_deep_tree_fails(spark):
+    nodes = spark.createDataFrame([(1, 1, "superkingdom", "Bacteria"), *[(i, i - 1, "clade", "x") for i in range(2, 12)]], "taxid int, parent int, rank string, name string")
+    with pytest.raises(RuntimeError, match="after 8 steps"):
+        taxonomy.lineages(spark.createDataFrame([(11,)], "taxid int"), nodes, most_depth=8)
+    assert taxonomy.lineages(spark.createDataFrame([(11,)], "taxid int"), nodes, most_depth=11).head().lineage.startswith("k__Bacteria")
+
+
 def test_consensus_tie(spark):
     lineage = spark.createDataFrame([(5, LINEAGE), (6, LINEAGE.replace("__A", "__0"))], "taxid int, lineage string")
     lca = spark.createDataFrame([("S", "c-orf1", 5, "x"), ("S", "c-orf2", 6, "x"), ("S", "noorf", 6, "x")], "sample_id string, dna_id string, taxid int, name string")
