@@ -2,17 +2,18 @@
 
 1. Every text gives its set of 5-word shingles (64-bit hashes), a digest of that set and a SuperMinHash
    signature. Equal sets are one class, represented by its smallest id, so copies cost nothing further.
-2. Bands of the signatures are buckets. In a few rounds of a few bands each, every class of a bucket is paired
-   with one hub of it, another in each round, unless both are of one component already. Pairs whose signatures
-   agree are verified on their full sets, and components are formed. So a large group of near copies becomes one
-   component at a few pairs for each member.
-3. Then all bands are used, but only buckets that still hold more than one component. Signatures are compared
-   inside the bucket, only those outside its largest component with the others, and only pairs that agree leave
-   it, to be verified. A bucket of more than BLOCK classes is cut into blocks, those of the largest component
-   and those outside it apart, and each block outside is compared with every block in a cell of its own: a task
-   holds two blocks at a time, and each pair meets once.
-
-A pair of similarity 0.75 shares no band with probability (1 - 0.75**4)**32 = 5e-6.
+2. Bands of the signatures are buckets. The hub of a bucket is its most central class: the one whose bands stand in
+   the most crowded buckets, so of copies of one text the one nearest to their common form. Every class is paired
+   with the hubs of its buckets; pairs whose signatures agree are verified on their full sets, and components are
+   formed. So a large group of near copies becomes one component at a few pairs for each member.
+3. Classes of buckets that still hold several components are joined exactly, on shingles. A class's shingles are put
+   in order of how many of these classes hold them, the rarest first; two sets of the similarity share one among the
+   first quarter of each, and not so far back that too few can follow. Only links between different components are
+   looked for: in the list of a shingle, classes outside its largest component meet those of fitting size, so
+   copies whose own changes rule the similarity out meet nobody. Candidates are verified on their full sets.
+
+A pair of similarity 0.75 shares no band with probability (1 - 0.75**4)**32 = 5e-6 under independent ranks; all that
+follows is exact.
 
 Defined results: null and empty texts and texts without words have an empty set and are linked with nothing;
 texts of fewer than five words have one shingle, their whole sequence; rows with equal ids are nodes of one
@@ -22,6 +23,7 @@ null (kept); an empty table gives no rows; extra columns are not carried.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -37,12 +39,10 @@ from mudlark.llm.shingles import in_slices, mixed, shingle_sets
 RANKS, ROWS = 128, 4
 BANDS = RANKS // ROWS
 SHINGLE = 5
-#: Rounds with hubs, and bands of each.
-STARS, FEW = 3, 4
-#: Classes of a bucket that are compared as they are; of larger buckets, about so many make a block.
-BLOCK = 512
-#: Ranks that must agree before two full sets are compared. A pair of similarity 0.75 has fewer with probability 5e-6.
-AGREE = 74
+#: Ranks that must agree before a class is verified with a hub; a link that this misses is left to the exact join.
+AGREE = 80
+#: Ratio of the sizes that end a size class of the exact join.
+STEP = 1.05
 
 
 def superminhash(hashes: np.ndarray, counts: np.ndarray, ranks: int = RANKS) -> np.ndarray:
@@ -113,7 +113,7 @@ def _signed(batches: Iterator[pa.RecordBatch], size: int, ranks: int) -> Iterato
             hashes, counts = shingle_sets(texts[part], size)
             sig = superminhash(hashes, counts, ranks)
             some = counts > 0
-            keys = [k if s else None for k, s in zip(_digests(hashes, counts), some, strict=True)]
+            keys = [k if s else None for k, s in zip(_digests(hashes, counts), some.tolist(), strict=True)]
             columns = [ids.slice(part.start, part.stop - part.start), pa.array(counts.astype(np.int64)), pa.array(keys, type=pa.binary()), pa.array([r.tobytes() if s else None for r, s in zip(sig, some, strict=True)], type=pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_key", "signature"])
 
@@ -123,9 +123,8 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         texts = [(t or "").encode() for t in batch.column(0).to_pylist()]
         for part in in_slices(texts):
             hashes, counts = shingle_sets(texts[part], size)
-            ends = np.cumsum(counts)
-            sets = [hashes[e - n : e].tobytes() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(_digests(hashes, counts), type=pa.binary()), pa.array(sets, type=pa.binary())], names=["set_key", "hashes"])
+            sets = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(hashes.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(_digests(hashes, counts), type=pa.binary()), sets], names=["set_key", "hashes"])
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -140,8 +139,8 @@ def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
     """Pairs whose full sets have the similarity."""
     for batch in batches:
         keep = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            p, q = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+        for i in range(batch.num_rows):
+            p, q = (batch.column(c)[i].values.to_numpy() for c in (2, 3))
             both = np.concatenate([p, q])
             both.sort()
             shared = int((both[1:] == both[:-1]).sum())
@@ -151,143 +150,112 @@ def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 
 def _near_size(a: str, b: str, percent: int) -> Column:
     """Sets of these sizes can have the similarity at all."""
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b))
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-class _Matcher:
-    """Candidate pairs of classes to verified ones."""
+def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs(a, b)`` of classes: those whose signatures agree."""
+    sig = classes.select("cid", "signature")
+    both = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b")
+    return both.select("a", "b", "sa", "sb").mapInArrow(partial(_agreeing, least=AGREE), "a long, b long")
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, percent: int, size: int):
-        self.docs, self.classes, self.percent, self.size = docs, classes, percent, size
 
-    def likely(self, pairs: DataFrame) -> DataFrame:
-        """``pairs(a, b)`` of class keys: those whose signatures agree."""
-        sig = self.classes.select("set_key", "signature")
-        both = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b")
-        return both.select("a", "b", "sa", "sb").mapInArrow(partial(_agreeing, least=AGREE), "a binary, b binary")
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs(a, b)`` of classes, no pair twice: those whose full sets have the similarity."""
+    own = sets.select("cid", "hashes")
+    both = pairs.join(own.toDF("b", "hb"), "b").join(own.toDF("a", "ha"), "a").select("a", "b", "ha", "hb")
+    return materialise(both.mapInArrow(partial(_similar, percent=percent), "a long, b long"), "linked")
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """``pairs(a, b)`` of class keys, no pair twice: those whose full sets have the similarity."""
-        likely = materialise(pairs, "likely")
-        keys = likely.select(F.col("a").alias("set_key")).union(likely.select("b")).distinct()
-        wanted = self.classes.join(keys, "set_key", "left_semi").select(F.col("rep").alias("doc_id"))
-        texts = self.docs.select("doc_id", "text").join(wanted.distinct(), "doc_id", "left_semi").select("text")
-        sets = texts.mapInArrow(partial(_sets, size=self.size), "set_key binary, hashes binary").dropDuplicates(["set_key"])
-        sets = materialise(sets, "sets")
-        with_both = likely.join(sets.toDF("b", "hb"), "b").join(sets.toDF("a", "ha"), "a").select("a", "b", "ha", "hb")
-        return materialise(with_both.mapInArrow(partial(_similar, percent=self.percent), "a binary, b binary"), "linked")
 
+def _bands() -> Column:
+    """The buckets of a signature's bands."""
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * (2 * ROWS) + 1, 2 * ROWS)))
 
-def near_duplicates(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs(doc_id, text)``."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signed = materialise(docs.mapInArrow(partial(_signed, size=size, ranks=RANKS), "doc_id long, n_shingles long, set_key binary, signature binary"), "signed")
-    classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
-    classes = materialise(classes, "classes")
-    match = _Matcher(docs, classes, percent, size)
-
-    known = classes.where("rep is not null")
-    labels = None
-    for r in range(STARS):
-        rows = _labelled(known, labels).select("set_key", "n", "component", F.explode(_bands(FEW * r, FEW)).alias("bucket"))
-        hub = F.min(F.struct(F.xxhash64(F.lit(r), "set_key").alias("order"), "set_key", "n", "component")).alias("hub")
-        hubs = rows.groupBy("bucket").agg(hub, F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket", "hub")
-        stars = rows.join(hubs, "bucket").where((F.col("component") != F.col("hub.component")) & _near_size("n", "hub.n", percent))
-        found = match.verified(match.likely(stars.select(F.col("hub.set_key").alias("a"), F.col("set_key").alias("b")).distinct()))
-        labels = _joined(labels, found)
-    labels = _joined(labels, match.verified(_across(known, labels, percent)))
-    named = labels.join(classes.select(F.col("set_key").alias("node"), "rep"), "node")
-    named = named.join(named.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select(F.col("node").alias("set_key"), "component_id")
-    names = classes.select("set_key", "rep").join(named, "set_key", "left").select("set_key", F.coalesce("component_id", "rep").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "set_key").join(names, "set_key", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
+def _stars(shared: DataFrame, percent: int) -> DataFrame:
+    """Every class of ``shared(bucket, cid, n, crowd)`` with the most central one of each of its buckets, as ``a, b``."""
+    central = shared.groupBy("cid").agg(F.sum("crowd").alias("central"))
+    hubs = shared.join(central, "cid").groupBy("bucket").agg(F.max(F.struct("central", "cid", "n")).alias("hub"))
+    stars = shared.join(hubs, "bucket").where((F.col("cid") != F.col("hub.cid")) & _near_size("n", "hub.n", percent))
+    return stars.select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
 
-def _joined(labels: DataFrame | None, found: DataFrame) -> DataFrame:
-    """Components of the links so far and those found."""
-    links = found.toDF("src", "dst")
-    return materialise(components(links if labels is None else links.union(labels.toDF("src", "dst"))), "labels")
 
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n) / F.lit(math.log(STEP))).cast("int")
 
-def _labelled(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return classes.withColumn("component", F.col("set_key"))
-    return classes.join(labels.toDF("set_key", "component"), "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
 
+def _entries(classes: DataFrame, percent: int) -> DataFrame:
+    """``s, cid, n, component, at``: of every class of ``classes(cid, n, component, hashes)`` the shingles in its prefix
+    that other classes hold too, with their places in the class's order, the rarest first."""
+    each = classes.select("cid", F.explode("hashes").alias("s"))
+    held = each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    order = each.join(held, "s").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("order"))
+    own = F.col("n") - F.size("order")
+    # the last place that the first common shingle can have, and still the similarity be reached
+    last = F.floor(F.col("n") * (100 - percent) / 100).cast("int")
+    order = classes.select("cid", "n", "component").join(order, "cid").where(last >= own)
+    prefix = F.transform(F.slice("order", 1, last - own + 1), lambda e, k: F.struct(e["s"].alias("s"), (k + own).cast("int").alias("at")))
+    return order.select("cid", "n", "component", F.explode(prefix).alias("e")).select("e.s", "cid", "n", "component", "e.at")
 
-def _bands(first: int, n: int) -> Column:
-    """Buckets of some of a signature's bands."""
-    return F.transform(F.sequence(F.lit(first), F.lit(first + n - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * (2 * ROWS) + 1, 2 * ROWS)))
 
+def _joined_on_shingles(classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different components that can have the similarity, and no pair is left out that has it."""
+    entries = materialise(_entries(classes, percent), "prefixes")
+    size = entries.select("cid", "component").distinct().groupBy("component").agg(F.count("*").alias("size"))
+    lists = entries.join(size, "component").groupBy("s").agg(F.max(F.struct("size", "component")).alias("top"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    entries = entries.join(lists.select("s", F.col("top.component").alias("top")), "s").withColumn("main", F.col("component") == F.col("top"))
+    of = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("cid", "n", "component", "at", "main")]
+    # sizes that fit: 100 o >= percent * (n_x + n_y - o) for an overlap o of all that can follow
+    most = ((100 + percent) * (F.col("n") - F.col("at")) - percent * F.col("n")) / percent
+    sizes = F.sequence(_size_class(F.greatest(F.lit(1), F.col("n") * percent / 100)), _size_class(F.greatest(F.lit(1), F.least(most, F.col("n") * 100 / percent))))
+    outside = entries.where(~F.col("main") & (most >= F.greatest(F.lit(1), F.col("n") * percent / 100))).select("s", F.explode(sizes).alias("size_class"), *of("x"))
+    every = entries.select("s", _size_class(F.col("n")).alias("size_class"), *of("y"))
+    reach = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
+    fits = (F.col("component_x") != F.col("component_y")) & (F.col("main_y") | (F.col("cid_x") < F.col("cid_y"))) & _near_size("n_x", "n_y", percent) & ((100 + percent) * reach >= percent * (F.col("n_x") + F.col("n_y")))
+    pairs = outside.join(every, ["s", "size_class"]).where(fits)
+    return pairs.select(F.least("cid_x", "cid_y").alias("a"), F.greatest("cid_x", "cid_y").alias("b")).distinct()
 
-def _inside(batches: Iterator[pa.RecordBatch], least: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by cell: pairs of one cell that are of different components and agree. Rows of side 0 are
-    compared with each other, those of side 1 with those of side 2."""
-    at, rows = None, []
 
-    def agreeing(rows):
-        if len(rows) < 2:
-            return
-        _, component, size = np.unique(np.array([r[3].hex() for r in rows]), return_inverse=True, return_counts=True)
-        side = np.array([r[5] for r in rows])
-        # of one side those of the largest component come last and are not compared with each other
-        order = np.lexsort((component == size.argmax(), side))
-        component, side, rows = component[order], side[order], [rows[i] for i in order]
-        sig = np.frombuffer(b"".join([r[4] for r in rows]), dtype="<u2").reshape(len(rows), -1)
-        n = np.array([r[2] for r in rows])
-        crossed = bool(side[-1])
-        half = int((side == 1).sum()) if crossed else len(rows) - size.max()
-        for i in range(half):
-            begin = half if crossed else i + 1
-            other = n[begin:]
-            fits = (component[begin:] != component[i]) & (100 * np.minimum(other, n[i]) >= percent * np.maximum(other, n[i]))
-            near = np.flatnonzero(fits) + begin
-            for j in near[(sig[near] == sig[i]).sum(axis=1) >= least].tolist():
-                yield tuple(sorted((rows[i][1], rows[j][1])))
+def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    return classes.join(labels.toDF("cid", "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
 
-    def batch_of(pairs):
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], type=pa.binary()) for k in (0, 1)], names=["a", "b"])
 
-    for batch in batches:
-        found = []
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[0] != at:
-                found += agreeing(rows)
-                at, rows = row[0], []
-            rows.append(row)
-        yield batch_of(found)
-    yield batch_of(list(agreeing(rows)))
-
-
-def _cells(rows: DataFrame, classes: DataFrame, block: int) -> DataFrame:
-    """Rows ``bucket, set_key, n, component`` of buckets with several components, once for every cell in which they
-    are compared, with ``cell``, ``side`` and the class's signature.
-
-    The classes outside a bucket's largest component make ``k`` blocks, those of it the ``m`` blocks behind. There is
-    a cell for every two blocks, one of which is outside, and for each block outside with itself."""
-    of = rows.groupBy("bucket", "component").agg(F.count("*").alias("c"))
-    of = of.groupBy("bucket").agg(F.count("*").alias("components"), F.sum("c").alias("all"), F.max(F.struct("c", "component")).alias("most")).where("components > 1")
-    blocks = lambda n: F.ceil(n / F.lit(block)).cast("int")
-    whole, most = F.col("all") <= block, F.col("most.c")
-    of = of.select("bucket", F.col("most.component").alias("largest"), F.when(whole, 1).otherwise(blocks(F.col("all") - most)).alias("k"), F.when(whole, 0).otherwise(blocks(most)).alias("m"))
-    rows = materialise(rows.join(of, "bucket"), "mixed").join(classes.select("set_key", "signature"), "set_key")
-    main = (F.col("m") > 0) & (F.col("component") == F.col("largest"))
-    own = F.pmod(F.xxhash64("set_key", "bucket"), F.when(main, F.col("m")).otherwise(F.col("k"))).cast("int")
-    rows = rows.withColumn("main", main).withColumn("own", own + F.when(main, F.col("k")).otherwise(0))
-    other = F.transform(
-        F.sequence(F.lit(0), F.when(F.col("main"), F.col("k")).otherwise(F.col("k") + F.col("m")) - 1),
-        lambda j: F.struct(F.least(j, "own").alias("i"), F.greatest(j, "own").alias("j"), F.when(j == F.col("own"), 0).when(j > F.col("own"), 1).otherwise(2).alias("side")),
-    )
-    rows = rows.withColumn("at", F.explode(other))
-    return rows.select(F.xxhash64("bucket", "at.i", "at.j").alias("cell"), "set_key", "n", "component", "signature", "at.side")
-
-
-def _across(classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` that share a bucket, are not yet in one component, and whose signatures agree."""
-    rows = materialise(_labelled(classes, labels).select("set_key", "n", "component", "signature"), "labelled")
-    cells = _cells(rows.select("set_key", "n", "component", F.explode(_bands(0, BANDS)).alias("bucket")), classes, BLOCK)
-    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(partial(_inside, least=AGREE, percent=percent), "a binary, b binary").distinct()
+def near_duplicates(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs(doc_id, text)``."""
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    cid = F.when(F.col("set_key").isNotNull(), F.xxhash64("set_key"))
+    signed = docs.mapInArrow(partial(_signed, size=size, ranks=RANKS), "doc_id long, n_shingles long, set_key binary, signature binary")
+    signed = materialise(signed.select("doc_id", "n_shingles", cid.alias("cid"), "signature"), "signed")
+    classes = signed.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
+    classes = materialise(classes, "classes")
+
+    rows = classes.where("rep is not null").select("cid", "n", F.explode(_bands()).alias("bucket"))
+    crowds = rows.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1")
+    shared = materialise(rows.join(crowds, "bucket"), "shared")
+    wanted = classes.join(shared.select("cid").distinct(), "cid", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    sets = docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(partial(_sets, size=size), "set_key binary, hashes array<long>")
+    sets = materialise(sets.where("size(hashes) > 0").select(cid.alias("cid"), "hashes").dropDuplicates(["cid"]), "sets")
+
+    labels = components(_verified(materialise(_likely(_stars(shared, percent), classes), "likely"), sets, percent).toDF("src", "dst"))
+    labels = materialise(labels, "labels")
+    rows = _labelled(shared.select("bucket", "cid"), labels)
+    mixed_buckets = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
+    open_ = rows.join(mixed_buckets, "bucket", "left_semi").select("cid", "component").distinct()
+    open_ = materialise(open_.join(sets, "cid").select("cid", F.size("hashes").alias("n"), "component", "hashes"), "open")
+    found = _verified(materialise(_joined_on_shingles(open_, percent), "candidates"), sets, percent)
+    # the links found by now, between the components so far
+    named = found.join(labels.toDF("a", "ca"), "a", "left").join(labels.toDF("b", "cb"), "b", "left")
+    links = named.select(F.coalesce("ca", "a").alias("src"), F.coalesce("cb", "b").alias("dst")).distinct()
+    upper = materialise(components(links), "labels")
+    labels = labels.toDF("cid", "component").union(upper.select("node", "node")).distinct()
+    labels = labels.join(upper.toDF("component", "upper"), "component", "left").select("cid", F.coalesce("upper", "component").alias("component"))
+
+    named = labels.join(classes.select("cid", "rep"), "cid")
+    named = named.join(named.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select("cid", "component_id")
+    names = classes.select("cid", "rep").join(named, "cid", "left").select("cid", F.coalesce("component_id", "rep").alias("component_id"))
+    out = signed.select("doc_id", "n_shingles", "cid").join(names, "cid", "left")
+    component = F.coalesce("component_id", "doc_id")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def op4_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

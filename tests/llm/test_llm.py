@@ -144,54 +144,57 @@ def near_brute(sets):
     return {i: root(i) for i in sets}
 
 
+def copies(first, changed, of=250):
+    """Copies of an absent text of 400 words, in each of which some words are replaced by words of its own."""
+    rng, base, out = np.random.default_rng(first), [f"{first}w{i}" for i in range(400)], {}
+    for k in range(of):
+        w = list(base)
+        for at in rng.choice(80, changed, replace=False):
+            w[5 * at] = f"{first}x{k}x{at}"
+        out[first + k] = " ".join(w)
+    return out
+
+
 def test_near_duplicates(spark, documents, texts):
+    """Also: groups of copies all of whose pairs are above, just below and further below the similarity."""
     base = [f"w{i}" for i in range(60)]
     near = {800000 + k: " ".join(base[:k] + [f"v{k}"] + base[k + 1 :]) for k in range(0, 60, 3)}
+    near |= copies(810000, 4) | copies(820000, 9, 60) | copies(830000, 14)
     rows = documents.select("doc_id", "text").union(spark.createDataFrame(list(near.items()), "doc_id long, text string"))
     truth = {i: shingles(t) for i, t in (texts | near).items()}
     roots = near_brute(truth)
+    assert roots[810249] == 810000 and all(roots[i] == i for i in [*range(820000, 820060), *range(830000, 830250)])
     got = minhash_dedup.near_duplicates(rows).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {i: (len(truth[i]), roots[i], roots[i] == i) for i in truth}
     assert minhash_dedup.near_duplicates(without_rows(documents)).count() == 0
 
 
-def signatures():
-    """Classes that all share their first band: sparse families whose members agree in 97 of 128 ranks and share
-    no other band, and one component of 40."""
-    rng = np.random.default_rng(5)
-    rows = []
-    for family in range(60):
-        base = rng.integers(0, 1 << 16, 128)
-        for member in range(3 if family else 40):
-            sig = base.copy()
-            sig[:4] = 7
-            sig[4::4] = rng.integers(0, 1 << 16, 31)
-            rows.append((len(rows), f"{family:03}-{member:03}".encode(), bytearray(sig.astype("<u2").tobytes()), family))
-    return rows
-
-
-def test_large_buckets(spark, monkeypatch):
-    monkeypatch.setattr(minhash_dedup, "BLOCK", 8, raising=False)
-    rows = signatures()
-    classes = spark.createDataFrame([(k, i, 100, s) for i, k, s, _ in rows], "set_key binary, rep long, n long, signature binary")
-    one = [(k, b"000-000") for _, k, _, family in rows if not family]
-    got = [(bytes(r.a), bytes(r.b)) for r in minhash_dedup._across(classes, spark.createDataFrame(one, "node binary, component binary"), 75).collect()]
-    sig = {k: np.frombuffer(bytes(s), dtype="<u2") for _, k, s, _ in rows}
-    family = {k: f for _, k, _, f in rows}
-    truth = {(a, b) for a in sig for b in sig if a < b and (family[a] or family[b]) and (sig[a] == sig[b]).sum() >= minhash_dedup.AGREE}
-    assert len(got) == len(set(got)) and set(got) == truth and len(truth) == 59 * 3
-
-
-def test_cells_bound_rows_and_meet_once(spark):
-    """However large a bucket or its largest component, a cell holds about two blocks, and each pair meets in one."""
-    rows = [(1, f"{i:04}".encode(), 100, b"main" if i < 600 else f"{i:04}".encode()) for i in range(700)]
-    classes = spark.createDataFrame([(r[1], bytearray(256)) for r in rows], "set_key binary, signature binary")
-    cells = defaultdict(list)
-    for r in minhash_dedup._cells(spark.createDataFrame(rows, "bucket long, set_key binary, n long, component binary"), classes, 50).collect():
-        cells[r.cell].append((bytes(r.set_key), r.side))
-    assert max(map(len, cells.values())) < 200
-    met = Counter(frozenset((a, b)) for c in cells.values() for a, x in c for b, y in c if a < b and (x == y == 0 or {x, y} == {1, 2}))
-    assert set(met.values()) == {1} and len(met) == 100 * 99 // 2 + 100 * 600
+def test_copies_that_cannot_reach_the_similarity_meet_nobody(spark):
+    sets = [(i, len(shingles(t)), i, [hash(s) for s in shingles(t)]) for i, t in copies(830000, 14).items()]
+    assert minhash_dedup._joined_on_shingles(spark.createDataFrame(sets, "cid long, n int, component long, hashes array<long>"), 75).count() == 0
+
+
+def test_exact_join_loses_no_link(spark):
+    """Sets of all sizes over few elements, one large component: every link between components is a candidate."""
+    rng = np.random.default_rng(4)
+    sets, component = {}, {}
+    for i in range(400):
+        kind = int(rng.integers(0, 12))
+        pool = np.arange(100 * kind, 100 * kind + 5 + 6 * kind)
+        sets[i] = set(pool[rng.random(len(pool)) < rng.choice([0.95, 0.85, 0.6])].tolist()) or {int(pool[0])}
+        component[i] = 0 if kind == 11 and i % 2 else i
+    classes = spark.createDataFrame([(i, len(s), component[i], sorted(s)) for i, s in sets.items()], "cid long, n int, component long, hashes array<long>")
+    got = [(r.a, r.b) for r in minhash_dedup._joined_on_shingles(classes, 75).collect()]
+    truth = {(i, j) for i in sets for j in sets if i < j and component[i] != component[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert len(got) == len(set(got)) and truth <= set(got) and len(truth) > 300
+    assert all(component[i] != component[j] for i, j in got)
+
+
+def test_near_duplicates_null_and_equal_ids(spark):
+    one, two = " ".join(f"a{i}" for i in range(40)), " ".join(f"a{i}" for i in range(39))
+    rows = [(None, one), (None, one), (7, two), (7, "other words that stand alone here today"), (9, one), (None, "p q r s t u"), (3, None)]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in got) == sorted([(0, 36, 7, False), (0, 36, 7, False), (7, 35, 7, True), (7, 3, 7, True), (9, 36, 7, False), (0, 2, 0, True), (3, 0, 3, True)])
 
 
 def test_superminhash_estimates():
