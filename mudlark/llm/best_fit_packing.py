@@ -2,9 +2,11 @@
 
 The pieces' lengths form a histogram of at most ``capacity`` bins: the only thing that goes to the driver,
 whatever the size of the corpus. There the configuration program (how many sequences of each pattern of
-lengths) is solved by multiplicative weights: the dual price of a length falls as it gets covered, and a
-bounded-knapsack dynamic program finds the pattern of greatest price. The fractional counts are rounded
-down and the rest is filled best fit, longest first, again as patterns with counts. Every piece then finds
+lengths) is solved by multiplicative weights: every length has a weight, which falls by a factor as its demand gets
+covered; the weights are the dual prices, and a bounded-knapsack dynamic program finds the pattern of greatest
+price. Every step uses its pattern a whole number of times, its share of the sequences rounded down, and the steps
+go on, on what is left, until all is placed: every sequence is one of the program's patterns. The prices also bound
+from below what any packing needs; the best bound is kept and given back. Every piece then finds
 its sequence from its rank among the pieces of its length, so no sequence is built in one place.
 
 Defined results: a null or empty text is one piece holding the end id alone; equal ids and equal rows are
@@ -14,13 +16,16 @@ into full pieces and one shorter one.
 
 from __future__ import annotations
 
-import math
+import json
+import logging
+import os
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,55 +33,107 @@ from pyspark.sql import functions as F
 from mudlark.llm.common import materialise, read_table
 
 CAPACITY = 2048
-#: Steps of multiplicative weights, and their rate.
-STEPS, RATE = 256, 4.0
-#: Words whose ids a worker remembers before it starts afresh.
-REMEMBERED = 1_200_000
-#: Signs that are a token of the pre-tokenizer when they end a word; below NO_MARKS normalisation changes no letter.
-SIGNS = frozenset(".,!?;:|*$%&#\"()-")
-NO_MARKS = "\u0300"
+#: Steps of multiplicative weights that the sequences are dealt over, and their rate.
+STEPS, RATE = 256, 0.05
+#: Every so many steps all demand is priced, which gives a bound. Of patterns as full as each other one of longer pieces
+#: is worth more by this power: short pieces are easier to place later.
+BOUNDED, TILT = 128, 1.001
+#: Lengths that a step prices, about; the steps take turns over all.
+PRICED = 600
+#: Bytes of text whose parts are looked up at once.
+SLICE = 24_000_000
+#: Parts of an unusual kind whose ids a worker remembers before it starts afresh.
+REMEMBERED = 400_000
+#: Signs that are a token of the pre-tokenizer when they end a part, and runs of Latin letters with at most one of them
+#: behind: normalisation changes nothing but the case of these.
+SIGNS = ".,!?;:|*$%&#\"()-"
+RUN = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,!?;:|*$%&#\"()\-]?$"
 _WORDS: dict[str, dict[str, bytes]] = {}
 
 
-def id_bytes(tokenizer_name: str) -> Callable[[list[str]], Iterator[bytes]]:
-    """A function from texts to their ids as little-endian 32-bit bytes.
+def _gathered(pool: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``pool`` that begin at ``first``, one behind the other."""
+    ends = np.cumsum(size)
+    return pool[np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Ids:
+    """The ids of texts.
 
     The tokenizer drops white space and its merges never cross it, so the ids of a text are those of its
-    space- and newline-separated parts; those of a part are computed once and remembered, up to a bound.
-    A part of letters with at most one sign behind goes to the merges directly; any other takes the whole way.
+    space- and newline-separated parts; those of a distinct part are computed once for a slice of the texts.
+    Parts of Latin letters with at most one sign behind are runs that the pre-tokenizer leaves as they are: the
+    distinct ones are merged together, in lower case, and a run ends where an id ends a word. Any other part is
+    encoded by itself, and remembered up to a bound.
     """
-    import public_tokenizers
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(tokenizer_name))
-    known = _WORDS.setdefault(tokenizer_name, {})
-    stems = _WORDS.setdefault(f"{tokenizer_name} stems", {})
-    visible = byte_letters()
-
-    def plain(run: str) -> bytes:
-        """Ids of a run of lower-case letters or of one sign: a token of the pre-tokenizer as it stands."""
-        if (got := stems.get(run)) is None:
-            got = stems[run] = np.asarray([x.id for x in tokenizer.model.tokenize(run.encode().decode("latin-1").translate(visible))], dtype="<u4").tobytes()
-        return got
-
-    def word(w: str) -> bytes:
-        low = w.lower()
-        core, sign = (low, "") if low.isalpha() else (low[:-1], low[-1:])
-        if core.isalpha() and (not sign or sign in SIGNS) and max(w) < NO_MARKS and max(low) < NO_MARKS:
-            return plain(core) + plain(sign) if sign else plain(core)
-        return np.asarray(tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def ids(texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            parts = text.replace("\n", " ").split(" ")
-            if len(known) + len(stems) > REMEMBERED:
-                known.clear()
-                stems.clear()
-            for w in set(parts).difference(known):
-                known[w] = word(w)
-            yield b"".join([known[w] for w in parts])
-
-    return ids
+
+    def __init__(self, tokenizer_name: str):
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(tokenizer_name))
+        # the same merges for runs that are already normalised, split and written in byte letters
+        kind = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
+        self.merges = Tokenizer.from_str(json.dumps(kind))
+        self.known = _WORDS.setdefault(tokenizer_name, {})
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.letters = {b: x for b, x in byte_letters().items() if b != 0x20}
+
+    def merged(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct runs, one behind the other, and where each run's end."""
+        out = [np.zeros(0, dtype="<u4")]
+        for begin in range(0, len(runs), 20_000):
+            some = runs.slice(begin, 20_000)
+            edges = np.append(np.arange(0, len(some), 500), len(some)).astype(np.int32)
+            lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges), some.cast(pa.string())), " ").to_pylist()
+            lines = [x if x.isascii() else x.encode().decode("latin-1").translate(self.letters) for x in lines]
+            out += [np.asarray(x.ids, dtype="<u4") for x in self.merges.encode_batch_fast(lines, add_special_tokens=False)]
+        ids = np.concatenate(out)
+        return ids, np.flatnonzero(self.ends[ids]) + 1
+
+    def others(self, words: list[str]) -> list[bytes]:
+        """Ids of parts of any kind."""
+        if len(self.known) + len(words) > REMEMBERED:
+            self.known.clear()
+        new = [w for w in words if w not in self.known]
+        got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.known.update((w, np.asarray(x.ids, dtype="<u4").tobytes()) for w, x in zip(new, got, strict=True))
+        return [self.known[w] for w in words]
+
+    def of_distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct parts, one behind the other, and how many each has."""
+        plain = pc.match_substring_regex(words, RUN)
+        low = pc.utf8_lower(words.filter(plain))
+        core = pc.utf8_rtrim(low, characters=SIGNS)
+        runs = core.dictionary_encode()
+        ids, stop = self.merged(runs.dictionary)
+        first, size = np.append(0, stop[:-1]), np.diff(stop, prepend=0)
+        signs = pc.if_else(pc.equal(core, low), "", pc.utf8_slice_codeunits(low, start=-1)).dictionary_encode()
+        sign_ids = [b"" if x == "" else np.asarray(self.tokenizer.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() for x in signs.dictionary.to_pylist()]
+        odd = self.others(words.filter(pc.invert(plain)).to_pylist())
+        rest = np.frombuffer(b"".join([*sign_ids, *odd]), dtype="<u4")
+        rest_size = np.fromiter(map(len, [*sign_ids, *odd]), dtype=np.int64, count=len(sign_ids) + len(odd)) // 4
+        rest_first = len(ids) + np.cumsum(rest_size) - rest_size
+        # every part is two stretches of the pool: a run and a sign, or one of another kind and nothing
+        where, of_run, of_sign = plain.to_numpy(zero_copy_only=False), runs.indices.to_numpy(), signs.indices.to_numpy()
+        begin, length = (np.zeros((len(words), 2), dtype=np.int64) for _ in range(2))
+        begin[where, 0], length[where, 0] = first[of_run], size[of_run]
+        begin[where, 1], length[where, 1] = rest_first[of_sign], rest_size[of_sign]
+        begin[~where, 0], length[~where, 0] = rest_first[len(sign_ids) :], rest_size[len(sign_ids) :]
+        return _gathered(np.concatenate([ids, rest]), begin.ravel(), length.ravel()), length.sum(axis=1)
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one behind the other, and where each text's end."""
+        parts = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        edges = parts.offsets.to_numpy()
+        coded = parts.values.slice(edges[0], edges[-1] - edges[0]).dictionary_encode()
+        pool, size = self.of_distinct(coded.dictionary)
+        at, first = coded.indices.to_numpy(), np.cumsum(size) - size
+        ids = _gathered(pool, first[at], size[at])
+        return ids, np.append(0, np.cumsum(size[at]))[edges[1:] - edges[0]]
 
 
 def byte_letters() -> dict[int, str]:
@@ -90,19 +147,35 @@ def byte_letters() -> dict[int, str]:
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("part", pa.int64()), ("part_rank", pa.int64())])
 
 
+def _sliced(texts: pa.Array) -> list[tuple[int, int]]:
+    """Ranges of texts of about SLICE bytes; a longer text stands alone."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    edges, begin = [], 0
+    while begin < len(size):
+        before = size[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(size, before + SLICE, side="right")))
+        edges.append((begin, end))
+        begin = end
+    return edges
+
+
 def _cut(batches: Iterator[pa.RecordBatch], tokenizer_name: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    ids = id_bytes(tokenizer_name)
+    of = Ids(tokenizer_name)
     end = np.asarray([end_id], dtype="<u4").tobytes()
     part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
     for batch in batches:
         rows = []
-        for doc_id, buffer in zip(batch.column(0).to_pylist(), ids([t or "" for t in batch.column(1).to_pylist()]), strict=True):
-            buffer += end
-            n = len(buffer) // 4
-            for piece, start in enumerate(range(0, n, capacity)):
-                length = min(capacity, n - start)
-                rows.append((doc_id, piece, start, length, zlib.crc32(buffer[4 * start : 4 * (start + length)]), part, seen[length]))
-                seen[length] += 1
+        doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.large_string())
+        for begin, stop in _sliced(texts):
+            ids, ends = of.of(texts.slice(begin, stop - begin))
+            data, ends = ids.tobytes(), ends.tolist()
+            for doc_id, first, last in zip(doc_ids[begin:stop], [0, *ends], ends):
+                buffer = data[4 * first : 4 * last] + end
+                n = last - first + 1
+                for piece, start in enumerate(range(0, n, capacity)):
+                    length = min(capacity, n - start)
+                    rows.append((doc_id, piece, start, length, zlib.crc32(buffer[4 * start : 4 * (start + length)]), part, int(seen[length])))
+                    seen[length] += 1
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), PIECES, strict=True)], schema=PIECES)
 
@@ -118,86 +191,57 @@ def best_pattern(lengths: np.ndarray, prices: np.ndarray, bound: np.ndarray, cap
 
     A length's bound is split into powers of two; each such item is one vector step over the capacities.
     """
-    best, items, took = np.zeros(capacity + 1), [], []
-    for k in np.flatnonzero(bound):
+    items = []
+    for k in np.flatnonzero(bound).tolist():
         left, size = int(min(bound[k], capacity // lengths[k])), 1
         while left > 0:
             q = min(size, left)
-            w = int(lengths[k]) * q
-            with_it = best[:-w] + prices[k] * q if w else best
-            take = with_it > best[w:]
-            best[w:] = np.where(take, with_it, best[w:])
-            items.append((k, q, w))
-            took.append(take)
+            items.append((k, q, int(lengths[k]) * q, float(prices[k] * q)))
             left, size = left - q, size * 2
+    best, with_it = np.zeros(capacity + 1, dtype=np.float32), np.empty(capacity + 1, dtype=np.float32)
+    took = np.zeros((len(items), capacity + 1), dtype=bool)
+    for i, (_, _, w, price) in enumerate(items):
+        np.add(best[: capacity + 1 - w], price, out=with_it[w:])
+        np.greater(with_it[w:], best[w:], out=took[i, w:])
+        np.maximum(with_it[w:], best[w:], out=best[w:])
     pattern, at = np.zeros(len(lengths), dtype=np.int64), capacity
-    for (k, q, w), take in zip(reversed(items), reversed(took), strict=True):
-        if at >= w and take[at - w]:
+    for i in range(len(items) - 1, -1, -1):
+        if took[i, at]:
+            k, q, w, _ = items[i]
             pattern[k] += q
             at -= w
     return pattern
 
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> list[tuple[dict[int, int], int]]:
-    """Patterns (length -> how many) and how many sequences use each, covering the histogram exactly."""
+def solve(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> tuple[list[tuple[dict[int, int], int]], float]:
+    """Patterns (length -> how many) with how many sequences use each, covering the histogram exactly, and the greatest
+    lower bound met of the number of sequences of any packing."""
     full = histogram.get(capacity, 0)
     out = [({capacity: 1}, full)] if full else []
     lengths = np.array(sorted((x for x in histogram if x < capacity), reverse=True), dtype=np.int64)
     demand = np.array([histogram[x] for x in lengths], dtype=np.int64)
     if not len(lengths):
-        return out
-    covered, used = np.zeros(len(lengths)), {}
+        return out, float(full)
     total = float(lengths @ demand) / capacity
-    for step in range(steps):
-        rest = demand - covered
-        if rest.max() < 1:
-            break
-        # the price of a length: its share of a sequence, weighted down by what is covered beyond the mean
-        prices = lengths / capacity * np.exp(-RATE * (covered / demand - step / steps))
-        pattern = best_pattern(lengths, prices, np.floor(rest).astype(np.int64), capacity)
-        if not pattern.any():
-            break
+    # a length's share of a sequence is a feasible price of the dual program: no pattern is worth more than 1
+    rest, bound, step = demand.copy(), total, 0
+    while rest.any():
+        # a length's weight falls with its share covered; it is compared with the share that all have covered
+        gone = 1 - float(lengths @ rest) / capacity / total
+        weight = (lengths / capacity) ** TILT * np.exp(-RATE * ((demand - rest) / demand - gone))
+        if step % BOUNDED == 0:  # so are the weights over that of the pattern worth most
+            best = best_pattern(lengths, weight, demand, capacity)
+            bound = max(bound, float(weight @ demand) / float(weight @ best))
+        left = np.flatnonzero(rest)
+        left = left[(left + step) % (len(left) // PRICED + 1) == 0] if len(left) > PRICED else left
+        pattern = np.zeros_like(rest)
+        pattern[left] = best_pattern(lengths[left], weight[left], rest[left], capacity)
         on = pattern > 0
-        amount = min(max(1.0, total / steps), float((rest[on] / pattern[on]).min()))
-        covered += amount * pattern
-        key = tuple(zip(lengths[on].tolist(), pattern[on].tolist(), strict=True))
-        used[key] = used.get(key, 0.0) + amount
-    # rounded down; what is left is filled best fit, longest first
-    left = dict(zip(lengths.tolist(), demand.tolist(), strict=True))
-    for key, amount in used.items():
-        count = min([int(amount + 1e-9)] + [left[x] // a for x, a in key])
-        if count:
-            out.append((dict(key), count))
-            for x, a in key:
-                left[x] -= a * count
-    out += filled(left, capacity)
-    if sum(count for _, count in out) <= full + math.ceil(total):
-        return out  # no packing has fewer
-    plain = ([({capacity: 1}, full)] if full else []) + filled(dict(zip(lengths.tolist(), demand.tolist(), strict=True)), capacity)
-    return min(out, plain, key=lambda patterns: sum(count for _, count in patterns))
-
-
-def filled(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Patterns that use up the lengths ``left``: the longest first, and the space behind it filled as full as the
-    others allow, by the same dynamic program with lengths as prices; repeated while the counts last."""
-    out = []
-    while left := {x: c for x, c in left.items() if c}:
-        order = np.array(sorted(left, reverse=True), dtype=np.int64)
-        bound = np.array([left[x] for x in order.tolist()], dtype=np.int64)
-        bound[0] -= 1
-        space = capacity - int(order[0])
-        bound[order > space] = 0
-        pattern = {int(order[0]): 1}
-        if space and bound.any():
-            rest = best_pattern(order, order.astype(float), bound, space)
-            for x, a in zip(order.tolist(), rest.tolist(), strict=True):
-                if a:
-                    pattern[x] = pattern.get(x, 0) + a
-        count = min(left[x] // a for x, a in pattern.items())
-        out.append((pattern, count))
-        for x, a in pattern.items():
-            left[x] -= a * count
-    return out
+        count = min(max(1, int(total / steps)), int((rest[on] // pattern[on]).min()))
+        out.append((dict(zip(lengths[on].tolist(), pattern[on].tolist(), strict=True)), count))
+        rest -= count * pattern
+        step += 1
+    return out, full + bound
 
 
 def slots(patterns: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]:
@@ -217,14 +261,29 @@ def slots(patterns: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]:
     return {n: np.array([r[i] for r in rows], dtype=np.int64) for i, n in enumerate(names)}
 
 
-def _place(batches: Iterator[pa.RecordBatch], table: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+
+
+def _place(batches: Iterator[pa.RecordBatch], table: dict[str, np.ndarray], capacity: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by part, and in a part those (without ``piece``) that say how many pieces of a length are in the parts before."""
     key = (table["length"] << 48) + table["first"]
+    at, before = None, np.zeros(capacity + 1, dtype=np.int64)
     for batch in batches:
-        length, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 5))
-        k = np.searchsorted(key, (length << 48) + rank, side="right") - 1
-        turn, place = np.divmod(rank - table["first"][k], table["each"][k])
-        columns = [*batch.columns[:5], pa.array(table["base"][k] + turn), pa.array(table["offset"][k] + place * length)]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+        part, length, rank = (batch.column(c).to_numpy() for c in ("part", "length", "part_rank"))
+        head = batch.column("head").to_numpy(zero_copy_only=False)
+        edges = np.flatnonzero(np.diff(part, prepend=-1)) if len(part) else []
+        for a, b in zip(edges, [*edges[1:], len(part)], strict=True):
+            if part[a] != at:
+                at, before = part[a], np.zeros(capacity + 1, dtype=np.int64)
+            own = head[a:b]
+            before[length[a:b][own]] = rank[a:b][own]
+            rows = batch.slice(a, b - a).filter(pa.array(~own))
+            n = length[a:b][~own]
+            r = rank[a:b][~own] + before[n]
+            k = np.searchsorted(key, (n << 48) + r, side="right") - 1
+            turn, place = np.divmod(r - table["first"][k], table["each"][k])
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in names], pa.array(table["base"][k] + turn), pa.array(table["offset"][k] + place * n)], names=[*names, "sequence_id", "offset"])
 
 
 def pack(docs: DataFrame, tokenizer_name: str = "word_bpe_49k.json", end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
@@ -232,11 +291,16 @@ def pack(docs: DataFrame, tokenizer_name: str = "word_bpe_49k.json", end_id: int
     pieces = materialise(pieces_of(docs, tokenizer_name, end_id, capacity), "pieces")
     counts = materialise(pieces.groupBy("length", "part").count(), "piece-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # at most `capacity` rows
-    table = slots(solve(histogram, capacity))
-    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("length", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
-    ranked = pieces.join(starts, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("part_rank")).alias("rank"))
-    return ranked.mapInArrow(partial(_place, table=table), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    patterns, bound = solve(histogram, capacity)
+    used = sum(count for _, count in patterns)
+    logging.getLogger(__name__).info("%d sequences in %d patterns; no packing has fewer than %.1f", used, len(patterns), bound)
+    table = slots(patterns)
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("part", "length", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("part_rank"), F.lit(True).alias("head"))
+    # a part's counts meet its pieces, and nothing of all parts is sent to every task
+    both = pieces.withColumn("head", F.lit(False)).unionByName(starts, allowMissingColumns=True)
+    both = both.repartition("part").sortWithinPartitions("part", F.desc("head"))
+    return both.mapInArrow(partial(_place, table=table, capacity=capacity), PLACED)
 
 
 def op8_best_fit_packing(spark, sf_dir: str) -> DataFrame:

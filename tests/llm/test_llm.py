@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,13 +90,37 @@ def test_packing(documents, texts):
 def test_packing_covers_any_histogram():
     for h in ({2048: 3}, {1: 1}, {1500: 7, 600: 3, 500: 9, 48: 5}, {x: x % 5 + 1 for x in range(1, 2048, 7)}):
         used = Counter()
-        for pattern, count in best_fit_packing.solve(h):
+        patterns, bound = best_fit_packing.solve(h)
+        assert bound <= sum(count for _, count in patterns) + 1e-6
+        for pattern, count in patterns:
             assert sum(x * a for x, a in pattern.items()) <= 2048 and count > 0
             for x, a in pattern.items():
                 used[x] += a * count
         assert used == h
 
 
+def test_packing_comes_near_its_bound():
+    """Every sequence is a pattern of the program, and their number lies by its own bound."""
+    rng = np.random.default_rng(2)
+    for n in (300, 4000):
+        h = Counter(np.minimum(2047, 1 + rng.gamma(1.2, 500, n).astype(int)).tolist())
+        patterns, bound = best_fit_packing.solve(h)
+        assert bound <= sum(count for _, count in patterns) <= np.ceil(bound) * 1.001 + 1
+    # two prices of which no pattern holds more than one: the bound sees it, the mean length does not
+    patterns, bound = best_fit_packing.solve({1100: 50})
+    assert sum(count for _, count in patterns) == 50 and bound > 49
+
+
+def test_packing_ids_of_odd_parts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    odd = ["Éa ßtraße ÀÉ.  \n\n x y don't I'll ａ İstanbul ŒUVRE #tag a--b <|endoftext|> 1234", "", None, "a", "ÿ.Ÿ é Å", "e\u0301 \u00a0x (y) \"z\" ;; .", "Ĳ ŉ ǆ ſ µ"]
+    ids, ends = best_fit_packing.Ids("word_bpe_49k.json").of(pa.array(odd, type=pa.large_string()))
+    assert [p.tolist() for p in np.split(ids, ends[:-1])] == [t.encode(x or "", add_special_tokens=False).ids for x in odd]
+
+
 def test_token_counts(documents, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
