@@ -8,10 +8,11 @@ context seen in training.
 
 How it runs: documents are dealt into blocks by a hash of their id. A block gives its distinct n-grams (context
 and byte) with their training counts, in packs by bucket; a bucket holds all n-grams whose contexts end in the same
-bytes, so whole subtrees. There the trees' lower levels are built, the few levels above are grouped sums over
-all buckets, and every distinct n-gram is scored once. The scores go back to the blocks that asked, where each text
-is read off. Nothing is broadcast or sent to the driver; a block's table is bounded by its bytes, a bucket's by
-the number of contexts that share an ending.
+bytes, so whole subtrees. A bucket's packs are merged a few at a time; of the merged table the trees' lower levels are
+built, and the few levels above are grouped sums over all buckets. Then the packs pass by their bucket's table one by
+one, and the scores go back to the blocks that asked, where each text is read off. Nothing is broadcast or sent to the
+driver; a block's table is bounded by its bytes, a bucket's by the number of contexts that share an ending, however
+many blocks hold them.
 
 Defined results: a null text counts as empty: its score is that of the end sign at the start of a text; rows with
 equal or null ids are scored on their own (a null id is training data); an empty table gives no rows; without
@@ -37,8 +38,8 @@ from mudlark.llm.shingles import _LOWER, in_slices, mixed, word_hashes
 DEPTH = 5
 #: Sign of the end of a text, and of what is before its start: a byte that UTF-8 never has.
 END = 0xFF
-#: Bytes of text in a block, about.
-BLOCK = 16 << 20
+#: Bytes of text in a block, about, and in one of a small table.
+BLOCK, LEAST_BLOCK = 16 << 20, 4 << 20
 
 
 def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +95,7 @@ def _counted(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Ite
             order = np.argsort(where, kind="stable")
             key, n, where = key[order], n[order], where[order]
             edges = np.flatnonzero(np.diff(where, prepend=-1))
-            rows = [(at, kind, int(where[a]), key[a:b].tobytes(), n[a:b].astype("<u8" if n[a:b].max() >> 32 else "<u4").tobytes()) for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(key)], strict=True)]
+            rows = [(at, kind, int(where[a]), key[a:b].tobytes(), _count_bytes(n[a:b])) for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(key)])]  # none of a block without words
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), PACK, strict=True)], schema=PACK)
 
@@ -163,60 +164,96 @@ def _subtrees(gram: np.ndarray, n: np.ndarray, depth: int, top: int) -> list[tup
 
 
 def _merged_grams(packs: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(packs) == 1:
+        return _unpacked(*packs[0])
     both = [_unpacked(k, t) for k, t in packs]
-    gram, back = np.unique(np.concatenate([k for k, _ in both]), return_inverse=True)
-    return gram, np.bincount(back, weights=np.concatenate([t for _, t in both])).astype(np.int64)
+    key, n = np.concatenate([k for k, _ in both]), np.concatenate([t for _, t in both])
+    order = np.argsort(key)
+    key = key[order]
+    new = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
+    return key[new], np.add.reduceat(n[order], new)
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], list[tuple]]]:
-    """Rows sorted by kind and bucket, gathered by these (columns 1 and 2)."""
-    at, rows = None, []
+def _count_bytes(n: np.ndarray) -> bytes:
+    return n.astype("<u8" if n.max() >> 32 else "<u4").tobytes()
+
+
+#: Blocks of the rows of a bucket's merged table and of what the levels above have said of its nodes.
+MERGED, HANDED = -2, -1
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One pack for each bucket of rows sorted by kind and bucket: its distinct keys with their counts. What is held is
+    merged whenever it is twice the last merged table."""
+    at, held, size, last = None, [], 0, 0
+
+    def pack():
+        key, n = _merged_grams(held)
+        return pa.RecordBatch.from_arrays([*[pa.array([x], type=pa.int32()) for x in (MERGED, *at)], pa.array([key.tobytes()], type=pa.binary()), pa.array([_count_bytes(n)], type=pa.binary())], schema=PACK)
+
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if (row[1], row[2]) != at:
-                if rows:
-                    yield at, rows
-                at, rows = (row[1], row[2]), []
-            rows.append(row)
-    if rows:
-        yield at, rows
+        for _, kind, bucket, keys, train in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (kind, bucket) != at:
+                if held:
+                    yield pack()
+                at, held, size, last = (kind, bucket), [], 0, 0
+            held.append((keys, train))
+            size += len(keys)
+            if size > max(16 << 20, 2 * last) and len(held) > 1:
+                key, n = _merged_grams(held)
+                held = [(key.tobytes(), _count_bytes(n))]
+                size = last = 8 * len(key)
+    if held:
+        yield pack()
 
 
 def _tops(batches: Iterator[pa.RecordBatch], depth: int, top: int) -> Iterator[pa.RecordBatch]:
     """The ``top`` level of a bucket's subtrees; of words, how many are known and their training tokens."""
     names = ["kind", "bucket", "node", "n", "n1", "mix", "own", "p"]
-    for (kind, bucket), rows in _by_bucket(batches):
-        key, n = _merged_grams([(r[3], r[4]) for r in rows])
-        if kind == GRAM:
-            node, total, ones, mix, own, p, _ = _subtrees(key, n, depth, top)[-1]
-        else:
-            node, total, ones = np.zeros(1, dtype=np.int64), np.array([n.sum()], dtype=float), np.array([(n > 0).sum()], dtype=float)
-            mix = own = p = np.zeros(1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), kind, dtype=np.int32)), pa.array(np.full(len(node), bucket, dtype=np.int32)), pa.array(node), pa.array(total.astype(np.int64)), pa.array(ones.astype(np.int64)), pa.array(mix), pa.array(own), pa.array(p)], names=names)
+    for batch in batches:
+        for _, kind, bucket, keys, train in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            key, n = _unpacked(keys, train)
+            if kind == GRAM:
+                node, total, ones, mix, own, p, _ = _subtrees(key, n, depth, top)[-1]
+            else:
+                node, total, ones = np.zeros(1, dtype=np.int64), np.array([n.sum()], dtype=float), np.array([(n > 0).sum()], dtype=float)
+                mix = own = p = np.zeros(1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), kind, dtype=np.int32)), pa.array(np.full(len(node), bucket, dtype=np.int32)), pa.array(node), pa.array(total.astype(np.int64)), pa.array(ones.astype(np.int64)), pa.array(mix), pa.array(own), pa.array(p)], names=names)
+
+
+def _values(kind: int, key: np.ndarray, n: np.ndarray, handed: list[tuple[bytes, bytes]], depth: int, top: int) -> np.ndarray:
+    """Of a bucket's grams the log10 probability, of words the count."""
+    if kind == WORD:
+        return n.astype("<f8")
+    (place, bit), *levels = _subtrees(key, n, depth, top)
+    said, rest = np.zeros(len(levels[-1][0])), np.zeros(len(levels[-1][0]))
+    for node, values in handed:
+        k = np.searchsorted(levels[-1][0], np.frombuffer(node, dtype=np.int64))
+        said[k], rest[k] = np.frombuffer(values, dtype=np.float64).reshape(2, -1)
+    for _, _, _, _, own, p, back in reversed(levels[:-1]):
+        said, rest = said[back] + rest[back] * own * p, rest[back] * (1 - own)
+    p1 = said[place]  # the leaves' own share is 1: nothing rests
+    return np.log10(np.where(bit == 1, p1, 1 - p1)).reshape(-1, 8).sum(axis=1).astype("<f4")
 
 
 def _answers(batches: Iterator[pa.RecordBatch], depth: int, top: int) -> Iterator[pa.RecordBatch]:
-    """For every pack the values of its keys in their order: of grams the log10 probability, of words the count.
-    A row of ``block`` -1 holds what the levels down to ``top`` have said of the bucket's nodes."""
-    for (kind, bucket), rows in _by_bucket(batches):
-        packs = [r for r in rows if r[0] >= 0]
-        key, n = _merged_grams([(r[3], r[4]) for r in packs])
-        if kind == GRAM:
-            (place, bit), *levels = _subtrees(key, n, depth, top)
-            said = np.zeros(len(levels[-1][0]))
-            rest = np.zeros(len(levels[-1][0]))
-            for r in rows:
-                if r[0] < 0:
-                    k = np.searchsorted(levels[-1][0], np.frombuffer(r[3], dtype=np.int64))
-                    said[k], rest[k] = np.frombuffer(r[4], dtype=np.float64).reshape(2, -1)
-            for _, _, _, _, own, p, back in reversed(levels[:-1]):
-                said, rest = said[back] + rest[back] * own * p, rest[back] * (1 - own)
-            p1 = said[place]  # the leaves' own share is 1: nothing rests
-            value = np.log10(np.where(bit == 1, p1, 1 - p1)).reshape(-1, 8).sum(axis=1)
-        else:
-            value = n.astype(float)
-        out = [(r[0], kind, bucket, value[np.searchsorted(key, np.frombuffer(r[3], dtype=np.int64))].astype("<f4" if kind == GRAM else "<f8").tobytes()) for r in packs]
-        yield pa.RecordBatch.from_arrays([*[pa.array([o[i] for o in out], type=pa.int32()) for i in range(3)], pa.array([o[3] for o in out], type=pa.binary())], names=["block", "kind", "bucket", "value"])
+    """For every pack the values of its keys in their order. Rows come sorted by kind, bucket and block, so a bucket's
+    merged table and what was handed down to it before the packs."""
+    at = key = n = value = None
+    handed: list[tuple[bytes, bytes]] = []
+    for batch in batches:
+        for block, kind, bucket, keys, train in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (kind, bucket) != at:
+                at, value, handed = (kind, bucket), None, []
+            if block == MERGED:
+                key, n = _unpacked(keys, train)
+            elif block == HANDED:
+                handed.append((keys, train))
+            else:
+                if value is None:
+                    value = _values(kind, key, n, handed, depth, top)
+                out = value[np.searchsorted(key, np.frombuffer(keys, dtype=np.int64))].tobytes()
+                yield pa.RecordBatch.from_arrays([*[pa.array([x], type=pa.int32()) for x in (block, kind, bucket)], pa.array([out], type=pa.binary())], names=["block", "kind", "bucket", "value"])
 
 
 def _log_gamma(x: Column) -> Column:
@@ -262,28 +299,28 @@ def _read_off(docs: pd.DataFrame, table: pd.DataFrame, depth: int, buckets: int,
     """A block's texts read off the answers: the score of each, and the baseline's sum of log10(count + 1/2). The
     answers of a bucket are in the order of the block's keys, which the texts give again."""
     texts = [(t or "").encode() for t in docs["text"]]
-    parts = in_slices(texts)
+    # of every part its distinct keys, and which of them stands where
     found = {GRAM: [], WORD: []}
-    for part in parts:
-        for kind, keys in _tables(texts[part], depth).items():
-            found[kind].append(np.unique(keys))
-    look = {}
+    sizes = {GRAM: [], WORD: []}
+    for part in in_slices(texts):
+        for kind, (keys, lens) in {GRAM: grams(texts[part], depth), WORD: word_hashes(texts[part])}.items():
+            keys, where = np.unique(keys.view(np.int64), return_inverse=True)
+            found[kind].append((keys, where.astype(np.int32)))
+            sizes[kind].append(lens)
+    values = {}
     for kind in (GRAM, WORD):
-        keys = np.unique(np.concatenate(found[kind]))
-        where = _bucket(kind, keys, depth, buckets)
+        keys = np.unique(np.concatenate([k for k, _ in found[kind]]))
+        bucket = _bucket(kind, keys, depth, buckets)
         own = table[table["kind"] == kind].sort_values("bucket")
         value = np.empty(len(keys))
-        value[np.argsort(where, kind="stable")] = np.frombuffer(b"".join(own["value"]), dtype="<f4" if kind == GRAM else "<f8")
-        look[kind] = keys, value
+        value[np.argsort(bucket, kind="stable")] = np.frombuffer(b"".join(own["value"]), dtype="<f4" if kind == GRAM else "<f8")
+        values[kind] = [value[np.searchsorted(keys, k)] for k, _ in found[kind]]
     score, base, known, tokens = ([np.zeros(0)] for _ in range(4))
-    for part in parts:
-        keys, values = look[GRAM]
-        g, lens = grams(texts[part], depth)
-        score.append(np.add.reduceat(values[np.searchsorted(keys, g)], np.cumsum(lens) - lens))
-        keys, values = look[WORD]
-        words, lens = word_hashes(texts[part])
-        count = values[np.searchsorted(keys, words.view(np.int64))] if len(words) else np.zeros(0)
-        begin, total = np.cumsum(lens) - lens, np.concatenate([[0.0], np.cumsum(np.log10(count + 0.5))])
+    for value, (_, where), lens in zip(values[GRAM], found[GRAM], sizes[GRAM], strict=True):
+        score.append(np.add.reduceat(value[where], np.cumsum(lens) - lens))
+    for value, (_, where), lens in zip(values[WORD], found[WORD], sizes[WORD], strict=True):
+        count = value[where]
+        begin, total = np.cumsum(lens) - lens, np.concatenate([[0.0], np.cumsum(np.log10(value + 0.5)[where])])
         seen = np.concatenate([[0], np.cumsum(count > 0)])
         base.append(total[begin + lens] - total[begin] + math.log10(end_count + 0.5))
         known.append(seen[begin + lens] - seen[begin] + (end_count > 0))
@@ -298,23 +335,26 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     ``score`` is the tree model's log10 probability of the text, ``base_score`` that of the unigram baseline over
     words and an end token, ``bits_per_byte`` the tree model's code length."""
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    blocks = max(1, math.ceil(size / BLOCK))
-    buckets, top = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(TOP, depth)
+    # blocks of BLOCK bytes, or smaller ones if there are cores for more
+    spark = docs.sparkSession
+    blocks = max(1, math.ceil(size / BLOCK), min(2 * spark.sparkContext.defaultParallelism, math.ceil(size / LEAST_BLOCK)))
+    buckets, top = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / LEAST_BLOCK)), min(TOP, depth)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("held_out", F.lit(False)).alias("held_out"), F.col("text").cast("string"))
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).cast("int"))
     dealt = docs.select("block", "held_out", "text").repartition("block").sortWithinPartitions("block")
     packs = materialise(dealt.mapInArrow(partial(_counted, depth=depth, buckets=buckets), PACK_KIND), "packs")
 
     def gathered(rows: DataFrame) -> DataFrame:
-        return rows.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
+        return rows.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
 
-    tops = materialise(gathered(packs).mapInArrow(partial(_tops, depth=depth, top=top), "kind int, bucket int, node long, n long, n1 long, mix double, own double, p double"), "tops")
+    table = materialise(gathered(packs).mapInArrow(_merged, PACK_KIND), "merged")
+    tops = materialise(table.mapInArrow(partial(_tops, depth=depth, top=top), "kind int, bucket int, node long, n long, n1 long, mix double, own double, p double"), "tops")
     word = tops.where(f"kind = {WORD}").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("n1"), F.lit(0)).alias("v")).head()
     trained = docs.where(~F.col("held_out")).count()
     total, distinct = word["n"] + trained, word["v"] + (trained > 0)
     handed = _handed(tops.where(f"kind = {GRAM}").drop("kind"), top)
     handed = handed.mapInArrow(_handed_packs, PACK_KIND)
-    answers = gathered(packs.union(handed)).mapInArrow(partial(_answers, depth=depth, top=top), "block int, kind int, bucket int, value binary")
+    answers = gathered(packs.union(table).union(handed)).mapInArrow(partial(_answers, depth=depth, top=top), "block int, kind int, bucket int, value binary")
     out = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(lambda d, t: _read_off(d, t, depth, buckets, trained), SCORED)
     return out.select(
         "doc_id",
@@ -329,13 +369,13 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 def _handed_packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of nodes as packs of block -1, one for each bucket in a batch."""
+    """Rows of nodes as packs of block HANDED, one for each bucket in a batch."""
     for batch in batches:
         bucket, node, said, rest = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         rows = []
         for b in np.unique(bucket).tolist():
             own = bucket == b
-            rows.append((-1, GRAM, b, node[own].tobytes(), np.stack([said[own], rest[own]]).tobytes()))
+            rows.append((HANDED, GRAM, b, node[own].tobytes(), np.stack([said[own], rest[own]]).tobytes()))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), PACK, strict=True)], schema=PACK)
 
