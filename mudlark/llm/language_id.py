@@ -2,8 +2,12 @@
 
 For each row and language the logarithms are added of: the text's likelihood under hashed byte trigrams, tempered
 because neighbouring trigrams repeat each other; the probability that a page in the language declares what it
-declares, and has the address suffix it has; and the prior of its host, smoothed towards the prior of its
-suffix, and that towards the overall one. Text counts, reliabilities and priors are grouped sums over all rows.
+declares; and the prior of its host, smoothed towards the prior of its address suffix, and that towards the overall
+one. So a suffix counts once, through the priors; of a row without host it is the prior itself. Text counts,
+reliabilities and priors are grouped sums over all rows, and a row's own share is taken off them before it is judged
+(but for the trigram counts, where labelled texts count themselves).
+
+Texts go through Python once: what comes out, the row with its likelihoods, is written and read from then on.
 
 Every label is a language, however few rows it has. The model is BUCKETS log-probabilities for each, 128 KB,
 on the driver and in every worker; a task that counts holds the counts of HELD languages at a time.
@@ -19,13 +23,14 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from mudlark.llm.common import materialise, read_table
-from mudlark.llm.shingles import _LOWER, in_slices
+from mudlark.llm.shingles import _LOWER, byte_slices
 
 BUCKETS = 1 << 15
 HELD = 64
@@ -39,8 +44,11 @@ def _buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Trigram buckets of texts with a space at either end, and where each text's begin."""
     data = _LOWER[np.frombuffer(b"".join(b" " + t + b"  " for t in texts), dtype=np.uint8)].astype(np.uint32)
     h = (data[:-2] * np.uint32(0x9E3779B1) + data[1:-1] * np.uint32(0x85EBCA6B) + data[2:] * np.uint32(0xC2B2AE35)) >> np.uint32(17)
-    lens = np.fromiter((len(t) + 3 for t in texts), dtype=np.int64, count=len(texts))
-    return h.astype(np.int64), np.cumsum(lens) - lens
+    lens = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
+    inside = np.ones(len(h), dtype=bool)
+    ends = np.cumsum(lens + 2)[:-1]
+    inside[ends - 1] = inside[ends - 2] = False  # those that reach into the next text
+    return h[inside].astype(np.int64), np.cumsum(lens) - lens
 
 
 def _counted(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[pa.RecordBatch]:
@@ -53,17 +61,18 @@ def _counted(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterato
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), k, dtype=np.int32)), pa.array(bucket.astype(np.int32)), pa.array(n[bucket])], names=["k", "bucket", "n"])
 
     for batch in batches:
-        own: dict[int, list[bytes]] = {}
-        for x, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own.setdefault(at[x], []).append((t or "").encode())
-        for k, texts in own.items():
-            if k not in total:
-                if len(total) == HELD:
-                    yield from summed()
-                    total.clear()
-                total[k] = np.zeros(BUCKETS, dtype=np.int64)
-            for part in in_slices(texts):
-                total[k] += np.bincount(_buckets(texts[part])[0], minlength=BUCKETS)
+        labels = batch.column(0).to_pylist()
+        for begin, texts in byte_slices(batch.column(1)):
+            own: dict[int, list[bytes]] = {}
+            for x, t in zip(labels[begin : begin + len(texts)], texts, strict=True):
+                own.setdefault(at[x], []).append(t)
+            for k, some in own.items():
+                if k not in total:
+                    if len(total) == HELD:
+                        yield from summed()
+                        total.clear()
+                    total[k] = np.zeros(BUCKETS, dtype=np.int64)
+                total[k] += np.bincount(_buckets(some)[0], minlength=BUCKETS)
     yield from summed()
 
 
@@ -80,29 +89,28 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return languages, p.astype(np.float32)
 
 
-def likelihoods(model: np.ndarray):
-    """A UDF from a text to the tempered log-likelihood of each language; null for texts without a letter."""
-
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            out: list[np.ndarray | None] = []
-            letters = [bool(t) and any(map(str.isalpha, t)) for t in texts]
-            data = [(t or "").encode() for t in texts]
-            for part in in_slices(data):
-                h, begin = _buckets(data[part])
-                sums = np.stack([np.add.reduceat(np.append(m[h], np.float32([0, 0])).astype(np.float64), begin) for m in model], axis=1) * TEMPER
-                out += [s if ok else None for s, ok in zip(sums, letters[part], strict=True)]
-            yield pd.Series(out, dtype=object)
-
-    return F.pandas_udf(score, "array<double>")
+def _scored(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows with ``lik``, the tempered log-likelihood of each language, in place of ``text``; null for texts without a
+    letter."""
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        text = batch.column(at)
+        letters = pc.fill_null(pc.match_substring_regex(text, r"\pL"), False).to_numpy(zero_copy_only=False)
+        for begin, texts in byte_slices(text):
+            h, first = _buckets(texts)
+            sums = np.stack([np.add.reduceat(m[h].astype(np.float64), first) for m in model], axis=1) * TEMPER
+            rows = batch.slice(begin, len(texts))
+            lik = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * len(model)), pa.array(sums.ravel()), mask=pa.array(~letters[begin : begin + len(texts)]))
+            columns = [c for i, c in enumerate(rows.columns) if i != at]
+            yield pa.RecordBatch.from_arrays([*columns, lik], names=[*[n for n in batch.schema.names if n != "text"], "lik"])
 
 
-def _shares(rows: DataFrame, key: str, n: int) -> DataFrame:
-    """Per value of ``key`` the expected rows of each language."""
-    return rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"of_{key}")).agg(F.array(*[F.sum(F.get("text_only", F.lit(i))) for i in range(n)]).alias(f"n_{key}"))
+def _sums(rows: DataFrame, keys: list[str], name: str, n: int) -> DataFrame:
+    """Per value of the keys, none null but the last, the expected rows of each language."""
+    return rows.where(F.col(keys[0]).isNotNull()).groupBy(*[F.col(k).alias(f"of_{name}_{k}") for k in keys]).agg(F.array(*[F.sum(F.get("own", F.lit(i))) for i in range(n)]).alias(f"n_{name}"))
 
 
-def _normal(logs, n: int):
+def _normal(logs: Column) -> Column:
     """Logarithms to probabilities that sum to 1."""
     top = F.array_max(logs)
     e = F.transform(logs, lambda x: F.exp(x - top))
@@ -110,40 +118,35 @@ def _normal(logs, n: int):
 
 
 def identified(rows: DataFrame, languages: list[str], model: np.ndarray) -> DataFrame:
-    """``rows(text, declared, suffix, host, ...)`` with ``language``, ``confidence`` and ``kept``."""
+    """``rows(doc, text, declared, suffix, host)``, but for the text, with ``language``, ``confidence`` and ``kept``."""
     n = len(languages)
     if not n:
-        return rows.select("*", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("kept"))
-    score = likelihoods(model)
-    small = rows.select("declared", "suffix", "host", score("text").alias("lik")).where("lik is not null")
-    small = materialise(small.withColumn("text_only", _normal(F.col("lik"), n)), "likelihoods")
-    overall = small.agg(*[F.coalesce(F.sum(F.get("text_only", F.lit(i))), F.lit(0.0)).alias(f"n{i}") for i in range(n)]).head()
+        return rows.drop("text").select("*", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("kept"))
+    kinds = StructType([*[f for f in rows.schema.fields if f.name != "text"], StructField("lik", ArrayType(DoubleType()))])
+    held = materialise(rows.mapInArrow(partial(_scored, model=model), kinds).withColumn("own", _normal(F.col("lik"))), "likelihoods")
+    small = held.select("declared", "suffix", "host", "own").where("own is not null")
+    overall = small.agg(*[F.coalesce(F.sum(F.get("own", F.lit(i))), F.lit(0.0)).alias(f"n{i}") for i in range(n)]).head()
     total = [float(x) for x in overall]
-    prior = [(t + 1.0) / (sum(total) + n) for t in total]
-    # P(declared | language) and P(suffix | language), with room for values never seen with the language
-    tables = {}
-    for key in ("declared", "suffix"):
-        of = _shares(small, key, n)
-        tables[key] = of.select(f"of_{key}", F.array(*[F.log((F.get(f"n_{key}", F.lit(i)) + BETA) / F.lit(total[i] + 10 * BETA)) for i in range(n)]).alias(f"log_{key}"))
-    # host prior: own rows, smoothed by its suffix's rows, these by all rows
-    suffixes = small.where("suffix is not null").groupBy("suffix").agg(F.array(*[F.sum(F.get("text_only", F.lit(i))) for i in range(n)]).alias("ns"))
-    suffixes = suffixes.select("suffix", F.array(*[(F.get("ns", F.lit(i)) + KAPPA * prior[i]) / (F.aggregate("ns", F.lit(0.0), lambda a, b: a + b) + KAPPA) for i in range(n)]).alias("ps"))
-    hosts = small.where("host is not null").groupBy("host", "suffix").agg(F.array(*[F.sum(F.get("text_only", F.lit(i))) for i in range(n)]).alias("nh"))
-    hosts = hosts.join(suffixes, "suffix", "left").withColumn("ps", F.coalesce("ps", F.array(*[F.lit(p) for p in prior])))
-    hosts = hosts.select(
-        F.col("host").alias("of_host"),
-        F.col("suffix").alias("of_host_suffix"),
-        F.array(*[F.log((F.get("nh", F.lit(i)) + KAPPA * F.get("ps", F.lit(i))) / (F.aggregate("nh", F.lit(0.0), lambda a, b: a + b) + KAPPA)) for i in range(n)]).alias("log_host"),
-    )
-    hosts, declared, suffix = (materialise(t, "evidence") for t in (hosts, tables["declared"], tables["suffix"]))
-    out = rows.withColumn("lik_", score("text"))
-    out = out.join(declared, out["declared"] == declared["of_declared"], "left").join(suffix, F.col("suffix") == suffix["of_suffix"], "left")
-    out = out.join(hosts, (F.col("host") == hosts["of_host"]) & F.col("suffix").eqNullSafe(F.col("of_host_suffix")), "left")
-    logs = F.array(*[F.get("lik_", F.lit(i)) + F.coalesce(F.get("log_host", F.lit(i)), F.lit(float(np.log(prior[i])))) + F.coalesce(F.get("log_declared", F.lit(i)), F.lit(0.0)) + F.coalesce(F.get("log_suffix", F.lit(i)), F.lit(0.0)) for i in range(n)])
-    out = out.withColumn("post_", F.when(F.col("lik_").isNotNull(), _normal(logs, n)))
+    declared, suffixes, hosts = (materialise(_sums(small, keys, name, n), "evidence") for keys, name in ((["declared"], "declared"), (["suffix"], "suffix"), (["host", "suffix"], "host")))
+    out = held.join(declared, F.col("declared") == F.col("of_declared_declared"), "left").join(suffixes, F.col("suffix") == F.col("of_suffix_suffix"), "left")
+    out = out.join(hosts, (F.col("host") == F.col("of_host_host")) & F.col("suffix").eqNullSafe(F.col("of_host_suffix")), "left")
+
+    def smoothed(name: str, i: int, prior: Column) -> Column:
+        """The other rows' share of a language, as if KAPPA more rows had the prior's; without such rows the prior."""
+        rest = F.get(f"n_{name}", F.lit(i)) - F.get("own", F.lit(i))
+        all_ = F.aggregate(f"n_{name}", F.lit(0.0), lambda a, b: a + b) - 1
+        return F.when(F.col(f"n_{name}").isNull(), prior).otherwise((F.greatest(rest, F.lit(0.0)) + KAPPA * prior) / (F.greatest(all_, F.lit(0.0)) + KAPPA))
+
+    logs = []
+    for i in range(n):
+        own = F.get("own", F.lit(i))
+        prior = smoothed("host", i, smoothed("suffix", i, (total[i] - own + 1.0) / (sum(total) - 1.0 + n)))
+        says = F.log((F.greatest(F.get("n_declared", F.lit(i)) - own, F.lit(0.0)) + BETA) / (total[i] - own + 10 * BETA))
+        logs.append(F.get("lik", F.lit(i)) + F.log(prior) + F.when(F.col("n_declared").isNull(), 0.0).otherwise(says))
+    out = out.withColumn("post_", F.when(F.col("lik").isNotNull(), _normal(F.array(*logs))))
     best = F.array_max("post_")
     out = out.withColumn("confidence", F.coalesce(best, F.lit(0.0))).withColumn("language", F.get(F.array(*map(F.lit, languages)), (F.array_position("post_", best) - 1).cast("int")))
-    return out.withColumn("kept", F.col("confidence") >= SURE).select(*rows.columns, "language", "confidence", "kept")
+    return out.withColumn("kept", F.col("confidence") >= SURE).select(*[c for c in rows.columns if c != "text"], "language", "confidence", "kept")
 
 
 def of_documents(docs: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from mudlark.llm.common import materialise, read_table
 from mudlark.llm.components import components
-from mudlark.llm.shingles import in_slices, mixed, shingle_sets
+from mudlark.llm.shingles import byte_slices, mixed, shingle_sets
 
 RANKS, ROWS = 128, 4
 BANDS = RANKS // ROWS
@@ -108,21 +108,19 @@ def _digests(hashes: np.ndarray, counts: np.ndarray) -> list[bytes]:
 
 def _signed(batches: Iterator[pa.RecordBatch], size: int, ranks: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts = batch.column(0), [(t or "").encode() for t in batch.column(1).to_pylist()]
-        for part in in_slices(texts):
-            hashes, counts = shingle_sets(texts[part], size)
+        for begin, texts in byte_slices(batch.column(1)):
+            hashes, counts = shingle_sets(texts, size)
             sig = superminhash(hashes, counts, ranks)
             some = counts > 0
             keys = [k if s else None for k, s in zip(_digests(hashes, counts), some.tolist(), strict=True)]
-            columns = [ids.slice(part.start, part.stop - part.start), pa.array(counts.astype(np.int64)), pa.array(keys, type=pa.binary()), pa.array([r.tobytes() if s else None for r, s in zip(sig, some, strict=True)], type=pa.binary())]
+            columns = [batch.column(0).slice(begin, len(texts)), pa.array(counts.astype(np.int64)), pa.array(keys, type=pa.binary()), pa.array([r.tobytes() if s else None for r, s in zip(sig, some, strict=True)], type=pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_key", "signature"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [(t or "").encode() for t in batch.column(0).to_pylist()]
-        for part in in_slices(texts):
-            hashes, counts = shingle_sets(texts[part], size)
+        for _, texts in byte_slices(batch.column(0)):
+            hashes, counts = shingle_sets(texts, size)
             sets = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(_digests(hashes, counts), type=pa.binary()), sets], names=["set_key", "hashes"])
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Odd multipliers modulo 2**64: bytes of a word, words of a shingle.
 _BYTE, _WORD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -87,3 +91,16 @@ def in_slices(texts: list[bytes], most: int = 1_000_000) -> list[slice]:
             begin, size = i, 0
         size += len(t) + 1
     return [*out, slice(begin, len(texts))] if len(texts) > begin else out
+
+
+def byte_slices(texts: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, list[bytes]]]:
+    """A column of texts as UTF-8, about so many bytes at a time (a longer text stands alone), each slice with the row
+    where it begins; null counts as empty."""
+    data = texts.cast(pa.large_binary())
+    size = np.cumsum(pc.fill_null(pc.binary_length(data), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    begin = 0
+    while begin < len(size):
+        before = int(size[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(size, before + most, side="right")))
+        yield begin, [t or b"" for t in data.slice(begin, end - begin).to_pylist()]
+        begin = end

@@ -338,12 +338,13 @@ def tree_brute(docs, depth):
     return out
 
 
-def test_context_tree(spark, documents):
-    docs = [("The cat sat on the mat. The cat.", False), ("the dog sat", True), ("", False), (None, True), ("ééé the cat\nñ", False), ("zzzz", True)]
+def test_context_tree(spark, documents, monkeypatch):
+    """At the shipped depth, over several blocks, with rows that repeat."""
+    monkeypatch.setattr(context_tree, "BLOCK", 24)
+    docs = [("The cat sat on the mat. The cat.", False), ("the dog sat", True), ("", False), (None, True), ("ééé the cat\nñ", False), ("zzzz", True), ("The cat sat on the mat. The cat.", False), ("one more line", False)]
     rows = spark.createDataFrame([(i, t, h, 1) for i, (t, h) in enumerate(docs)], "doc_id long, text string, held_out boolean, block int")
-    for depth in (4,):
-        got = sorted(context_tree.scored(rows, depth).collect())
-        assert [r.score for r in got] == pytest.approx(tree_brute(docs, depth), abs=1e-4)
+    got = sorted(context_tree.scored(rows).collect())
+    assert [r.score for r in got] == pytest.approx(tree_brute(docs, context_tree.DEPTH), abs=1e-4)
     counts = Counter(w for t, h in docs if not h for w in [*words(t), None])
     n, v = sum(counts.values()), len(counts)
     for r in got:
@@ -393,6 +394,67 @@ def test_language(spark, documents):
     assert one[1].language == "de" and one[1].suffix == "de" and not one[2].kept
 
 
+def fused_brute(rows, labelled):
+    """Posteriors row by row: rows of (text, declared, suffix, host), labelled rows of (text, language)."""
+    def buckets(text):
+        data = b" " + re.sub(b"[A-Z]", lambda m: m[0].lower(), text.encode()) + b"  "
+        return [((a * 0x9E3779B1 + b * 0x85EBCA6B + c * 0xC2B2AE35) % 2**32) >> 17 for a, b, c in zip(data, data[1:], data[2:])]
+
+    names = sorted({x for _, x in labelled})
+    counts = {x: Counter() for x in names}
+    for text, x in labelled:
+        counts[x].update(buckets(text))
+    size = {x: sum(counts[x].values()) for x in names}
+    log_p = lambda x, h: math.log((counts[x][h] + language_id.ALPHA) / (size[x] + language_id.ALPHA * language_id.BUCKETS))
+    normal = lambda logs: [math.exp(v - max(logs)) / sum(math.exp(u - max(logs)) for u in logs) for v in logs]
+    lik = [[language_id.TEMPER * sum(log_p(x, h) for h in buckets(r[0])) for x in names] if r[0] and any(map(str.isalpha, r[0])) else None for r in rows]
+    own = [normal(v) if v else None for v in lik]
+
+    def others(i, where):
+        got = [own[j] for j in range(len(rows)) if j != i and own[j] and where(rows[j])]
+        return [sum(v[k] for v in got) for k in range(len(names))], len(got)
+
+    out = []
+    for i, (_, declared, suffix, host) in enumerate(rows):
+        if not lik[i]:
+            out.append((None, 0.0))
+            continue
+        of, n = others(i, lambda r: True)
+        prior = [(v + 1) / (n + len(names)) for v in of]
+        for there, where in ((suffix, lambda r: r[2] == suffix), (host, lambda r: r[2:] == (suffix, host))):
+            if there is not None:
+                more, m = others(i, where)
+                prior = [(v + language_id.KAPPA * q) / (m + language_id.KAPPA) for v, q in zip(more, prior)]
+        says = [0.0] * len(names)
+        if declared is not None:
+            d, _ = others(i, lambda r: r[1] == declared)
+            says = [math.log((a + language_id.BETA) / (b + 10 * language_id.BETA)) for a, b in zip(d, of)]
+        post = normal([a + math.log(b) + c for a, b, c in zip(lik[i], prior, says)])
+        out.append((names[post.index(max(post))], max(post)))
+    return out
+
+
+def test_fused_evidence(spark):
+    rng = np.random.default_rng(6)
+    pools = {"aa": "ka ta ma na pa", "bb": "ka ri mi ni pi", "cc": "zo to mo no po"}
+    say = lambda x, n: " ".join(rng.choice(pools[x].split(), n)).capitalize()
+    labelled = [(say(x, 12), x) for x in pools for _ in range(5)]
+    rows = []
+    for _ in range(60):
+        x = str(rng.choice(list(pools)))
+        rows.append((say(x, int(rng.integers(1, 4))), *(None if rng.random() < 0.3 else v for v in (x if rng.random() < 0.8 else "bb", "s" + x[0], f"h{rng.integers(0, 4)}"))))
+    rows += [(None, "aa", "sa", "h1"), ("", None, None, None), ("12 34", "bb", None, "h2"), rows[0], rows[0]]
+    docs = spark.createDataFrame(labelled, "text string, lang string")
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "n long, text string, declared string, suffix string, host string")
+    table = table.select(F.struct("n", F.lit(1).alias("own"), F.lit(2).alias("lik")).alias("doc"), "text", "declared", "suffix", "host")
+    got = {r.doc.n: (r.language, r.confidence) for r in language_id.identified(table, *language_id.train(docs)).collect()}
+    want = fused_brute(rows, labelled)
+    assert [got[i][0] for i in range(len(rows))] == [w[0] for w in want]
+    assert [got[i][1] for i in range(len(rows))] == pytest.approx([w[1] for w in want], abs=1e-4)
+    none = language_id.identified(table, *language_id.train(docs.where("false"))).collect()
+    assert len(none) == len(rows) and not any(r.kept or r.language for r in none)
+
+
 def test_rare_languages(spark, monkeypatch):
     monkeypatch.setattr(language_id, "HELD", 2, raising=False)
     common = "the cat sat with the other animals and then went home again "
@@ -406,17 +468,24 @@ def test_rare_languages(spark, monkeypatch):
 
 
 def test_pipeline(spark):
+    """Every stage on rows with nulls, empty texts, repeated rows and columns of clashing names; and on no rows."""
     import corpus_pipeline
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    line = "a line that stands in several documents and is long enough to be one by itself, with more than twenty words in all of it"
+    odd = [(None, line, "en", "src1"), (900001, None, "en", "src1"), (900002, "", None, None), (900003, f"{line}\n{line}", "en", None), (900004, "x " * 9000, "en", "src1"), (900003, f"{line}\n{line}", "en", None)]
+    odd = spark.createDataFrame([(i, t, x, s, 0) for i, t, x, s in odd], "doc_id long, text string, lang string, source string, n_chars long")
+    clashing = ["kept_id", "cid", "row", "lik", "own", "language", "kept", "component", "p", "tokens", "part", "doc", "host"]
+    docs = docs.unionByName(odd).select("*", *[F.lit(i).alias(c) for i, c in enumerate(clashing)])
+    none, ids = docs.where("false"), {r.doc_id for r in docs.select("doc_id").collect()}
     for name, stage in corpus_pipeline.STAGES:
-        before, docs = docs, stage(spark, docs, SF)
+        before, docs, none = docs, stage(spark, docs, SF), stage(spark, none, SF)
         docs = docs.cache()
         own = {r.doc_id for r in docs.select("doc_id").collect()}
-        assert own and own <= ids, name
+        assert own and own <= ids and none.count() == 0, name
         if name != "best_fit_packing":
-            assert docs.columns == before.columns
+            assert docs.columns == before.columns and docs.where("kept_id <> 0 or host <> 12").count() == 0
+            none = none.select(docs.columns)
         ids = own
     assert {"sequence_id", "offset", "piece"} <= set(docs.columns)
 
