@@ -3,9 +3,12 @@
 A unit is a line with a word; its hash is that of the line without white space at its ends. Fingerprints are
 the window minima over the hashes of ``GRAM`` consecutive units, so any run of ``GRAM + WINDOW - 1`` units
 that stands in two places has a fingerprint in common; a unit of ``LONG`` words or more is a fingerprint by
-itself. Every place of a fingerprint is joined to its first place only (in order of doc_id and line), the match
-is extended both ways along that diagonal, and its units are deleted from the later place where they form a
-run of ``GRAM`` units or are long. The first place of a line is never deleted.
+itself. Every place of a fingerprint is joined to its first place (in order of doc_id and line), to the first that
+has the same unit before it, and to the first that has the same unit behind it; the matches are extended both ways
+along these diagonals, and their units are deleted from the later place where they form a run of ``GRAM`` units or are
+long. So of every run of ``GRAM + WINDOW - 1`` units that stands earlier each unit goes: its fingerprint and the unit
+beside it have their first place where the whole run stands. The first place of a line is never deleted.
+A line of ``LONG`` words or more goes by itself, a shorter one only in a run: short lines repeat by chance.
 
 Native: DataFrame functions only. What is shuffled are hashes; a fingerprint's places are aggregated to their
 minimum and never gathered, so a line that stands in a third of all documents is one row of that aggregate.
@@ -50,10 +53,12 @@ def _units(docs: DataFrame) -> DataFrame:
 
 
 def _places(units: DataFrame) -> DataFrame:
-    """``fp, row, id, u``: the fingerprints and where they stand."""
-    picked = F.transform(_minima(F.col("grams")), lambda i: F.struct(F.get("grams", i).alias("fp"), i.alias("u")))
-    long = F.filter(F.transform("h", lambda h, i: F.struct(F.xxhash64(F.lit("long"), h).alias("fp"), i.alias("u"))), lambda x: F.get("long", x["u"]))
-    return units.select("row", "id", F.explode(F.concat(picked, long)).alias("p")).select("p.fp", "row", "id", "p.u")
+    """``fp, row, id, u, left, right``: the fingerprints, where they stand, and the units beside them."""
+    beside = lambda i: (F.when(i > 0, F.get("h", i - 1)).alias("left"), F.get("h", i + GRAM).alias("right"))
+    picked = F.transform(_minima(F.col("grams")), lambda i: F.struct(F.get("grams", i).alias("fp"), i.alias("u"), *beside(i)))
+    nothing = (F.lit(None).cast("long").alias("left"), F.lit(None).cast("long").alias("right"))
+    long = F.filter(F.transform("h", lambda h, i: F.struct(F.xxhash64(F.lit("long"), h).alias("fp"), i.alias("u"), *nothing)), lambda x: F.get("long", x["u"]))
+    return units.select("row", "id", F.explode(F.concat(picked, long)).alias("p")).select("p.fp", "row", "id", "p.u", "p.left", "p.right")
 
 
 def _repeated(units: DataFrame) -> DataFrame:
@@ -61,7 +66,12 @@ def _repeated(units: DataFrame) -> DataFrame:
     places = _places(units)
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"), F.col("u"))
     first = places.groupBy("fp").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
-    links = places.join(first, "fp").where((F.col("row") != F.col("first.row")) | (F.col("u") != F.col("first.u")))
+    twice = materialise(places.join(first.select("fp", "first"), "fp"), "places")
+    links = [twice.select("row", "u", "first")]
+    for side in ("left", "right"):
+        keyed = twice.where(F.col(side).isNotNull()).select("row", "id", "u", F.xxhash64(F.lit(side), "fp", side).alias("key"))
+        links.append(keyed.join(keyed.groupBy("key").agg(F.min(order).alias("first")), "key").select("row", "u", "first"))
+    links = links[0].union(links[1]).union(links[2]).where((F.col("row") != F.col("first.row")) | (F.col("u") != F.col("first.u")))
     lines = links.select("row", F.col("first.row").alias("src"), (F.col("u") - F.col("first.u")).alias("shift")).distinct()
     own, other = units.select("row", "h", "long"), units.select(F.col("row").alias("src"), F.col("h").alias("h_src"))
     both = lines.join(own, "row").join(other, "src")
