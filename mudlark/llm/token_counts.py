@@ -28,6 +28,7 @@ from mudlark.llm.common import materialise, read_table
 
 #: Documents whose sums a task holds before it passes them on, and characters of text behind one set of postings.
 HELD, POSTED = 500_000, 24_000_000
+MOST = 65_535
 _SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Fixed value: the pre-token pattern of byte-level vocabularies, with white space spelt out.
 PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
@@ -59,12 +60,14 @@ def _frequencies(text: str, find, cut, specials: tuple[str, ...]) -> tuple[Count
 
 def _packed(base: int, held: dict[str, list[int]], buckets: int) -> pa.RecordBatch:
     """A row for each bucket of pre-tokens: their bytes end to end and lengths, how many postings each has, and the
-    postings: places of documents after ``base`` and counts up to 255 (a larger one is several postings)."""
+    postings: places of documents after ``base`` and counts up to 255 (a larger one is several postings; a pre-token of
+    more than MOST postings stands there several times)."""
     packs = defaultdict(lambda: ([], [], []))
     for token, postings in held.items():
         data = token.encode()
         tokens, docs, counts = packs[zlib.crc32(data) % buckets]
-        tokens.append((data, len(postings) // 2))
+        n = len(postings) // 2
+        tokens += [(data, min(n - k, MOST)) for k in range(0, n, MOST)]
         docs += postings[0::2]
         counts += postings[1::2]
     rows = []
