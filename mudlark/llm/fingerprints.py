@@ -13,6 +13,7 @@ is the row itself; rows with equal ids are ordered by their text; a null id come
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -28,6 +29,8 @@ from mudlark.llm.shingles import in_slices, mixed, shingle_sets
 #: Share of the hash range that is retained.
 FRACTION = 0.25
 SHINGLE = 5
+#: Bytes of text in a range, about.
+RANGE = 16 << 20
 
 
 def sketches(texts: list[bytes], fraction: float = FRACTION, size: int = SHINGLE) -> list[tuple[np.ndarray, str]]:
@@ -58,6 +61,36 @@ def likeness(a: tuple[np.ndarray, str], b: tuple[np.ndarray, str]) -> tuple[floa
     return both / (len(a[0]) + len(b[0]) - both), both / len(a[0]), both / len(b[0])
 
 
+def hashes_of(fingerprint: str) -> list[str]:
+    """The retained hashes of a fingerprint, each as 16 hexadecimal digits, in ascending order."""
+    kept = fingerprint.split(":")[1]
+    return [kept[k : k + 16] for k in range(0, len(kept), 16)]
+
+
+def merge(fingerprints: list[str]) -> str:
+    """The fingerprint of the joined set of shingles: the union of the retained hashes. Which shingles were not retained
+    is not known any more, so it has no digest behind the hashes; it merges and compares on."""
+    kept = sorted(set().union(*map(hashes_of, fingerprints)))
+    return f"{len(kept)}:{''.join(kept)}:"
+
+
+def merged(rows: DataFrame, key: str) -> DataFrame:
+    """``key, hash``: the joined sketch of all rows of ``rows(key, fingerprint)`` with a key (null is one), as a table,
+    so that a group of any size has one. Distinct per task before the shuffle; fingerprints without hashes give no rows."""
+    kept = F.element_at(F.split("fingerprint", ":"), 2)
+    hashes = F.transform(F.sequence(F.lit(0), (F.length(kept) / 16).cast("int") - 1), lambda i: F.substring(kept, i * 16 + 1, F.lit(16)))
+    return rows.where(F.length(kept) > 0).select(F.col(key).alias("key"), F.explode(hashes).alias("hash")).distinct()
+
+
+def containments(sketches_: DataFrame, others: DataFrame) -> DataFrame:
+    """``key, other, contained``: which share of each joined sketch of ``sketches_(key, hash)`` lies in each of ``others``
+    that it shares a hash with."""
+    size = sketches_.groupBy("key").agg(F.count("*").alias("n"))
+    both = sketches_.join(others.select(F.col("key").alias("other"), "hash"), "hash").groupBy("key", "other").agg(F.count("*").alias("both"))
+    on = both["key"].eqNullSafe(size["key"])
+    return both.join(size, on).select(both["key"], "other", (F.col("both") / F.col("n")).alias("contained"))
+
+
 def _plain(batches: Iterator[pa.RecordBatch], fraction: float, size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
@@ -121,9 +154,8 @@ def in_ranges(docs: DataFrame, parts: int) -> DataFrame:
     """``doc_id, text, part, after``: ranges of documents in descending order, each with the first row of the
     next one marked ``after``. The limits are ids of the table, so only ids (one for each range) reach the driver."""
     ids = F.percentile_approx("doc_id", [i / parts for i in range(1, parts + 1)], 20 * parts)
-    limits = np.unique(np.array(docs.select(ids).head()[0] or [], dtype=np.int64))
-    top = docs.agg(F.max("doc_id")).head()[0]
-    limits = np.unique(np.append(limits, [top] if top is not None else []).astype(np.int64))
+    some, top = docs.agg(ids, F.max("doc_id")).head()
+    limits = np.unique(np.array([*(some or []), *([] if top is None else [top])], dtype=np.int64))
 
     def ranges(doc_id: pd.Series) -> pd.Series:
         """The range of an id, and that before it (of the first: the last) if it opens the range."""
@@ -147,7 +179,9 @@ def next_compared(docs: DataFrame, parts: int | None = None) -> DataFrame:
 
     Whole texts are shuffled once, into ranges of ids; inside a range they stream by in order.
     """
-    parts = parts or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not parts:
+        size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+        parts = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / RANGE))
     rows = in_ranges(docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")), parts)
     rows = rows.repartition("part").sortWithinPartitions("part", "after", F.col("doc_id").desc_nulls_last(), "text")
     kind = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, contained_in_next double"
