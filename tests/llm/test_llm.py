@@ -99,6 +99,22 @@ def test_packing_covers_any_histogram():
         assert used == h
 
 
+def test_token_counts_of_a_pre_token_with_many_postings(spark, monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_counts, "MOST", 3)
+    texts_ = [" the" * 2000 + " end", "the the", None, " the"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts_)], "doc_id long, text string").coalesce(1)
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(rows).collect()} == {i: len(t.encode(x or "").ids) for i, x in enumerate(texts_)}
+    held = {"a": [0, 255] * 70_000}
+    got = token_counts._packed(0, held, 4).to_pylist()[0]
+    monkeypatch.undo()
+    wide = token_counts._packed(0, held, 4).to_pylist()[0]
+    assert len(got["docs"]) == len(wide["docs"]) == 140_000 and len(wide["holders"]) == 4
+
+
 def test_packing_comes_near_its_bound():
     """Every sequence is a pattern of the program, and their number lies by its own bound."""
     rng = np.random.default_rng(2)
@@ -149,6 +165,31 @@ def test_fingerprints(documents, texts):
     assert fingerprints.next_compared(without_rows(documents)).count() == 0
 
 
+def test_fingerprints_next(spark):
+    """Likeness to the next document, with null and equal ids; merged sketches; all in one range or in many."""
+    base = [f"w{i}" for i in range(3000)]
+    texts_ = [(9, " ".join(base)), (7, " ".join(base[:2000])), (7, " ".join(base[:2000])), (5, " ".join(base[1000:])), (None, "q r s"), (None, None), (1, "")]
+    rows = spark.createDataFrame(texts_, "doc_id long, text string")
+    order = [texts_[0], texts_[1], texts_[2], texts_[3], texts_[6], texts_[5], texts_[4]]
+    jaccard = lambda a, b: 1.0 if a == b else len(a & b) / len(a | b)
+    for parts in (1, 4):
+        got = sorted(((r.doc_id or 0, r.n_chars, r.near_next, r.contained_in_next) for r in fingerprints.next_compared(rows, parts).collect()), key=lambda r: (-r[0], r[1]))
+        for (doc_id, n_chars, near, part), (i, t), (_, u) in zip(got, order, [*order[1:], order[0]], strict=True):
+            a, b = shingles(t), shingles(u)
+            assert (doc_id, n_chars) == (i or 0, len(t or ""))
+            assert abs(near - jaccard(a, b)) < 0.06
+            assert part is None or not a or abs(part - len(a & b) / len(a)) < 0.06
+    some = [" ".join(base[k : k + 500]) for k in range(0, 2000, 400)]
+    own = [fingerprints.sketches([t.encode()])[0][1] for t in some]
+    whole = fingerprints.sketches([" ".join(base[:2100]).encode()])[0][1]
+    assert fingerprints.hashes_of(fingerprints.merge(own)) == fingerprints.hashes_of(whole)
+    assert fingerprints.merge([fingerprints.merge(own[:2]), *own[2:]]) == fingerprints.merge(own)
+    table = fingerprints.merged(spark.createDataFrame([("a", f) for f in own] + [(None, own[0]), ("b", "0::1")], "source string, fingerprint string"), "source")
+    assert sorted(r.hash for r in table.where("key = 'a'").collect()) == fingerprints.hashes_of(whole)
+    part = {r.key: r.contained for r in fingerprints.containments(table, table.where("key = 'a'")).collect()}
+    assert part == {"a": 1.0, None: 1.0}
+
+
 def near_brute(sets):
     parent = {i: i for i in sets}
 
@@ -251,6 +292,38 @@ def test_limits_are_not_silent(spark, monkeypatch):
         source_mixing.raked(cells, aims)
 
 
+def test_lines_against_brute_force(spark):
+    """What goes stood before, in a run or as a long line; and of every run of three lines that stood before all goes."""
+    rng = np.random.default_rng(8)
+    long = " ".join("w" * 25)
+    pool = [*"abcdefgh", long, long + " x"]
+    docs = [["A", "B", "X"], ["A", "B", "C"], ["A", "B", "C"], ["X", "Y"], ["X", "Y", "Z"], ["X", "Y", "Z"]]
+    docs += [[str(x) for x in rng.choice(pool, int(rng.integers(0, 9)))] for _ in range(150)]
+    ids = [None if i % 40 == 39 else i // 2 if i >= 100 else i for i in range(len(docs))]
+    rows = spark.createDataFrame([(i, "\n".join(d), 5) for i, d in zip(ids, docs, strict=True)], "doc_id long, text string, row int").coalesce(1)
+    order = sorted(range(len(docs)), key=lambda k: (ids[k] is None, ids[k] or 0, k))
+    rank = {k: n for n, k in enumerate(order)}
+    kept = {}
+    for r in line_dedup.line_deduplicated(rows).collect():
+        kept.setdefault((r.doc.doc_id, r.doc.text), []).append(r.text)
+    places = defaultdict(list)
+    for k in order:
+        for n in (1, 2, 3):
+            for u in range(len(docs[k]) - n + 1):
+                places[tuple(docs[k][u : u + n])].append((rank[k], u))
+    for k, d in enumerate(docs):
+        before = lambda n, u: 0 <= u <= len(d) - n and places[tuple(d[u : u + n])][0] < (rank[k], u)
+        must = {u + j for u in range(len(d) - 2) if before(3, u) for j in range(3)} | {u for u in range(len(d)) if len(d[u].split()) >= 20 and before(1, u)}
+        may = must | {u + j for u in range(len(d) - 1) if before(2, u) for j in range(2)}
+        options = set()
+        for own in kept[ids[k], "\n".join(d)]:
+            stay, gone = own.split("\n") if own else [], []
+            options.add(tuple(stay))
+        least, most = [x for u, x in enumerate(d) if u not in may], [x for u, x in enumerate(d) if u not in must]
+        within = lambda small, large: not (rest := iter(large)) or all(x in rest for x in small)
+        assert any(within(least, o) and within(o, most) for o in options), (d, options)
+
+
 def test_lines(documents):
     got = {r.doc.doc_id: r for r in line_dedup.line_deduplicated(documents).collect()}
     assert got[900012].text == "o\n" and got[900012].n_removed == 4
