@@ -26,14 +26,30 @@ def weighted_subsystems(subsystems: DataFrame) -> DataFrame:
     return rows.join(rows.groupBy("func").agg(F.count("*").alias("n_subsystems")), "func")
 
 
+def with_function(hits: DataFrame, trembl: DataFrame) -> DataFrame:
+    """Hits with the function of their accession, null where there is none."""
+    return with_accession(hits).join(functions_of(trembl), "accession", "left")
+
+
+def counted_functions(hits: DataFrame, trembl: DataFrame, *keys: str) -> DataFrame:
+    """``sample_id, func, <keys>, n_aligned``: hits summed before they are expanded to subsystems. Weights are shares of
+    counts, so sums of weights stay the same, over far fewer rows; hits without a function are one row of a sample."""
+    return with_function(hits, trembl).groupBy("sample_id", "func", *keys).agg(F.sum("n_aligned").alias("n_aligned"))
+
+
+def expanded(rows: DataFrame, subsystems: DataFrame) -> DataFrame:
+    """Rows of ``func, n_aligned`` once for every subsystem row of their function, with ``weight``."""
+    out = rows.join(weighted_subsystems(subsystems), "func", "left")
+    return out.withColumn("weight", F.col("n_aligned") / F.coalesce("n_subsystems", F.lit(1)))
+
+
 def annotate(hits: DataFrame, trembl: DataFrame, subsystems: DataFrame) -> DataFrame:
     """Each hit once for every subsystem row of its function, with ``weight`` = count / number of these rows.
 
     Hits without accession, function or subsystem stay as one row with weight = count, so a sample's weights
     sum to its counts. Sizes decide whether Spark broadcasts a reference table.
     """
-    out = with_accession(hits).join(functions_of(trembl), "accession", "left").join(weighted_subsystems(subsystems), "func", "left")
-    return out.withColumn("weight", F.col("n_aligned") / F.coalesce("n_subsystems", F.lit(1)))
+    return expanded(with_function(hits, trembl), subsystems)
 
 
 def with_lineage(rows: DataFrame, lineage: DataFrame) -> DataFrame:
@@ -47,16 +63,18 @@ def has_subsystem(column: str = "superclass"):
 
 
 def top_hits(hits: DataFrame, trembl: DataFrame, subsystems: DataFrame, mode: str = "f", seed: int = 0) -> DataFrame:
-    """A query's hits by mode: ``f`` the first that has a subsystem (else the first), ``t`` the first, ``r`` one at
-    random (by a seeded hash), ``a`` all, ``s`` all with a subsystem. First is by ``row_no``, then subsystem."""
-    rows = with_accession(hits).join(functions_of(trembl), "accession", "left").join(weighted_subsystems(subsystems).drop("n_subsystems"), "func", "left")
+    """A query's hits by mode: ``f`` the first that has a subsystem (a query without one has no row), ``t`` the first,
+    ``r`` one at random (by a seeded hash), ``a`` all, ``s`` all with a subsystem. First is by ``row_no``, then subsystem."""
+    rows = with_function(hits, trembl).join(weighted_subsystems(subsystems).drop("n_subsystems"), "func", "left")
     if mode == "a":
         return rows
+    if mode in "sf":
+        rows = rows.where(has_subsystem())
     if mode == "s":
-        return rows.where(has_subsystem())
+        return rows
     of = Window.partitionBy("sample_id", "dna_id")
     order = {
-        "f": [has_subsystem().desc(), F.col("row_no"), F.col("subsystem_name"), F.col("superclass"), F.col("class"), F.col("subclass")],
+        "f": [F.col("row_no"), F.col("subsystem_name"), F.col("superclass"), F.col("class"), F.col("subclass")],
         "t": [F.col("row_no"), F.col("subsystem_name"), F.col("superclass"), F.col("class"), F.col("subclass")],
         "r": [F.xxhash64("dna_id", "uniref_id", "subsystem_name", F.lit(seed)), F.col("row_no")],
     }[mode]

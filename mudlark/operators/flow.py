@@ -62,6 +62,11 @@ def sixteen_s_summary(stats: DataFrame) -> DataFrame:
     return stats.groupBy("sample_id").agg(F.sum("mapped").alias("mapped"), F.sum("total").alias("total")).withColumn("mapped_pct", F.coalesce(F.try_divide(F.col("mapped"), F.col("total")) * 100, F.lit(0.0)))
 
 
+def mean_mapped(summary: DataFrame) -> DataFrame:
+    """Over all samples: how many there are and the mean of their percentages; without samples it is null."""
+    return summary.agg(F.count("*").alias("samples"), F.avg("mapped_pct").alias("mean_mapped_pct"))
+
+
 def extremes(summary: DataFrame, n: int = 10) -> DataFrame:
     """The samples of lowest and highest percentage; ties by name."""
     low = summary.orderBy("mapped_pct", "sample_id").limit(n).withColumn("side", F.lit("lowest"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mudlark.operators.annotate import HIERARCHY, has_subsystem
+from mudlark.operators.annotate import HIERARCHY, counted_functions, expanded, has_subsystem, with_lineage
 
 #: Level -> columns of its key, joined by "; ".
 LEVELS = {
@@ -46,6 +46,27 @@ def profile(annotated: DataFrame, levels: Sequence[str] = tuple(LEVELS), totals:
     return out.select("sample_id", "level", "category", "total", per_million("total", "total_all").alias("norm_all"), per_million("total", "total_ss").alias("norm_ss"))
 
 
+def profile_of_hits(hits: DataFrame, trembl: DataFrame, subsystems: DataFrame, levels: Sequence[str] = tuple(LEVELS)) -> DataFrame:
+    """The profile of unannotated hits: the same rows as that of ``annotate``, but hits are summed by sample and function
+    before they are expanded, and the total of all hits needs no expansion."""
+    counts = counted_functions(hits, trembl)
+    return _profile_of_counts(counts, counts, subsystems, levels)
+
+
+def profile_of_hits_excluding(hits: DataFrame, trembl: DataFrame, subsystems: DataFrame, lineage: DataFrame, names: Sequence[str], levels: Sequence[str] = tuple(LEVELS)) -> DataFrame:
+    """The same for ``profile_excluding``: hits are summed by sample, function and taxon first."""
+    counts = counted_functions(hits, trembl, "taxid")
+    rest = with_lineage(counts, lineage).where(~listed("lineage", names)).groupBy("sample_id", "func").agg(F.sum("n_aligned").alias("n_aligned"))
+    return _profile_of_counts(counts, rest, subsystems, levels)
+
+
+def _profile_of_counts(counts: DataFrame, rest: DataFrame, subsystems: DataFrame, levels: Sequence[str]) -> DataFrame:
+    rows = expanded(rest, subsystems).where(has_subsystem())
+    totals = counts.groupBy("sample_id").agg(F.sum("n_aligned").cast("double").alias("total_all"))
+    totals = totals.join(rows.groupBy("sample_id").agg(F.sum("weight").alias("total_ss")), "sample_id", "left").fillna(0.0, ["total_ss"])
+    return profile(rows, levels, totals)
+
+
 def listed(column: str, names: Sequence[str]) -> Column:
     """Whether any of the names occurs in the column."""
     return reduce(lambda a, b: a | b, [F.coalesce(F.col(column), F.lit("")).contains(n) for n in names], F.lit(False))

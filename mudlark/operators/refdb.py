@@ -60,7 +60,7 @@ def accessions_of_subsystem(star: dict[str, DataFrame], subsystem: str | None =
     """Distinct proteins of a subsystem, or of each."""
     systems = star["subsystems"]
     systems = systems.where(F.col("subsystem_name") == subsystem) if subsystem else systems
-    return systems.select("subsystem_id", "subsystem_name").join(star["role_subsystems"], "subsystem_id").join(star["uniprot_patric_role"], "role_id").select("subsystem_name", "uniprot_id").distinct()
+    return systems.select("subsystem_id", "subsystem_name").join(star["role_subsystems"], "subsystem_id").join(star["uniprot_patric_role"].select("uniprot_id", "role_id").distinct(), "role_id").select("subsystem_name", "uniprot_id").distinct()
 
 
 def roles_of_hierarchy(star: dict[str, DataFrame], superclass: str, klass: str, subclass: str) -> DataFrame:

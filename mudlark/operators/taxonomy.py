@@ -94,14 +94,16 @@ def without_taxa(counts: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def _contigs(lca: DataFrame, lineage: DataFrame) -> DataFrame:
-    rows = rank_paths(with_ranks(with_lineage(valid_lca(lca), lineage)))
-    contig = F.regexp_extract("dna_id", r"^(.*)-(orf\d+)", 1)
-    return rows.withColumn("contig", F.nullif(contig, F.lit(""))).where("contig is not null").select("sample_id", "contig", F.inline(F.array(*[F.struct(F.lit(r).alias("rank"), F.col(f"{r}_path").alias("taxon")) for r in RANKS])))
+    """Per contig, rank and path the reading frames: counted by taxon first, and spread by contig once for all that follows."""
+    rows = valid_lca(lca).withColumn("contig", F.nullif(F.regexp_extract("dna_id", r"^(.*)-(orf\d+)", 1), F.lit(""))).where("contig is not null")
+    counts = rows.repartition("sample_id", "contig").groupBy("sample_id", "contig", "taxid").agg(F.count("*").alias("n"))
+    rows = rank_paths(with_ranks(with_lineage(counts, lineage)))
+    return rows.select("sample_id", "contig", "n", F.inline(F.array(*[F.struct(F.lit(r).alias("rank"), F.col(f"{r}_path").alias("taxon")) for r in RANKS])))
 
 
 def contig_consensus(lca: DataFrame, lineage: DataFrame) -> DataFrame:
     """Per contig and rank the path most of its reading frames have; of equal ones the smallest."""
-    counts = _contigs(lca, lineage).groupBy("sample_id", "contig", "rank", "taxon").agg(F.count("*").alias("n"))
+    counts = _contigs(lca, lineage).groupBy("sample_id", "contig", "rank", "taxon").agg(F.sum("n").alias("n"))
     best = counts.groupBy("sample_id", "contig", "rank").agg(F.min(F.struct((-F.col("n")).alias("m"), "taxon")).alias("best"), F.sum("n").alias("total"))
     return best.select("sample_id", "contig", "rank", F.col("best.taxon").alias("taxon"), (-F.col("best.m")).alias("n"), (-F.col("best.m") / F.col("total")).alias("fraction"))
 

@@ -55,19 +55,18 @@ def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _functional(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
-    return _rounded(profile.profile(_annotated(spark, sf_dir), [level]), "total", "norm_all", "norm_ss").drop("level")
+    return _rounded(profile.profile_of_hits(*[view(spark, sf_dir, v) for v in HITS.split()], [level]), "total", "norm_all", "norm_ss").drop("level")
 
 
+_PROFILES = {}
 for _level, _key in KEYS.items():
-    _register(
-        f"functional_profile_{_level}",
-        partial(_functional, level=_level),
-        HITS,
+    _PROFILES[_level] = (
         ANNOTATED
         + f""", tot as (select sample_id, sum(weight) as a, sum(case when superclass <> '' then weight else 0 end) as s from ann group by sample_id)
  select ann.sample_id, {_key} as category, round(sum(weight), 6) as total, round(coalesce(sum(weight) / nullif(max(a), 0) * 1e6, 0), 6) as norm_all,
- round(coalesce(sum(weight) / nullif(max(s), 0) * 1e6, 0), 6) as norm_ss from ann join tot on tot.sample_id = ann.sample_id where superclass <> '' group by ann.sample_id, {_key}""",
+ round(coalesce(sum(weight) / nullif(max(s), 0) * 1e6, 0), 6) as norm_ss from ann join tot on tot.sample_id = ann.sample_id where superclass <> '' group by ann.sample_id, {_key}"""
     )
+    _register(f"functional_profile_{_level}", partial(_functional, level=_level), HITS, _PROFILES[_level])
 
 
 def _annotate_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,8 +83,8 @@ _register(
 
 
 def _excluding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = an.with_lineage(_annotated(spark, sf_dir), view(spark, sf_dir, "fx_lineage"))
-    return _rounded(profile.profile_excluding(rows, EXCLUDED_TAXA), "total", "norm_all", "norm_ss")
+    rows = profile.profile_of_hits_excluding(*[view(spark, sf_dir, v) for v in HITS.split()], view(spark, sf_dir, "fx_lineage"), EXCLUDED_TAXA)
+    return _rounded(rows, "total", "norm_all", "norm_ss")
 
 
 _EXCLUDE = " or ".join(f"contains(coalesce(lineage, ''), '{t}')" for t in EXCLUDED_TAXA)
@@ -120,19 +119,38 @@ _register("taxonomy_counts", _counts, LCA, COUNTED + " select * from counted")
 _register("taxonomy_excluding", lambda s, d: taxonomy.without_taxa(_counts(s, d), EXCLUDED_TAXA), LCA, COUNTED + " select * from counted where not (" + " or ".join(f"contains(taxon, '{t}')" for t in EXCLUDED_TAXA) + ")")
 
 
-def _matrix(spark: SparkSession, sf_dir: str, rank: str) -> DataFrame:
+SAMPLES = [f"S{i}" for i in range(8)]
+
+
+def _matrix(spark: SparkSession, sf_dir: str, rank: str, value: str = "count") -> DataFrame:
     from mudlark.sources.sinks import matrix
 
-    return matrix(_counts(spark, sf_dir).where(F.col("rank") == rank), "count", "taxon", samples=[f"S{i}" for i in range(8)])
+    return matrix(_counts(spark, sf_dir).where(F.col("rank") == rank), value, "taxon", samples=SAMPLES)
+
+
+def _wide(value: str, kind: str) -> str:
+    return ", ".join(f"cast(sum(case when sample_id = '{s}' then {value} else 0 end) as {kind}) as {s}" for s in SAMPLES)
 
 
 for _rank in taxonomy.RANKS:
-    _register(
-        f"taxonomy_matrix_{_rank}",
-        partial(_matrix, rank=_rank),
-        LCA,
-        COUNTED + " select taxon, " + ", ".join(f"cast(sum(case when sample_id = 'S{i}' then count else 0 end) as bigint) as S{i}" for i in range(8)) + f" from counted where rank = '{_rank}' group by taxon order by taxon",
-    )
+    for _value, _kind, _name in (("count", "bigint", "taxonomy_matrix"), ("rpm", "double", "taxonomy_matrix_rpm")):
+        _register(f"{_name}_{_rank}", partial(_matrix, rank=_rank, value=_value), LCA, COUNTED + f" select taxon, {_wide(_value, _kind)} from counted where rank = '{_rank}' group by taxon order by taxon")
+
+
+def _functional_matrix(spark: SparkSession, sf_dir: str, level: str, value: str) -> DataFrame:
+    from mudlark.sources.sinks import matrix
+
+    return matrix(_functional(spark, sf_dir, level), value, samples=SAMPLES)
+
+
+for _level in KEYS:
+    for _value in ("total", "norm_all", "norm_ss"):
+        _register(
+            f"functional_matrix_{_level}_{_value}",
+            partial(_functional_matrix, level=_level, value=_value),
+            HITS,
+            f"select category, {_wide(_value, 'double')} from ({_PROFILES[_level]}) p group by category order by category",
+        )
 
 
 def _from_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,11 +199,11 @@ _register("flagstat", lambda s, d: _rounded(reads.flagstat(view(s, d, "fx_align"
 
 
 def _empty_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = view(spark, sf_dir, "fx_align").where("flag & 1024 = 0 and flag % 3 = 0").withColumn("sample_id", F.concat_ws("_", "sample_id", F.col("read_id").cast("string")))
+    rows = view(spark, sf_dir, "fx_align").withColumn("sample_id", F.concat_ws("_", "sample_id", F.col("read_id").cast("string")))
     return reads.empty_samples(rows)
 
 
-_register("empty_samples", _empty_samples, "fx_align", "select concat(sample_id, '_', cast(read_id as string)) as sample_id, count(*) as total from fx_align where flag & 1024 = 0 and flag % 3 = 0 group by 1 having count(*) filter (flag & 4 = 0) = 0")
+_register("empty_samples", _empty_samples, "fx_align", "select concat(sample_id, '_', cast(read_id as string)) as sample_id, count(*) as total from fx_align group by 1 having count(*) filter (flag & 4 = 0) = 0")
 _register(
     "empty_samples_whole",
     lambda s, d: reads.empty_samples(view(s, d, "fx_align").withColumn("sample_id", F.concat_ws("_", "sample_id", F.col("read_id").cast("string")))),
@@ -268,7 +286,7 @@ def _top(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
 
 _ORDER = "row_no, subsystem_name nulls first, superclass nulls first, class nulls first, subclass nulls first"
 _PICK = " select " + ", ".join(TOP_COLUMNS) + " from (select *, row_number() over (partition by sample_id, dna_id order by {order}) as p from hit) where p = 1"
-_register("top_hit_first", partial(_top, mode="f"), TOP, TOP_ROWS + _PICK.format(order="coalesce(superclass, '') <> '' desc, " + _ORDER))
+_register("top_hit_first", partial(_top, mode="f"), TOP, TOP_ROWS + _PICK.format(order=_ORDER).replace("from hit)", "from hit where superclass <> '')"))
 _register("top_hit_top", partial(_top, mode="t"), TOP, TOP_ROWS + _PICK.format(order=_ORDER))
 _register("top_hit_all", partial(_top, mode="a"), TOP, TOP_ROWS + " select * from hit")
 _register("top_hit_subsystems", partial(_top, mode="s"), TOP, TOP_ROWS + " select * from hit where superclass <> ''")
@@ -291,6 +309,13 @@ _register(
     SIXTEEN + " select *, 'lowest' as side from (select * from s order by mapped_pct, sample_id limit 3) union all select *, 'highest' as side from (select * from s order by mapped_pct desc, sample_id limit 3)",
 )
 
+_register(
+    "mapped_mean",
+    lambda s, d: _rounded(flow.mean_mapped(_flagstat(s, d)), "mean_mapped_pct"),
+    "fx_flagstat",
+    SIXTEEN + " select count(*) as samples, round(avg(mapped / total * 100), 6) as mean_mapped_pct from s",
+)
+
 # --- reference tables --------------------------------------------------------------------------------------
 
 STAR = "fx_linkout fx_trembl fx_subsystems"
@@ -313,31 +338,28 @@ def _hierarchy_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star["subsystems"].join(star["role_subsystems"], "subsystem_id").join(star["roles"], "role_id").select("superclass", "class", "subclass", "subsystem_name", "role").distinct()
 
 
-_register("build_star_schema", lambda s, d: _star(s, d)["role_subsystems"].join(_star(s, d)["roles"], "role_id").join(_star(s, d)["subsystems"], "subsystem_id"), STAR, STAR_ROWS + " select pair.role_id, pair.subsystem_id, role, subsystem_name, superclass, class, subclass from pair join role on role.role_id = pair.role_id join sys on sys.subsystem_id = pair.subsystem_id")
+def _whole_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = _star(spark, sf_dir)
+    return star["role_subsystems"].join(star["roles"], "role_id").join(star["subsystems"], "subsystem_id")
+
+
+_register("build_star_schema", _whole_star, STAR, STAR_ROWS + " select pair.role_id, pair.subsystem_id, role, subsystem_name, superclass, class, subclass from pair join role on role.role_id = pair.role_id join sys on sys.subsystem_id = pair.subsystem_id")
 _register("accession_roles", lambda s, d: refdb.roles_of_accession(_star(s, d), "P77"), STAR, STAR_ROWS + " select u.uniprot_id, role, superclass, class, subclass, subsystem_name from (select distinct uniprot_id, role_id from upr where uniprot_id = 'P77') u join role on role.role_id = u.role_id join pair on pair.role_id = u.role_id join sys on sys.subsystem_id = pair.subsystem_id")
 _register("subsystem_accessions", lambda s, d: refdb.accessions_of_subsystem(_star(s, d)), STAR, STAR_ROWS + " select * from acc")
 _register("hierarchy_roles", _hierarchy_roles, STAR, STAR_ROWS + " select distinct superclass, class, subclass, subsystem_name, role from sys join pair on pair.subsystem_id = sys.subsystem_id join role on role.role_id = pair.role_id")
-_register("roles_of_hierarchy", lambda s, d: refdb.roles_of_hierarchy(_star(s, d), "SMALL", "L1_1", "L2_5"), STAR, STAR_ROWS + " select distinct subsystem_name, role from sys join pair on pair.subsystem_id = sys.subsystem_id join role on role.role_id = pair.role_id where superclass = 'SMALL' and class = 'L1_1' and subclass = 'L2_5'")
+_register("roles_of_hierarchy", lambda s, d: refdb.roles_of_hierarchy(_star(s, d), "ECONOMY", "L1_0", "L2_4"), STAR, STAR_ROWS + " select distinct subsystem_name, role from sys join pair on pair.subsystem_id = sys.subsystem_id join role on role.role_id = pair.role_id where superclass = 'ECONOMY' and class = 'L1_0' and subclass = 'L2_4'")
 _register("accessions_per_subsystem", lambda s, d: refdb.accessions_per_subsystem(_star(s, d)), STAR, STAR_ROWS + " select subsystem_name, count(*) as n_accessions from acc group by 1 order by 2 desc, 1")
 _register("star_row_counts", lambda s, d: refdb.row_counts(_star(s, d)), STAR, STAR_ROWS + " select 'roles' as \"table\", count(*) as n from role union all select 'subsystems', count(*) from sys union all select 'role_subsystems', count(*) from pair union all select 'uniprot_patric_role', count(*) from upr")
 
 
-def _merge_linkout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linkout = view(spark, sf_dir, "fx_linkout")
-    annotation = linkout.where("uniprot_id < 'P5'").select("patric_id", F.concat(F.lit("role of "), "uniprot_id").alias("role"))
-    return refdb.merge_linkout(linkout, annotation)
-
-
-_register("merge_linkout", _merge_linkout, "fx_linkout", "select a.patric_id, uniprot_id, role from (select patric_id, max(uniprot_id) as uniprot_id from fx_linkout group by 1) a join (select patric_id, max(concat('role of ', uniprot_id)) as role from fx_linkout where uniprot_id < 'P5' group by 1) b on a.patric_id = b.patric_id order by 1")
-
-
 def _merge_linkout_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     linkout, trembl = view(spark, sf_dir, "fx_linkout"), view(spark, sf_dir, "fx_trembl")
     annotation = linkout.join(trembl, F.col("uniprot_id") == F.col("uniprot")).select("patric_id", F.col("func").alias("role"))
     return refdb.merge_linkout(linkout, annotation)
 
 
-_register("merge_linkout_whole", _merge_linkout_whole, "fx_linkout fx_trembl", "select a.patric_id, uniprot_id, role from (select patric_id, max(uniprot_id) as uniprot_id from fx_linkout group by 1) a join (select patric_id, max(func) as role from fx_linkout join fx_trembl on uniprot = uniprot_id group by 1) b on a.patric_id = b.patric_id order by 1")
+for _name in ("merge_linkout", "merge_linkout_whole"):
+    _register(_name, _merge_linkout_whole, "fx_linkout fx_trembl", "select a.patric_id, uniprot_id, role from (select patric_id, max(uniprot_id) as uniprot_id from fx_linkout group by 1) a join (select patric_id, max(func) as role from fx_linkout join fx_trembl on uniprot = uniprot_id group by 1) b on a.patric_id = b.patric_id order by 1")
 
 
 def _pending(spark: SparkSession, sf_dir: str) -> DataFrame:
