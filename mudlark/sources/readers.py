@@ -80,12 +80,25 @@ def read_fastq(spark: SparkSession, path) -> DataFrame:
     return rows.select(sample_of(F.col("file")).alias("sample_id"), F.split("header", " ")[0].alias("read_id"), "header", "seq", "qual")
 
 
+def mate_of(name: Column) -> Column:
+    """The name of a pair's second file, from that of its first: the first ``R1`` in it becomes ``R2``; null without one."""
+    return F.when(name.contains("R1"), F.regexp_replace(name, r"^(.*?)R1", "$1R2"))
+
+
+def read_ranks(spark: SparkSession, path: str) -> DataFrame:
+    """All tables below a folder written by rank and sample, as one: ``taxon, count, rpm, rank, sample_id``."""
+    return spark.read.schema("taxon string, count long, rpm double, rank string, sample_id string").option("sep", "\t").csv(path)
+
+
 def read_fasta(spark: SparkSession, path, whole_id: bool = True) -> DataFrame:
     """Sequences ``sample_id, seq_id, header, seq`` with wrapped lines joined; fails on a file that has no header."""
-    rows = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    rows = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_path").alias("file"), "value").where(F.trim("value") != "")
+    # the first record of a file is the only one that still has its sign; a row for each file says whether there is one
+    headed = rows.groupBy("file").agg(F.max(F.ltrim("value").startswith(">")).alias("headed"))
+    rows = rows.join(headed, "file").withColumn("value", F.when(F.col("headed"), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("no sequence header in "), F.col("file")))))
     text = F.regexp_replace("value", r"^\s*>", "")
     parts = F.split(text, "\n", 2)
-    rows = rows.where(F.trim("value") != "").select("file", F.trim(parts[0]).alias("header"), F.regexp_replace(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), r"\s", "").alias("seq"))
+    rows = rows.select("file", F.trim(parts[0]).alias("header"), F.regexp_replace(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), r"\s", "").alias("seq"))
     name = F.when(F.col("header") != "", F.col("header")).otherwise(F.raise_error(F.concat(F.lit("a sequence has no header in "), F.col("file"))))
     return rows.select(sample_of(F.col("file")).alias("sample_id"), (name if whole_id else F.split(name, r"\s")[0]).alias("seq_id"), "header", "seq")
 

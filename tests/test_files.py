@@ -116,3 +116,46 @@ def test_ingest_adds_each_file_once(spark, tmp_path):
         run()
         got = spark.read.parquet(str(tmp_path / "out")).collect()
         assert len(got) == n and {r.sample_id for r in got} == {f"s{i + 1}" for i in range(n)}
+
+
+def test_fasta_without_header(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    put(tmp_path / "in/good.fasta", ">a\nAC\n")
+    assert readers.read_fasta(spark, str(tmp_path / "in")).count() == 1
+    put(tmp_path / "in/bad.fasta", "ACGT\nAC\n")
+    with pytest.raises(Exception, match="no sequence header"):
+        readers.read_fasta(spark, str(tmp_path / "in")).collect()
+
+
+def test_rank_tables_round_trip(spark, tmp_path):
+    rows = [("S1", "kingdom", "k__A", 3, 750000.0), ("S1", "phylum", "k__A;p__B", 1, 250000.0), ("S2", "kingdom", "k__A", 2, 1e6)]
+    counts = spark.createDataFrame(rows, "sample_id string, rank string, taxon string, count long, rpm double")
+    sinks.write_ranks(counts, str(tmp_path / "ranks"))
+    got = readers.read_ranks(spark, str(tmp_path / "ranks")).select("sample_id", "rank", "taxon", "count", "rpm").collect()
+    assert sorted(map(tuple, got)) == rows
+
+
+def test_mate_and_fastq_lines(spark):
+    names = spark.createDataFrame([("a_R1_R1.fastq.gz",), ("b.fastq",)], "n string")
+    assert [r[0] for r in names.select(readers.mate_of(names["n"])).collect()] == ["a_R2_R1.fastq.gz", None]
+    reads = spark.createDataFrame([("r1 x", "AC", "!!")], "header string, seq string, qual string")
+    assert sinks.fastq_lines(reads).head().value == "@r1 x\nAC\n+\n!!"
+
+
+def test_tables_and_star(spark, tmp_path):
+    rows = spark.createDataFrame([("S1", "r1", "k__A;p__;c__;o__;f__;g__;s__x"), ("S1", "r2", "odd")], "sample_id string, dna_id string, lineage string")
+    sinks.save(sinks.lineage_columns(rows), "lca_rows")
+    assert [(r.sample_id, r.kingdom, r.species) for r in spark.table("lca_rows").collect()] == [("S1", "k__A", "s__x")]
+    spark.sql("drop table lca_rows")
+    sinks.save_star({"roles": rows.select("dna_id"), "subsystems": rows}, str(tmp_path / "star"))
+    assert spark.read.parquet(str(tmp_path / "star/subsystems")).count() == 2
+
+
+def test_top_hit_without_subsystem(spark):
+    from mudlark.operators import annotate
+
+    hits = spark.createDataFrame([("S", "q1", "UniRef50_A", 0), ("S", "q1", "UniRef50_B", 1), ("S", "q2", "UniRef50_A", 0)], "sample_id string, dna_id string, uniref_id string, row_no long")
+    trembl = spark.createDataFrame([("A", "fa"), ("B", "fb")], "uniprot string, func string")
+    subsystems = spark.createDataFrame([("x", "y", "z", "s", "fb")], "superclass string, class string, subclass string, subsystem_name string, func string")
+    assert [(r.dna_id, r.uniref_id) for r in annotate.top_hits(hits, trembl, subsystems, "f").collect()] == [("q1", "UniRef50_B")]
+    assert sorted((r.dna_id, r.uniref_id) for r in annotate.top_hits(hits, trembl, subsystems, "t").collect()) == [("q1", "UniRef50_A"), ("q2", "UniRef50_A")]
