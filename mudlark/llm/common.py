@@ -21,10 +21,13 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors and the driver share.
 
     It is the session's ``spark.checkpoint.dir``. Only where that is unset, as in
-    single-machine tests, a temporary folder is set in its place.
+    single-machine tests, a temporary folder is set in its place; off a single machine that is an error.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith(("local[", "local-cluster[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="mudlark-shared-")
         spark.conf.set("spark.checkpoint.dir", where)
         spark.sparkContext.setCheckpointDir(where)
