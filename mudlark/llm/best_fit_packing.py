@@ -41,7 +41,7 @@ BOUNDED, TILT = 128, 1.001
 #: Lengths that a step prices, about; the steps take turns over all.
 PRICED = 600
 #: Bytes of text whose parts are looked up at once.
-SLICE = 24_000_000
+SLICE = 4_000_000
 #: Parts of an unusual kind whose ids a worker remembers before it starts afresh.
 REMEMBERED = 400_000
 #: Signs that are a token of the pre-tokenizer when they end a part, and runs of Latin letters with at most one of them
@@ -49,6 +49,7 @@ REMEMBERED = 400_000
 SIGNS = ".,!?;:|*$%&#\"()-"
 RUN = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,!?;:|*$%&#\"()\-]?$"
 _WORDS: dict[str, dict[str, bytes]] = {}
+_IDS: dict[str, "Ids"] = {}
 
 
 def _gathered(pool: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -136,6 +137,14 @@ class Ids:
         return ids, np.append(0, np.cumsum(size[at]))[edges[1:] - edges[0]]
 
 
+def ids_by(tokenizer_name: str) -> Ids:
+    """The tokenizer's ``Ids``, read once for each worker and not for each of its tasks."""
+    if tokenizer_name not in _IDS:
+        _IDS.clear()
+        _IDS[tokenizer_name] = Ids(tokenizer_name)
+    return _IDS[tokenizer_name]
+
+
 def byte_letters() -> dict[int, str]:
     """The visible letter that byte-level vocabularies write for each byte: a printable Latin-1 character stands
     for itself, the others follow from 256 on in order."""
@@ -160,7 +169,7 @@ def _sliced(texts: pa.Array) -> list[tuple[int, int]]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], tokenizer_name: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    of = Ids(tokenizer_name)
+    of = ids_by(tokenizer_name)
     end = np.asarray([end_id], dtype="<u4").tobytes()
     part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
     for batch in batches:
