@@ -150,13 +150,35 @@ def ablations(rows: DataFrame) -> DataFrame:
     return rows.agg(*sums).select(F.inline(F.array(*out)))
 
 
+def answer(docs: DataFrame) -> DataFrame:
+    """Ledger rows under the current policy, and whether the base rules fail."""
+    base = F.lit(mask_of(*BASE_RULES)).cast("long")
+    return applied(ledger(docs), "v3").select("doc_id", *MEASURES[:5], (F.col("fail_bits").bitwiseAND(base) != 0).alias("base_failed"), "kept", "fail_bits")
+
+
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Every document's ledger row under the current policy."""
     from mudlark.llm.common import read_table
 
-    rows = applied(ledger(read_table(spark, sf_dir, "documents")), "v3")
-    base = mask_of(*BASE_RULES)
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (F.col("fail_bits").bitwiseAND(F.lit(base).cast("long")) != 0).alias("base_failed"), "kept", "fail_bits")
+    return answer(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {"op7_quality_rules": op7_quality_rules}
+
+#: The same rows by another way: words and windows as rows, counted by window functions and grouping.
+_WORD = r"[^\x20\x09-\x0D]"
+_BITS = " + ".join(f"case when {r.fails} then {1 << r.bit} else 0 end" for r in RULES)
+ORACLE_SQL = {
+    "op7_quality_rules": f"""with d as (select row_number() over () as row_id, doc_id, coalesce(text, '') as t from documents),
+ lists as (select *, regexp_extract_all(t, '{_WORD}+') as w, [x for x in string_split(t, chr(10)) if regexp_matches(x, '{_WORD}')] as l from d),
+ words as (select row_id, unnest(w) as a, generate_subscripts(w, 1) as i from lists),
+ windows as (select row_id, i, a, lead(a) over o as b, lead(a, 2) over o as c from words window o as (partition by row_id order by i)),
+ found as (select row_id, i, count(*) over (partition by row_id, a, b, c) as n from windows where c is not null),
+ covered as (select row_id, count(distinct i + k) as n from found, (select unnest([0, 1, 2]) as k) where found.n > 1 group by row_id),
+ m as (select doc_id, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars,
+  cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols, cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines,
+  cast(coalesce(covered.n, 0) as bigint) as n_repeat_words, len(l) as n_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) as n_upper,
+  len([x for x in l if regexp_matches(ltrim(x, ' '), '^[-*•]')]) as n_bullet_lines from lists left join covered on covered.row_id = lists.row_id),
+ bits as (select *, cast({_BITS} as bigint) as fail_bits from m)
+ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, fail_bits = 0 as kept, fail_bits from bits"""
+}

@@ -63,6 +63,18 @@ def test_quality(documents, texts):
     assert quality_rules.ledger(without_rows(documents)).count() == 0
 
 
+def test_quality_sql(spark, documents):
+    """The query's rows by its SQL, over a table with odd rows too."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.register("documents", documents.select("doc_id", "text").toArrow())
+    expected = con.sql(quality_rules.ORACLE_SQL["op7_quality_rules"])
+    got = quality_rules.answer(documents)
+    assert got.columns == expected.columns
+    assert sorted(map(tuple, got.collect())) == sorted(expected.fetchall())
+
+
 def test_packing(documents, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
