@@ -385,6 +385,56 @@ _register("cluster_length_histogram", lambda s, d: bins.length_histogram(bins.cl
 _register("bins_min_size", lambda s, d: bins.long_clusters(_clustered(s, d), 750_000).select("sample_id", "contig_id", "cluster_id", "len"), "fx_contigs", CLUSTERED + " select sample_id, contig_id, cluster_id, len from c where cluster_id in (select cluster_id from l where length >= 750000)")
 _register("cluster_lengths_by_sample", lambda s, d: bins.cluster_lengths(_clustered(s, d), ("sample_id", "cluster_id")), "fx_contigs", CLUSTERED + " select sample_id, cluster_id, count(*) as n_contigs, cast(sum(len) as bigint) as length from c group by 1, 2")
 
+# --- reports, headers, names, graphs -----------------------------------------------------------------------
+
+REPORT = """with seen as (select *, max(case when rank = 'phylum' then row_no end) over o as prow, max(case when rank = 'genus' then row_no end) over o as grow from fx_report
+  window o as (partition by sample_id order by row_no)),
+ clade as (select seen.sample_id, seen.row_no, concat(';p__', p.name, ';;;;', case when grow > prow then concat('g__', g.name) else '' end, ';s__', seen.name) as lineage, seen.clade_count from seen
+  join fx_report p on p.sample_id = seen.sample_id and p.row_no = prow left join fx_report g on g.sample_id = seen.sample_id and g.row_no = grow where seen.rank = 'species')"""
+_register("clade_table", lambda s, d: taxonomy.clade_table(view(s, d, "fx_report")), "fx_report", REPORT + " select * from clade")
+_register(
+    "report_counts",
+    lambda s, d: taxonomy.report_counts(view(s, d, "fx_report")),
+    "fx_report",
+    REPORT + """ select sample_id, rank, concat(substr(rank, 1, 1), '__', name) as taxon, cast(sum(clade_count) as bigint) as count from fx_report group by 1, 2, 3
+ union all select sample_id, 'all_levels', lineage, cast(sum(clade_count) as bigint) from clade group by 1, 2, 3""",
+)
+_register("mate_parity", lambda s, d: reads.mates_even(view(s, d, "fx_mates").withColumn("mate", reads.mate_of())), "fx_mates", "select sample_id, count(*) filter (right(read_id, 1) = '1') as r1, count(*) filter (right(read_id, 1) <> '1') as r2, count(*) filter (right(read_id, 1) = '1') * 2 = count(*) as even from fx_mates group by 1")
+_register("bare_read_ids", lambda s, d: view(s, d, "fx_mates").groupBy("sample_id", reads.bare_id().alias("read")).agg(F.count("*").alias("n")), "fx_mates", "select sample_id, split_part(read_id, '/', 1) as read, count(*) as n from fx_mates group by 1, 2")
+_register("header_parity", lambda s, d: reads.headers_even(view(s, d, "fx_align")), "fx_align", "select *, (select min(c) = max(c) from (select count(*) as c from fx_align group by sample_id)) as even from (select sample_id, count(*) as n from fx_align group by 1)")
+_register(
+    "header_rewrite",
+    lambda s, d: view(s, d, "fx_headers").select("header", reads.fasta_header(mate="mate").alias("with_mate"), reads.fasta_header(underscores=True).alias("joined")),
+    "fx_headers",
+    "select header, concat(split_part(header, ' ', 1), '/', mate, substr(header, length(split_part(header, ' ', 1)) + 1)) as with_mate, replace(header, ' ', '_') as joined from fx_headers",
+)
+_register(
+    "renamed_samples",
+    lambda s, d: profile.renamed(view(s, d, "fx_runs"), view(s, d, "fx_metadata")).groupBy("sample_id").agg(F.count("*").alias("n")),
+    "fx_runs fx_metadata",
+    "select coalesce(new, split_part(sample_id, '_', 1)) as sample_id, count(*) as n from fx_runs left join fx_metadata on split_part(old, '_', 1) = split_part(fx_runs.sample_id, '_', 1) group by 1",
+)
+_register(
+    "named_by_prefix",
+    lambda s, d: bins.named_by_prefix(view(s, d, "fx_runs").select(F.col("sample_id").alias("folder")).distinct(), view(s, d, "fx_metadata").select(F.split("old", "S")[0].alias("key"), "new")),
+    "fx_runs fx_metadata",
+    "select folder, split_part(old, 'S', 1) as key, new from (select distinct sample_id as folder from fx_runs) join fx_metadata on left(folder, length(split_part(old, 'S', 1))) = split_part(old, 'S', 1)",
+)
+_register(
+    "grouped_files",
+    lambda s, d: bins.grouped_samples(view(s, d, "fx_files"), view(s, d, "fx_groups").withColumnRenamed("bin_group", "group")).withColumnRenamed("group", "bin_group"),
+    "fx_files fx_groups",
+    "select file, bin_group from fx_files join fx_groups on contains(file, pattern)",
+)
+_register(
+    "graph_links",
+    lambda s, d: bins.graph(view(s, d, "fx_fastg"))[1],
+    "fx_fastg",
+    """with h as (select string_split(replace(replace(header, '>', ''), ';', ''), ':') as p from fx_fastg), l as (select p[1] as a, unnest(string_split(p[2], ',')) as b from h)
+ select replace(a, chr(39), '') as src, case when right(a, 1) = chr(39) then '-' else '+' end as src_strand, replace(b, chr(39), '') as dst, case when right(b, 1) = chr(39) then '-' else '+' end as dst_strand from l""",
+)
+_register("graph_segments", lambda s, d: bins.graph(view(s, d, "fx_fastg"))[0], "fx_fastg", "select substr(split_part(header, ':', 1), 2) as id, seq, cast(length(seq) as int) as len from fx_fastg where not contains(split_part(header, ':', 1), chr(39))")
+
 
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

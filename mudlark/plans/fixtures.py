@@ -38,6 +38,17 @@ VIEWS = {
  concat('b', cast(l_partkey % 200 as string)) as cluster_id, cast(l_quantity * 100 as bigint) as len from {lineitem}""",
     "fx_linkout": """select concat('P', cast(l_partkey as string)) as uniprot_id, concat('fig|', cast(l_suppkey as string), '.1.peg.', cast(l_orderkey % 500 as string)) as patric_id from {lineitem}""",
     "fx_flagstat": """select concat('S', cast(user_id % 8 as string)) as sample_id, cast(json_k as bigint) as mapped from (select user_id, get_json_object(props,'$.k') json_k from {events})""",
+    "fx_report": """select concat('S', cast(n_regionkey as string)) as sample_id, cast(n_nationkey as bigint) * 1000000 as row_no, cast(0 as bigint) as clade_count, 'phylum' as rank, n_name as name from {nation} union all
+ select concat('S', cast(n_regionkey as string)), cast(n_nationkey as bigint) * 1000000 + s_suppkey + 1, cast(s_suppkey % 7 + 1 as bigint), case when s_suppkey % 5 = 0 then 'genus' else 'species' end, s_name
+ from {supplier} join {nation} on s_nationkey = n_nationkey""",
+    "fx_mates": "select concat('S', cast(l_suppkey % 8 as string)) as sample_id, concat('r', cast(l_orderkey as string), '/', cast(l_linenumber % 2 + 1 as string)) as read_id from {lineitem}",
+    "fx_headers": "select concat('r', cast(o_orderkey as string), ' ', o_orderpriority, ' x') as header, cast(o_orderkey % 2 + 1 as int) as mate from {orders}",
+    "fx_runs": "select concat('M', cast(l_suppkey % 40 as string), '_S', cast(l_linenumber as string)) as sample_id from {lineitem}",
+    "fx_metadata": "select concat('M', cast(n_nationkey as string), '_S1') as old, n_name as new from {nation}",
+    "fx_files": "select distinct concat('S', cast(l_suppkey % 8 as string), '_', cast(l_orderkey as string), '_R1.fastq.gz') as file from {lineitem}",
+    "fx_groups": "select r_name as bin_group, concat('S', cast(r_regionkey as string), '_') as pattern from {region}",
+    "fx_fastg": """select concat('>', cast(l_orderkey as string), case when l_linenumber % 2 = 0 then chr(39) else '' end, ':', cast(l_partkey as string), chr(39), ',', cast(l_suppkey as string), ';') as header,
+ repeat('acgt', cast(l_linenumber as int)) as seq from {lineitem}""",
 }
 
 
