@@ -347,7 +347,7 @@ _register("build_star_schema", _whole_star, STAR, STAR_ROWS + " select pair.role
 _register("accession_roles", lambda s, d: refdb.roles_of_accession(_star(s, d), "P77"), STAR, STAR_ROWS + " select u.uniprot_id, role, superclass, class, subclass, subsystem_name from (select distinct uniprot_id, role_id from upr where uniprot_id = 'P77') u join role on role.role_id = u.role_id join pair on pair.role_id = u.role_id join sys on sys.subsystem_id = pair.subsystem_id")
 _register("subsystem_accessions", lambda s, d: refdb.accessions_of_subsystem(_star(s, d)), STAR, STAR_ROWS + " select * from acc")
 _register("hierarchy_roles", _hierarchy_roles, STAR, STAR_ROWS + " select distinct superclass, class, subclass, subsystem_name, role from sys join pair on pair.subsystem_id = sys.subsystem_id join role on role.role_id = pair.role_id")
-_register("roles_of_hierarchy", lambda s, d: refdb.roles_of_hierarchy(_star(s, d), "ECONOMY", "L1_0", "L2_4"), STAR, STAR_ROWS + " select distinct subsystem_name, role from sys join pair on pair.subsystem_id = sys.subsystem_id join role on role.role_id = pair.role_id where superclass = 'ECONOMY' and class = 'L1_0' and subclass = 'L2_4'")
+_register("roles_of_hierarchy", lambda s, d: refdb.roles_of_hierarchy(_star(s, d), "ECONOMY", "L1_0", "L2_8"), STAR, STAR_ROWS + " select distinct subsystem_name, role from sys join pair on pair.subsystem_id = sys.subsystem_id join role on role.role_id = pair.role_id where superclass = 'ECONOMY' and class = 'L1_0' and subclass = 'L2_8'")
 _register("accessions_per_subsystem", lambda s, d: refdb.accessions_per_subsystem(_star(s, d)), STAR, STAR_ROWS + " select subsystem_name, count(*) as n_accessions from acc group by 1 order by 2 desc, 1")
 _register("star_row_counts", lambda s, d: refdb.row_counts(_star(s, d)), STAR, STAR_ROWS + " select 'roles' as \"table\", count(*) as n from role union all select 'subsystems', count(*) from sys union all select 'role_subsystems', count(*) from pair union all select 'uniprot_patric_role', count(*) from upr")
 
