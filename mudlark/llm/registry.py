@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from mudlark.llm import best_fit_packing, context_tree, fingerprints, language_id, line_dedup, minhash_dedup, quality_rules, source_mixing, suffix_dedup, token_counts
+from mudlark.llm import best_fit_packing, context_tree, fingerprints, language_id, license_scan, line_dedup, minhash_dedup, quality_rules, source_mixing, suffix_dedup, token_counts, vector_codes, whitening
 
-MODULES = (best_fit_packing, context_tree, fingerprints, language_id, line_dedup, minhash_dedup, quality_rules, source_mixing, suffix_dedup, token_counts)
+MODULES = (best_fit_packing, context_tree, fingerprints, language_id, license_scan, line_dedup, minhash_dedup, quality_rules, source_mixing, suffix_dedup, token_counts, vector_codes, whitening)
 
 
 def queries() -> dict:
