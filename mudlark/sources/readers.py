@@ -2,6 +2,9 @@
 
 Every table gets ``sample_id`` from its file's name. Gzip files are one task each (they can't be split); write
 them to Parquet once if they are read again.
+
+Spark tells gzip by a file's name. A file that is gzip under another name is an error that says so; readers with ``by_content`` look at
+the first bytes instead, and read a file as what it is under any name.
 """
 
 from __future__ import annotations
@@ -9,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from mudlark.sources.splits import RANGE, FastqSource, TextSource, in_ranges, reachable
+
 TOPHIT_REPORT = "uniref_id string, n_aligned long, unique_cov double, target_cov double, identity double, taxid int, rank string, name string"
 TOPHIT_ALN = "dna_id string, uniref_id string, percent_identity double, alignment_length int, gaps int, mismatches int, query_start int, query_end int, subject_start int, subject_end int, evalue double, bitscore int"
 CLADE_REPORT = "pct double, clade_count long, taxon_count long, rank string, taxid int, name string"
@@ -44,15 +49,38 @@ def sample_of(path: Column) -> Column:
     return F.when(name.rlike(f"({endings})$"), F.regexp_replace(name, f"({endings})$", "")).otherwise(F.regexp_replace(name, r"(\.[A-Za-z]+)+$", ""))
 
 
-def _table(spark: SparkSession, path, schema: str, comment: str | None = None) -> DataFrame:
-    reader = spark.read.schema(schema).option("sep", "\t").option("quote", "").option("mode", "PERMISSIVE")
+def _refused(file: Column) -> Column:
+    return F.raise_error(F.concat(file, F.lit(" is gzip but its name does not end in .gz: rename it, or read it with by_content=True")))
+
+
+def _text(spark: SparkSession, path, by_content: bool = False, sep: str | None = None) -> DataFrame:
+    """``file, block, value``: lines, or what stands between ``sep``, of files whose content agrees with their names (or of any, by content)."""
+    if by_content:
+        return in_ranges(spark, TextSource, path).select("file", F.lit(0).cast("long").alias("block"), "value")
+    rows = (spark.read.option("lineSep", sep) if sep else spark.read).text(path)
+    # a gzip file's first line begins with these bytes, no text does
+    gzip = F.substring(F.col("value").cast("binary"), 1, 3) == F.lit(bytearray(b"\x1f\x8b\x08"))
+    file = F.col("_metadata.file_path")
+    return rows.select(file.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.when(gzip, _refused(file)).otherwise(F.col("value")).alias("value"))
+
+
+def _table(spark: SparkSession, path, schema: str, comment: str | None = None, by_content: bool = False) -> DataFrame:
+    options = {"sep": "\t", "quote": "", "mode": "PERMISSIVE"}
+    if by_content:
+        rows = _text(spark, path, True)
+        rows = rows.where(~F.col("value").startswith(comment)) if comment else rows
+        # the delimiter stays the lines' own
+        return rows.select(sample_of(F.col("file")).alias("sample_id"), F.from_csv("value", schema, options).alias("x")).select("sample_id", "x.*")
+    reader = spark.read.schema(schema).options(**options)
     rows = (reader.option("comment", comment) if comment else reader).csv(path)
-    return rows.select(sample_of(F.col("_metadata.file_path")).alias("sample_id"), *rows.columns)
+    first, file = rows.columns[0], F.col("_metadata.file_path")
+    # the same bytes as text: the second is no UTF-8
+    ok = F.when(F.col(first).cast("string").startswith("\x1f\ufffd\x08"), _refused(file)).otherwise(F.col(first)).alias(first)
+    return rows.select(sample_of(file).alias("sample_id"), ok, *rows.columns[1:])
 
 
 def _lines(spark: SparkSession, path) -> DataFrame:
-    rows = spark.read.text(path)
-    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seen"), "value")
+    return _text(spark, path).select("file", "block", F.monotonically_increasing_id().alias("seen"), "value")
 
 
 def numbered_lines(spark: SparkSession, path) -> DataFrame:
@@ -66,8 +94,20 @@ def numbered_lines(spark: SparkSession, path) -> DataFrame:
     return lines.join(blocks, ["file", "block"]).select("file", (F.col("seen") - F.col("first") + F.col("before")).alias("row_no"), "value")
 
 
-def read_fastq(spark: SparkSession, path) -> DataFrame:
-    """Reads ``sample_id, read_id, header, seq, qual``; fails on records of another shape."""
+def read_fastq(spark: SparkSession, path, range_bytes: int = RANGE, by_spark: bool | None = None) -> DataFrame:
+    """Reads ``sample_id, read_id, header, seq, qual``; fails on records of another shape.
+
+    Each byte range of a file finds its own first record, so nothing is shuffled; gzip is told by content. Paths that only Spark can open
+    (``by_spark``; found out where it is not given) are read by lines that are numbered and put together."""
+    paths = [path] if isinstance(path, str) else list(path)
+    if by_spark or (by_spark is None and not reachable(paths)):
+        rows = _fastq_of_lines(spark, path)
+    else:
+        rows = in_ranges(spark, FastqSource, paths, range_bytes)
+    return rows.select(sample_of(F.col("file")).alias("sample_id"), F.split("header", " ")[0].alias("read_id"), "header", "seq", "qual")
+
+
+def _fastq_of_lines(spark: SparkSession, path) -> DataFrame:
     lines = numbered_lines(spark, path).withColumn("record", F.floor(F.col("row_no") / 4)).withColumn("at", F.col("row_no") % 4)
     rows = lines.groupBy("file", "record").agg(*[F.max(F.when(F.col("at") == i, F.col("value"))).alias(c) for i, c in enumerate(("head", "seq", "plus", "qual"))])
     wrong = (
@@ -76,8 +116,7 @@ def read_fastq(spark: SparkSession, path) -> DataFrame:
         .when(F.coalesce(F.length("seq") != F.length("qual"), F.lit(True)), "sequence and quality differ in length")
     )
     head = F.when(wrong.isNull(), F.col("head")).otherwise(F.raise_error(F.concat(wrong, F.lit(" in "), F.col("file"))))
-    rows = rows.withColumn("header", F.substr(head, F.lit(2)))
-    return rows.select(sample_of(F.col("file")).alias("sample_id"), F.split("header", " ")[0].alias("read_id"), "header", "seq", "qual")
+    return rows.select("file", F.substr(head, F.lit(2)).alias("header"), "seq", "qual")
 
 
 def mate_of(name: Column) -> Column:
@@ -92,7 +131,7 @@ def read_ranks(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fasta(spark: SparkSession, path, whole_id: bool = True) -> DataFrame:
     """Sequences ``sample_id, seq_id, header, seq`` with wrapped lines joined; fails on a file that has no header."""
-    rows = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_path").alias("file"), "value").where(F.trim("value") != "")
+    rows = _text(spark, path, sep="\n>").select("file", "value").where(F.trim("value") != "")
     # the first record of a file is the only one that still has its sign; a row for each file says whether there is one
     headed = rows.groupBy("file").agg(F.max(F.ltrim("value").startswith(">")).alias("headed"))
     rows = rows.join(headed, "file").withColumn("value", F.when(F.col("headed"), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("no sequence header in "), F.col("file")))))
@@ -103,36 +142,36 @@ def read_fasta(spark: SparkSession, path, whole_id: bool = True) -> DataFrame:
     return rows.select(sample_of(F.col("file")).alias("sample_id"), (name if whole_id else F.split(name, r"\s")[0]).alias("seq_id"), "header", "seq")
 
 
-def read_sam(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
+def read_sam(spark: SparkSession, path, by_content: bool = False) -> tuple[DataFrame, DataFrame]:
     """Alignments, and the ``@SQ`` header lines, of SAM text."""
-    lines = spark.read.text(path).select(sample_of(F.col("_metadata.file_path")).alias("sample_id"), "value")
+    lines = _text(spark, path, by_content).select(sample_of(F.col("file")).alias("sample_id"), "value")
     c = F.split("value", "\t")
     rows = lines.where(~F.col("value").startswith("@")).select("sample_id", c[0].alias("read_id"), c[1].cast("int").alias("flag"), c[2].alias("rname"), c[3].cast("long").alias("pos"), c[4].cast("int").alias("mapq"), F.get(c, F.lit(9)).alias("seq"), F.get(c, F.lit(10)).alias("qual"))
     return rows, lines.where(F.col("value").startswith("@SQ"))
 
 
-def read_tophit_report(spark: SparkSession, path) -> DataFrame:
-    return _table(spark, path, TOPHIT_REPORT)
+def read_tophit_report(spark: SparkSession, path, by_content: bool = False) -> DataFrame:
+    return _table(spark, path, TOPHIT_REPORT, by_content=by_content)
 
 
-def read_tophit_aln(spark: SparkSession, path) -> DataFrame:
-    return _table(spark, path, TOPHIT_ALN)
+def read_tophit_aln(spark: SparkSession, path, by_content: bool = False) -> DataFrame:
+    return _table(spark, path, TOPHIT_ALN, by_content=by_content)
 
 
-def read_lca(spark: SparkSession, path, lineage: bool = True) -> DataFrame:
+def read_lca(spark: SparkSession, path, lineage: bool = True, by_content: bool = False) -> DataFrame:
     """Labels of reads; with ``lineage`` its text is the last column, whatever their number."""
     c = F.split("value", "\t")
-    rows = spark.read.text(path).select(sample_of(F.col("_metadata.file_path")).alias("sample_id"), "value")
+    rows = _text(spark, path, by_content).select(sample_of(F.col("file")).alias("sample_id"), "value")
     out = rows.select("sample_id", c[0].alias("dna_id"), c[1].try_cast("int").alias("taxid"), F.get(c, F.lit(2)).alias("rank"), F.get(c, F.lit(3)).alias("name"), *([F.element_at(c, -1).alias("lineage")] if lineage else []))
     return out
 
 
-def read_annotated(spark: SparkSession, path, form: str | None = None) -> DataFrame:
+def read_annotated(spark: SparkSession, path, form: str | None = None, by_content: bool = False) -> DataFrame:
     """Annotated hits of either format, told apart row by row: the weight is in the 14th column, or else the 15th.
 
     ``form``: "v2" (weight in the 14th column) or "v1" where it is known. Rows of fewer than 14 columns are left out."""
     c = F.split("value", "\t", -1)
-    rows = spark.read.text(path).select(sample_of(F.col("_metadata.file_path")).alias("sample_id"), c.alias("c")).where(F.size("c") >= 14)
+    rows = _text(spark, path, by_content).select(sample_of(F.col("file")).alias("sample_id"), c.alias("c")).where(F.size("c") >= 14)
     at13, at14 = F.get("c", F.lit(13)).try_cast("double"), F.get("c", F.lit(14)).try_cast("double")
     second = at13.isNotNull() if form is None else F.lit(form == "v2")
     weight = F.when(second, at13).otherwise(at14)
@@ -161,7 +200,7 @@ def read_report(spark: SparkSession, path) -> DataFrame:
 def read_flagstat(spark: SparkSession, path) -> DataFrame:
     """Mapped and total reads from lines of JSON, one object by sample each; lines that are none are left out."""
     kind = "map<string, struct<`QC-passed reads`: struct<mapped: long, total: long, `mapped %`: double>>>"
-    rows = spark.read.text(path).select(F.explode(F.from_json("value", kind)).alias("sample_id", "x"))
+    rows = _text(spark, path).select(F.explode(F.from_json("value", kind)).alias("sample_id", "x"))
     x = F.col("x.`QC-passed reads`")
     return rows.select("sample_id", x["mapped"].alias("mapped"), x["total"].alias("total"), x["mapped %"].alias("mapped_pct"))
 
@@ -176,7 +215,7 @@ def read_linkout(spark: SparkSession, path) -> DataFrame:
 def read_genome_subsystems(spark: SparkSession, path) -> DataFrame:
     """Subsystem tables of genomes: columns 3 and 7 to 11 of rows with 11 columns at least."""
     c = F.split("value", "\t", -1)
-    rows = spark.read.text(path).where(F.size(c) >= 11)
+    rows = _text(spark, path).where(F.size(c) >= 11)
     names = {"patric_id": 2, "role": 6, "superclass": 7, "class": 8, "subclass": 9, "subsystem_name": 10}
     return rows.select(*[F.nullif(F.trim(c[i]), F.lit("")).alias(n) for n, i in names.items()])
 

@@ -6,6 +6,7 @@ import json
 import pytest
 
 from mudlark.sources import readers, sinks
+from mudlark.sources.splits import FastqReader, TextReader
 from mudlark.streaming.ingest import ingest_hits
 
 
@@ -15,15 +16,80 @@ def put(path, text):
     return str(path)
 
 
-def test_fastq(spark, tmp_path):
-    good = "@r1 a b\nACGT\n+\n!!!!\n@r2\nAC\n+\n@@\n"
+GOOD = "@r1 a b\nACGT\n+\n!!!!\n@r2\nAC\n+\n@@\n"
+
+
+@pytest.mark.parametrize("by_spark", [False, True])
+def test_fastq(spark, tmp_path, by_spark):
     for name in ("s1.fastq.gz", "s2.fastq"):
-        rows = readers.read_fastq(spark, put(tmp_path / name, good)).orderBy("read_id").collect()
+        rows = readers.read_fastq(spark, put(tmp_path / name, GOOD), by_spark=by_spark).orderBy("read_id").collect()
         assert [(r.read_id, r.header, r.seq, r.qual) for r in rows] == [("r1", "r1 a b", "ACGT", "!!!!"), ("r2", "r2", "AC", "@@")]
         assert rows[0].sample_id == name[:2]
     for bad in ("r1\nA\n+\n!\n", "@r1\nA\nx\n!\n", "@r1\nAC\n+\n!\n", "@r1\nAC\n"):
         with pytest.raises(Exception, match="in file"):
-            readers.read_fastq(spark, put(tmp_path / "bad.fastq", bad)).collect()
+            readers.read_fastq(spark, put(tmp_path / "bad.fastq", bad), by_spark=by_spark).collect()
+
+
+#: Qualities that look like headers and signs, a read of no bases, a repeated header, line ends of either kind, no last line end.
+HARD = "@r1\nACGT\n+r1\n@@@+\n@r2 x\nAC\n+\n+@\n@r3\n\n+\n\n@r4\r\nA\r\n+\r\n@\r\n@@5\nG\n+\n@\n@r6\nTTTTTTTT\n+\n@+@+@+@+"
+READ = [("@5", "G", "@"), ("r1", "ACGT", "@@@+"), ("r2 x", "AC", "+@"), ("r3", "", ""), ("r4", "A", "@"), ("r6", "TTTTTTTT", "@+@+@+@+")]
+
+
+def test_fastq_cut_at_any_byte(tmp_path):
+    """The ranges themselves, for every length of range."""
+    path = tmp_path / "a.fastq"
+    path.write_bytes(HARD.encode())
+    for size in range(1, len(HARD) + 2):
+        reader = FastqReader({"paths": json.dumps([str(path)]), "rangebytes": str(size)})
+        parts = reader.partitions()
+        assert len(parts) == -(-len(HARD) // size)
+        rows = [tuple(r.values())[1:] for part in parts for batch in reader.read(part) for r in batch.to_pylist()]
+        assert sorted(rows) == READ, size
+        lines = TextReader({"paths": json.dumps([str(path)]), "rangebytes": str(size)})
+        assert [r["value"] for part in lines.partitions() for batch in lines.read(part) for r in batch.to_pylist()] == HARD.replace("\r", "").split("\n"), size
+
+
+def test_fastq_plan_has_no_shuffle(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    many = "".join(f"@r{i} x\n{'ACGT' * (i % 30)}\n+\n{'@+!I' * (i % 30)}\n" for i in range(3000))
+    for name in ("s1.fastq", "s2.fq.gz", "_skipped"):
+        put(tmp_path / "in" / name, many)
+    rows = readers.read_fastq(spark, str(tmp_path / "in"), range_bytes=10_000)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.rdd.getNumPartitions() > 10
+    got = rows.groupBy("sample_id").agg({"read_id": "count", "seq": "max"}).collect()
+    assert {r["sample_id"]: r["count(read_id)"] for r in got} == {"s1": 3000, "s2": 3000}
+    assert sorted(map(tuple, rows.where("sample_id = 's1'").collect())) == sorted(map(tuple, readers.read_fastq(spark, str(tmp_path / "in/s1.fastq"), by_spark=True).collect()))
+    broken = many.replace("@r1500 x", "r1500 x")
+    with pytest.raises(Exception, match="start with @"):
+        readers.read_fastq(spark, put(tmp_path / "b.fastq", broken), range_bytes=10_000).collect()
+    assert readers.read_fastq(spark, put(tmp_path / "empty.fastq", "")).collect() == []
+
+
+def test_gzip_under_another_name(spark, tmp_path):
+    """Refused with a clear error where Spark goes by the name; read by content; the other way round too."""
+    texts = {
+        "lca": ("r\t9\tclade\tn\t1\t1\t1\t1.0\tk__B;p__\n", readers.read_lca),
+        "hit": ("UniRef50_A\t21\t0.9\t20.7\t0.4\t77\tspecies\tx \"y\n", readers.read_tophit_report),
+        "aln": ("r1\tU\t0.2\t322\t36\t0\t0\t48\t0\t322\t1.2E-23\t100\n", readers.read_tophit_aln),
+        "ann": ("\t".join(["U", "2", "0.1", "0.2", "0.3", "5", "species", "x", "f", "M", "c", "s", "y", "4.0", "k__B"]) + "\n", readers.read_annotated),
+        "sam": ("r1\t77\t*\t0\t0\t*\t*\t0\t0\tAC\t!!\n", lambda *a, **k: readers.read_sam(*a, **k)[0]),
+    }
+    for name, (text, read) in texts.items():
+        plain, packed = tmp_path / f"{name}.tsv", tmp_path / f"{name}.packed.tsv"
+        plain.write_text(text)
+        packed.write_bytes(gzip.compress(text.encode()))
+        with pytest.raises(Exception, match="is gzip but its name"):
+            read(spark, str(packed)).collect()
+        expected = [tuple(r)[1:] for r in read(spark, str(plain)).collect()]
+        false = tmp_path / f"{name}.gz"
+        false.write_text(text)
+        for path in (plain, packed, false):
+            assert [tuple(r)[1:] for r in read(spark, str(path), by_content=True).collect()] == expected and expected
+    (tmp_path / "reads.fastq").write_bytes(gzip.compress(GOOD.encode()))
+    assert readers.read_fastq(spark, str(tmp_path / "reads.fastq"), range_bytes=7).count() == 2
+    with pytest.raises(Exception, match="is gzip but its name"):
+        readers.read_fasta(spark, str(tmp_path / "reads.fastq")).collect()
 
 
 def test_split_file_is_numbered(spark, tmp_path):
