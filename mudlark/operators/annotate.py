@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mudlark.functions.skew import left_join_spread
+
 HIERARCHY = ("superclass", "class", "subclass", "subsystem_name")
 #: Lineage of a hit whose taxon has none.
 NO_LINEAGE = "k__;p__;c__;o__;f__;g__;s__"
@@ -27,14 +29,16 @@ def weighted_subsystems(subsystems: DataFrame) -> DataFrame:
 
 
 def with_function(hits: DataFrame, trembl: DataFrame) -> DataFrame:
-    """Hits with the function of their accession, null where there is none."""
-    return with_accession(hits).join(functions_of(trembl), "accession", "left")
+    """Hits with the function of their accession, null where there is none. An accession may hold most hits, and so may none."""
+    return left_join_spread(with_accession(hits), functions_of(trembl), "accession")
 
 
 def counted_functions(hits: DataFrame, trembl: DataFrame, *keys: str) -> DataFrame:
     """``sample_id, func, <keys>, n_aligned``: hits summed before they are expanded to subsystems. Weights are shares of
-    counts, so sums of weights stay the same, over far fewer rows; hits without a function are one row of a sample."""
-    return with_function(hits, trembl).groupBy("sample_id", "func", *keys).agg(F.sum("n_aligned").alias("n_aligned"))
+    counts, so sums of weights stay the same, over far fewer rows; hits without a function are one row of a sample. They are
+    summed by accession first, so that no accession is more than a row of a sample (and keys) in the join."""
+    rows = with_accession(hits).groupBy("sample_id", "accession", *keys).agg(F.sum("n_aligned").alias("n_aligned"))
+    return rows.join(functions_of(trembl), "accession", "left").groupBy("sample_id", "func", *keys).agg(F.sum("n_aligned").alias("n_aligned"))
 
 
 def expanded(rows: DataFrame, subsystems: DataFrame) -> DataFrame:
@@ -52,10 +56,13 @@ def annotate(hits: DataFrame, trembl: DataFrame, subsystems: DataFrame) -> DataF
     return expanded(with_function(hits, trembl), subsystems)
 
 
-def with_lineage(rows: DataFrame, lineage: DataFrame) -> DataFrame:
-    """Adds ``lineage`` by ``taxid``, the empty one where there is none; domain prefixes ``d__`` become ``k__``."""
+def with_lineage(rows: DataFrame, lineage: DataFrame, spread: bool = False) -> DataFrame:
+    """Adds ``lineage`` by ``taxid``, the empty one where there is none; domain prefixes ``d__`` become ``k__``.
+
+    ``spread``: for rows of which a few taxa may hold most."""
     one = lineage.groupBy("taxid").agg(F.regexp_replace(F.min("lineage"), "^d__", "k__").alias("lineage"))
-    return rows.join(one, "taxid", "left").withColumn("lineage", F.coalesce("lineage", F.lit(NO_LINEAGE)))
+    both = left_join_spread(rows, one, "taxid") if spread else rows.join(one, "taxid", "left")
+    return both.withColumn("lineage", F.coalesce("lineage", F.lit(NO_LINEAGE)))
 
 
 def has_subsystem(column: str = "superclass"):
@@ -64,7 +71,7 @@ def has_subsystem(column: str = "superclass"):
 
 def top_hits(hits: DataFrame, trembl: DataFrame, subsystems: DataFrame, mode: str = "f", seed: int = 0) -> DataFrame:
     """A query's hits by mode: ``f`` the first that has a subsystem (a query without one has no row), ``t`` the first,
-    ``r`` one at random (by a seeded hash), ``a`` all, ``s`` all with a subsystem. First is by ``row_no``, then subsystem."""
+    ``r`` one at random (by a seeded MD5, which other engines have too), ``a`` all, ``s`` all with a subsystem. First is by ``row_no``, then subsystem."""
     rows = with_function(hits, trembl).join(weighted_subsystems(subsystems).drop("n_subsystems"), "func", "left")
     if mode == "a":
         return rows
@@ -76,6 +83,6 @@ def top_hits(hits: DataFrame, trembl: DataFrame, subsystems: DataFrame, mode: st
     order = {
         "f": [F.col("row_no"), F.col("subsystem_name"), F.col("superclass"), F.col("class"), F.col("subclass")],
         "t": [F.col("row_no"), F.col("subsystem_name"), F.col("superclass"), F.col("class"), F.col("subclass")],
-        "r": [F.xxhash64("dna_id", "uniref_id", "subsystem_name", F.lit(seed)), F.col("row_no")],
+        "r": [F.md5(F.concat_ws("|", F.lit(str(seed)), "dna_id", "uniref_id", "row_no", *[F.coalesce(c, F.lit("")) for c in HIERARCHY]))],
     }[mode]
     return rows.withColumn("place", F.row_number().over(of.orderBy(*order))).where("place = 1").drop("place")

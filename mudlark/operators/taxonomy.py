@@ -25,38 +25,34 @@ def current_ids(taxa: DataFrame, merged: DataFrame | None = None, deleted: DataF
     return out
 
 
-def lineages(taxa: DataFrame, nodes: DataFrame, merged: DataFrame | None = None, deleted: DataFrame | None = None, most_depth: int = 60) -> DataFrame:
+#: Ranks that a lineage's places are taken from: those of the first place in order of preference, then one for each other place.
+PLACES = ("domain", "acellular root", "superkingdom", "phylum", "class", "order", "family", "genus", "species")
+
+
+def lineages(taxa: DataFrame, nodes: DataFrame, merged: DataFrame | None = None, deleted: DataFrame | None = None) -> DataFrame:
     """``taxid, lineage`` of the distinct ids in ``taxa``, from ``nodes(taxid, parent, rank, name)``.
 
-    One join with the tree per step up, over distinct ids only, until none has a parent left; steps
-    are written to the checkpoint folder now and then so that the plan stays short. Unknown ids get empty ranks.
-    An id that is more than ``most_depth`` steps from the root, or in a circle, is an error.
-    """
+    By pointer doubling: every node knows the nearest name at each rank among its first 1, 2, 4, 8 ... ancestors, and where these end; a
+    join with itself doubles them. So a tree of any depth takes as many joins as its depth has binary digits, and only nodes whose
+    chain has not ended are joined. Each step is written to the checkpoint folder, so that plans stay short. Of several rows of an id
+    the least is taken; unknown ids get empty ranks; parents in a circle are an error."""
     ids = current_ids(taxa, merged, deleted)
-    tree = nodes.select(F.col("taxid").alias("at"), "parent", "rank", "name")
-    front, found = ids.select("taxid", F.col("current").alias("at")), None
-    for depth in range(most_depth):
-        step = front.where("at is not null").join(tree, "at")
-        seen = step.select("taxid", "rank", "name", F.lit(depth).alias("depth"))
-        found = seen if found is None else found.unionByName(seen)
-        front = step.where("parent <> at").select("taxid", F.col("parent").alias("at"))
-        if depth % 4 == 3:
-            front, found = checkpointed(front), checkpointed(found)
-            if front.isEmpty():
-                break
-    else:
-        if not front.isEmpty():
-            raise RuntimeError(f"lineages: ids have parents left after {most_depth} steps")
-
-    def slot(i: int) -> Column:
-        if i:
-            return F.min(F.when(F.col("rank") == RANKS[i], F.struct("depth", "name")))["name"]
-        order = F.when(F.col("rank") == "domain", 0).when(F.col("rank") == "acellular root", 1).when(F.col("rank") == "superkingdom", 2)
-        return F.min(F.when(order.isNotNull(), F.struct(order.alias("o"), F.col("depth"), F.col("name"))))["name"]
-
-    parts = found.groupBy("taxid").agg(*[slot(i).alias(x) for i, x in enumerate(LETTERS)])
-    text = F.concat_ws(";", *[F.concat(F.lit(f"{x}__"), F.coalesce(x, F.lit(""))) for x in LETTERS])
-    return ids.select("taxid").join(parts, "taxid", "left").select("taxid", text.alias("lineage"))
+    one = nodes.groupBy("taxid").agg(F.min(F.struct("parent", "rank", "name")).alias("x")).select("taxid", "x.*")
+    names = [F.when(F.col("rank") == r, F.coalesce("name", F.lit(""))).alias(f"at{i}") for i, r in enumerate(PLACES)]
+    places = [f"at{i}" for i in range(len(PLACES))]
+    ended = checkpointed(one.select("taxid", F.when(F.col("parent") != F.col("taxid"), F.col("parent")).alias("up"), *names))
+    n_nodes, steps, going, ended = ended.count(), 0, ended.where("up is not null"), ended.where("up is null")
+    while not going.isEmpty():
+        if 2**steps > n_nodes:  # more steps up than there are nodes
+            raise RuntimeError("lineages: parents form a circle")
+        above = going.unionByName(ended).select(F.col("taxid").alias("up"), F.col("up").alias("further"), *[F.col(c).alias(f"far_{c}") for c in places])
+        both = checkpointed(going.join(above, "up", "left").select("taxid", F.col("further").alias("up"), *[F.coalesce(c, f"far_{c}").alias(c) for c in places]))
+        ended = ended.unionByName(both.where("up is null"))
+        going, steps = both.where("up is not null"), steps + 1
+    first = F.coalesce(*places[:3])
+    parts = [F.concat(F.lit(f"{x}__"), F.coalesce(c, F.lit(""))) for x, c in zip(LETTERS, [first, *places[3:]], strict=True)]
+    found = ids.join(ended.withColumnRenamed("taxid", "current"), "current", "left")
+    return found.select("taxid", F.concat_ws(";", *parts).alias("lineage"))
 
 
 def valid_lca(lca: DataFrame) -> DataFrame:
@@ -77,9 +73,10 @@ def rank_paths(rows: DataFrame) -> DataFrame:
 
 def taxonomy_counts(lca: DataFrame, lineage: DataFrame) -> DataFrame:
     """``sample_id, rank, taxon, count, rpm``: reads on each path at each of seven ranks, and per million valid
-    reads of the sample. One rollup gives all ranks and the totals."""
-    rows = with_ranks(with_lineage(valid_lca(lca), lineage))
-    counts = rows.rollup("sample_id", *LETTERS).agg(F.count("*").alias("count"), F.grouping_id().alias("gid"))
+    reads of the sample. Reads are counted by taxon first; then one rollup gives all ranks and the totals."""
+    taxa = valid_lca(lca).groupBy("sample_id", "taxid").agg(F.count("*").alias("n"))
+    rows = with_ranks(with_lineage(taxa, lineage))
+    counts = rows.rollup("sample_id", *LETTERS).agg(F.sum("n").alias("count"), F.grouping_id().alias("gid"))
     # grouping id: one bit for each column that is summed over, so 2**i - 1 when the last i are
     rank = F.when(F.col("gid") < 127, F.element_at(F.array(*map(F.lit, RANKS)), (7 - F.bit_count("gid")).cast("int")))
     taxon = F.concat_ws(";", *[F.when(F.col("gid") < 2 ** (6 - i), F.col(x)) for i, x in enumerate(LETTERS)])
