@@ -42,16 +42,22 @@ def long_clusters(rows: DataFrame, least: int = 0, keys: tuple[str, ...] = ("clu
 
 def grouped_samples(files: DataFrame, groups: DataFrame) -> DataFrame:
     """Read files ``(file)`` with the group whose pattern their name holds. A file of no group is left out; one of
-    several fails. ``groups`` is a hand-written list, so it is broadcast."""
-    rows = files.join(F.broadcast(groups), F.col("file").contains(F.col("pattern")))
+    several fails. A name's substrings of the patterns' lengths are joined with the patterns, so lists of any size will do."""
+    sizes = groups.select(F.collect_set(F.length("pattern"))).scalar()
+    fits = F.filter("sizes_", lambda n: n <= F.length("file"))
+    parts = F.flatten(F.transform(fits, lambda n: F.transform(F.sequence(F.lit(1), F.length("file") - n + 1), lambda i: F.col("file").substr(i, n))))
+    pieces = files.withColumn("sizes_", sizes).select("file", F.explode(F.array_distinct(parts)).alias("pattern"))
+    rows = pieces.join(groups, "pattern")
     one = rows.groupBy("file").agg(F.count_distinct("group").alias("n"), F.min("group").alias("group"))
     message = F.concat(F.lit("several groups for "), F.col("file"))
     return one.select("file", F.when(F.col("n") == 1, F.col("group")).otherwise(F.raise_error(message)).alias("group"))
 
 
 def named_by_prefix(folders: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Folders ``(folder)`` with the metadata whose key they start with; metadata is a hand-written list."""
-    return folders.join(F.broadcast(metadata), F.col("folder").startswith(F.col("key")))
+    """Folders ``(folder)`` with the metadata whose key they start with: their prefixes of the keys' lengths are joined with the keys."""
+    sizes = metadata.select(F.collect_set(F.length("key"))).scalar()
+    prefixes = F.transform(F.filter("sizes_", lambda n: n <= F.length("folder")), lambda n: F.left(F.col("folder"), n))
+    return folders.withColumn("sizes_", sizes).withColumn("key", F.explode(prefixes)).join(metadata, "key").select(*folders.columns, *metadata.columns)
 
 
 def graph(fastg: DataFrame) -> tuple[DataFrame, DataFrame]:

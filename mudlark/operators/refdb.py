@@ -53,14 +53,17 @@ def roles_of_accession(star: dict[str, DataFrame], accession: str | None = None)
     """Proteins with their roles and subsystems."""
     rows = star["uniprot_patric_role"]
     rows = rows.where(F.col("uniprot_id") == accession) if accession else rows
+    # distinct by protein: where the table is bucketed by protein, no row moves
     return rows.select("uniprot_id", "role_id").distinct().join(star["roles"], "role_id").join(star["role_subsystems"], "role_id").join(star["subsystems"], "subsystem_id").select("uniprot_id", "role", "superclass", "class", "subclass", "subsystem_name")
 
 
 def accessions_of_subsystem(star: dict[str, DataFrame], subsystem: str | None = None) -> DataFrame:
-    """Distinct proteins of a subsystem, or of each."""
+    """Distinct proteins of a subsystem, or of each. The proteins' table is the large one and the left one: its rows stay where they are
+    if it is bucketed by protein and the others are small enough to be broadcast by their size."""
     systems = star["subsystems"]
     systems = systems.where(F.col("subsystem_name") == subsystem) if subsystem else systems
-    return systems.select("subsystem_id", "subsystem_name").join(star["role_subsystems"], "subsystem_id").join(star["uniprot_patric_role"].select("uniprot_id", "role_id").distinct(), "role_id").select("subsystem_name", "uniprot_id").distinct()
+    rows = star["uniprot_patric_role"].select("uniprot_id", "role_id").distinct()
+    return rows.join(star["role_subsystems"], "role_id").join(systems.select("subsystem_id", "subsystem_name"), "subsystem_id").select("subsystem_name", "uniprot_id").distinct()
 
 
 def roles_of_hierarchy(star: dict[str, DataFrame], superclass: str, klass: str, subclass: str) -> DataFrame:

@@ -5,15 +5,18 @@ A query whose result hangs on a hash of the engine has no SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mudlark.functions.checkpoints import shared_folder
 from mudlark.operators import annotate as an
 from mudlark.operators import bins, flow, profile, reads, refdb, taxonomy
 from mudlark.plans.fixtures import view, with_views
+from mudlark.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -70,7 +73,7 @@ for _level, _key in KEYS.items():
 
 
 def _annotate_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = an.with_lineage(_annotated(spark, sf_dir), view(spark, sf_dir, "fx_lineage"))
+    rows = an.with_lineage(_annotated(spark, sf_dir), view(spark, sf_dir, "fx_lineage"), spread=True)
     return _rounded(rows.select("sample_id", "uniref_id", "n_aligned", "taxid", "func", *an.HIERARCHY, "weight", "lineage"), "weight")
 
 
@@ -255,10 +258,7 @@ def _domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _DOMAIN = "case " + " ".join(f"when contains(taxon, '{a}') then '{b}'" for a, b in zip(DOMAINS, flow.DOMAINS, strict=True)) + " else 'Multidomain' end"
 _register("domain_totals", _domains, LCA, COUNTED + f" select {_DOMAIN} as domain, cast(sum(count) as bigint) as n from counted where rank = 'kingdom' group by 1")
-_register(
-    "flow_edges",
-    lambda s, d: flow.flow_edges(flow.stage_counts(view(s, d, "fx_stage")), _domains(s, d), 100),
-    LCA + " fx_stage",
+_EDGES = (
     COUNTED
     + f""", d as (select {_DOMAIN} as domain, sum(count) as n from counted where rank = 'kingdom' group by 1),
  st as (select count(*) as raw, count(*) filter (in_qc) as trimmed, count(*) filter (in_host) as host, count(*) filter (in_nonhost) as nonhost from fx_stage),
@@ -268,7 +268,30 @@ _register(
  select 'fastp', host, 'human' from st union all select 'fastp', nonhost, 'not human' from st union all select 'not human', sim, 'sequence similarity' from dd union all
  select 'not human', 100, '16S' union all select 'not human', nonhost - sim - 100, 'unknown' from st, dd union all select 'sequence similarity', Eukaryota, 'Eukaryote' from dd union all
  select 'sequence similarity', Bacteria, 'Bacteria' from dd union all select 'sequence similarity', Archaea, 'Archaea' from dd union all
- select 'sequence similarity', Virus, 'Virus' from dd union all select 'sequence similarity', Multidomain, 'Multiclass' from dd)""",
+ select 'sequence similarity', Virus, 'Virus' from dd union all select 'sequence similarity', Multidomain, 'Multiclass' from dd)"""
+)
+_register("flow_edges", lambda s, d: flow.flow_edges(flow.stage_counts(view(s, d, "fx_stage")), _domains(s, d), 100), LCA + " fx_stage", _EDGES)
+
+_register(
+    "flow_document",
+    lambda s, d: flow.summary_document(flow.stage_counts(view(s, d, "fx_stage")), _domains(s, d), view(s, d, "fx_flagstat").groupBy("sample_id").agg(F.coalesce(F.sum("mapped"), F.lit(0)).alias("n")), "P"),
+    LCA + " fx_stage fx_flagstat",
+    COUNTED
+    + f""", d as (select {_DOMAIN} as domain, sum(count) as n from counted where rank = 'kingdom' group by 1),
+ per as (select sample_id, count(*) as fastq, count(*) filter (in_qc) as trimmed, count(*) filter (in_host) as host, count(*) filter (in_nonhost) as no_host from fx_stage group by 1),
+ six as (select sample_id, cast(coalesce(sum(mapped), 0) as bigint) as n from fx_flagstat group by 1),
+ st as (select cast(sum(fastq) as bigint) as fastq, cast(sum(trimmed) as bigint) as trimmed, cast(sum(host) as bigint) as host, cast(sum(no_host) as bigint) as no_host,
+  string_agg(concat('"', sample_id, '":{{"fastq":', fastq, ',"trimmed":', trimmed, ',"host":', host, ',"no_host":', no_host, '}}'), ',' order by sample_id) as j from per),
+ sx as (select cast(sum(n) as bigint) as n, string_agg(concat('"', sample_id, '":', n), ',' order by sample_id) as j from six),
+ dd as (select cast(coalesce(sum(n), 0) as bigint) as sim, {", ".join(f"cast(coalesce(sum(n) filter (domain = '{x}'), 0) as bigint) as {x}" for x in (*flow.DOMAINS, "Multidomain"))} from d)
+ select concat('{{"project":"P","raw_fastq":', fastq, ',"trimmed_fastq":', trimmed, ',"low_quality":', fastq - trimmed, ',"host":', host, ',"no_host":', no_host, ',"sixteen_s":', sx.n, ',"totalsims":', sim,
+  ',"nosims":', no_host - sim - sx.n, ',"tax":{{"Bacteria":', Bacteria, ',"Archaea":', Archaea, ',"Eukaryota":', Eukaryota, ',"Viruses":', Virus, ',"Multidomain":', Multidomain, '}},"six_counts":{{', sx.j, '}},"count_data":{{', st.j, '}}}}') as value from st, sx, dd""",
+)
+_register(
+    "flow_lines",
+    lambda s, d: flow.flow_text(flow.flow_edges(flow.stage_counts(view(s, d, "fx_stage")), _domains(s, d), 100)),
+    LCA + " fx_stage",
+    _EDGES.replace("select source, cast(n as bigint) as n, target from (", "select concat(source, ' [', cast(n as bigint), '] ', target) as value from ("),
 )
 
 # --- top hits ----------------------------------------------------------------------------------------------
@@ -290,7 +313,8 @@ _register("top_hit_first", partial(_top, mode="f"), TOP, TOP_ROWS + _PICK.format
 _register("top_hit_top", partial(_top, mode="t"), TOP, TOP_ROWS + _PICK.format(order=_ORDER))
 _register("top_hit_all", partial(_top, mode="a"), TOP, TOP_ROWS + " select * from hit")
 _register("top_hit_subsystems", partial(_top, mode="s"), TOP, TOP_ROWS + " select * from hit where superclass <> ''")
-_register("top_hit_random", partial(_top, mode="r"))
+_DRAW = "md5(concat_ws('|', '0', dna_id, uniref_id, cast(row_no as varchar), coalesce(superclass, ''), coalesce(class, ''), coalesce(subclass, ''), coalesce(subsystem_name, '')))"
+_register("top_hit_random", partial(_top, mode="r"), TOP, TOP_ROWS + _PICK.format(order=_DRAW))
 
 # --- 16S ---------------------------------------------------------------------------------------------------
 
@@ -327,7 +351,20 @@ STAR_ROWS = """with role as (select role, cast(dense_rank() over (order by role)
  acc as (select distinct subsystem_name, uniprot_id from sys join pair on pair.subsystem_id = sys.subsystem_id join upr on upr.role_id = pair.role_id)"""
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star of a directory's tables, stored once by a session in the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        prefix = f"star_{uuid.uuid4().hex}"
+        sinks.store_star(_new_star(spark, sf_dir), prefix, shared_folder(spark))
+        _STORED[key] = prefix
+    return sinks.stored_star(spark, _STORED[key])
+
+
+def _new_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     linkout, trembl, subsystems = (view(spark, sf_dir, v) for v in STAR.split())
     roles = linkout.join(trembl, linkout["uniprot_id"] == trembl["uniprot"]).select("patric_id", F.col("func").alias("role")).distinct()
     return refdb.star_schema(subsystems, linkout, roles)
@@ -369,6 +406,24 @@ def _pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _register("pending_genomes", _pending, "fx_linkout", "with g as (select regexp_extract(patric_id, '^fig\\|(.*?)\\.peg\\.', 1) as genome, uniprot_id from fx_linkout) select distinct genome from g where genome not in (select genome from g where uniprot_id = 'P11')")
 
+
+
+def _resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genomes of the first proteins are done; the work on the others counts their genes."""
+    genes = view(spark, sf_dir, "fx_linkout").select(refdb.genome_of().alias("genome"), "patric_id").distinct()
+    count = lambda todo: todo.join(genes, "genome").groupBy("genome").agg(F.count("*").alias("n_genes"), F.lit("new").alias("run"))
+    done = count(genes.where("patric_id like '%.peg.7'").select("genome").distinct()).withColumn("run", F.lit("kept"))
+    return refdb.resumed(genes.select("genome").distinct(), done, ["genome"], count)
+
+
+_register(
+    "resumed_genomes",
+    _resumed,
+    "fx_linkout",
+    """with g as (select distinct regexp_extract(patric_id, '^fig\\|(.*?)\\.peg\\.', 1) as genome, patric_id from fx_linkout)
+ select genome, count(*) as n_genes, case when count(*) filter (patric_id like '%.peg.7') > 0 then 'kept' else 'new' end as run from g group by 1""",
+)
+
 # --- contigs -----------------------------------------------------------------------------------------------
 
 CLUSTERED = "with one as (select contig_id, max(cluster_id) as cluster_id from fx_contigs group by 1), c as (select f.sample_id, f.contig_id, f.len, one.cluster_id from fx_contigs f join one on one.contig_id = f.contig_id), l as (select cluster_id, count(*) as n_contigs, cast(sum(len) as bigint) as length from c group by 1)"

@@ -14,10 +14,10 @@ VIEWS = {
     "fx_hits": """select concat('S', cast(l_suppkey % 8 as string)) as sample_id,
  case when l_linenumber = 7 then concat('X_', cast(l_partkey as string)) else concat('UniRef50_P', cast(l_partkey as string)) end as uniref_id,
  cast(l_quantity as bigint) as n_aligned, l_suppkey as taxid from {lineitem}""",
-    "fx_trembl": "select concat('P', cast(p_partkey as string)) as uniprot, concat(p_brand, ' ', p_type) as func from {part} where p_partkey % 10 <> 0",
+    "fx_trembl": "select concat(case when p_partkey % 10 = 0 then 'Q' else 'P' end, cast(p_partkey as string)) as uniprot, concat(p_brand, ' ', p_type) as func from {part}",
     "fx_subsystems": """select distinct p_type as superclass, concat('L1_', cast(p_size % 4 as string)) as class,
- concat('L2_', cast(p_size % 12 as string)) as subclass, p_name as subsystem_name, concat(p_brand, ' ', p_type) as func
- from {part} where p_size <= 10 and p_brand <> 'Brand#3'""",
+ concat('L2_', cast(p_size % 12 as string)) as subclass, p_name as subsystem_name,
+ concat(case when p_size <= 10 and p_brand <> 'Brand#3' then '' else 'other ' end, p_brand, ' ', p_type) as func from {part}""",
     "fx_lineage": """select s_suppkey as taxid, concat('k__', r_name, ';p__', n_name, ';c__C', cast(s_suppkey % 7 as string), ';o__O', cast(s_suppkey % 14 as string),
  ';f__F', cast(s_suppkey % 28 as string), ';g__G', cast(s_suppkey % 56 as string), ';s__', s_name) as lineage
  from {supplier} join {nation} on s_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -53,9 +53,10 @@ def write_fastq(rows: DataFrame, path: str, compression: str = "gzip") -> None:
 
 
 def write_by_cluster(rows: DataFrame, path: str, cluster: str = "cluster_id", name: str = "seq_id") -> None:
-    """A folder of gzip FASTA for each cluster."""
+    """A folder of gzip FASTA for each cluster: one file of a small one, and of a large one as many as it has times the session's
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, each written by a task of its own."""
     lines = rows.select(F.col(cluster), F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col("seq")).alias("value"))
-    lines.repartition(cluster).write.mode("overwrite").partitionBy(cluster).option("compression", "gzip").text(path)
+    lines.hint("rebalance", cluster).write.mode("overwrite").partitionBy(cluster).option("compression", "gzip").text(path)
 
 
 def write_ranks(counts: DataFrame, path: str) -> None:
@@ -71,8 +72,26 @@ def lineage_columns(rows: DataFrame) -> DataFrame:
 
 
 def save(rows: DataFrame, name: str, by: str = "sample_id") -> None:
-    """A table partitioned by sample."""
-    rows.write.mode("overwrite").partitionBy(by).saveAsTable(name)
+    """Loads the samples of ``rows`` into a table partitioned by sample, which is made if it is not there.
+
+    A sample that is loaded again is replaced, others stay: so loading sample by sample, or one twice, equals one load of all, and a
+    load that failed can be repeated. Columns are matched by name; other columns than the table's are an error. A sample without rows is left
+    as it was."""
+    spark = rows.sparkSession
+    rows = rows.hint("rebalance", by)  # few files for each sample, several tasks for a large one
+    if not spark.catalog.tableExists(name):
+        rows.write.partitionBy(by).saveAsTable(name)
+        return
+    columns = spark.table(name).columns
+    if sorted(columns) != sorted(rows.columns):
+        raise ValueError(f"{name} has the columns {columns}, not {rows.columns}")
+    mode = "spark.sql.sources.partitionOverwriteMode"  # a table's insert heeds the session's setting alone
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.select(*columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def save_star(star: dict[str, DataFrame], path: str) -> None:
@@ -80,6 +99,25 @@ def save_star(star: dict[str, DataFrame], path: str) -> None:
         df.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
+#: Column that each table of a star is bucketed and sorted by.
+STAR_KEYS = {"roles": "role_id", "role_subsystems": "role_id", "subsystems": "subsystem_id", "uniprot_patric_role": "uniprot_id"}
+
+
+def store_star(star: dict[str, DataFrame], prefix: str, folder: str, buckets: int = 16) -> dict[str, DataFrame]:
+    """The star as tables ``<prefix>_<name>`` in a folder that all executors share, bucketed and sorted by the columns that lookups ask
+    for, with their sizes kept, so that joins with small tables need no hint. Built once; ``stored_star`` gives them again."""
+    spark = next(iter(star.values())).sparkSession
+    for name, df in star.items():
+        key, table = STAR_KEYS[name], f"{prefix}_{name}"
+        df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", f"{folder}/{table}").saveAsTable(table)
+        spark.sql(f"analyze table {table} compute statistics")
+    return stored_star(spark, prefix, star)
+
+
+def stored_star(spark: SparkSession, prefix: str, names=tuple(STAR_KEYS)) -> dict[str, DataFrame]:
+    return {name: spark.table(f"{prefix}_{name}") for name in names}
+
+
 def as_document(rows: DataFrame, key: str, value: str) -> DataFrame:
     """One JSON document of a small summary table."""
     return rows.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value))))).alias("value"))
