@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mudlark.functions.skew import left_join_spread
@@ -72,17 +72,21 @@ def has_subsystem(column: str = "superclass"):
 def top_hits(hits: DataFrame, trembl: DataFrame, subsystems: DataFrame, mode: str = "f", seed: int = 0) -> DataFrame:
     """A query's hits by mode: ``f`` the first that has a subsystem (a query without one has no row), ``t`` the first,
     ``r`` one at random (by a seeded MD5, which other engines have too), ``a`` all, ``s`` all with a subsystem. First is by ``row_no``, then subsystem."""
-    rows = with_function(hits, trembl).join(weighted_subsystems(subsystems).drop("n_subsystems"), "func", "left")
-    if mode == "a":
-        return rows
-    if mode in "sf":
-        rows = rows.where(has_subsystem())
-    if mode == "s":
-        return rows
-    of = Window.partitionBy("sample_id", "dna_id")
-    order = {
-        "f": [F.col("row_no"), F.col("subsystem_name"), F.col("superclass"), F.col("class"), F.col("subclass")],
-        "t": [F.col("row_no"), F.col("subsystem_name"), F.col("superclass"), F.col("class"), F.col("subclass")],
-        "r": [F.md5(F.concat_ws("|", F.lit(str(seed)), "dna_id", "uniref_id", "row_no", *[F.coalesce(c, F.lit("")) for c in HIERARCHY]))],
-    }[mode]
-    return rows.withColumn("place", F.row_number().over(of.orderBy(*order))).where("place = 1").drop("place")
+    found = with_function(hits, trembl)
+    every = weighted_subsystems(subsystems).drop("n_subsystems")
+    if mode in "as":
+        rows = found.join(every, "func", "left")
+        return rows.where(has_subsystem()) if mode == "s" else rows
+    if mode == "r":
+        rows = found.join(every, "func", "left")
+        order = [F.md5(F.concat_ws("|", F.lit(str(seed)), "dna_id", "uniref_id", "row_no", *[F.coalesce(c, F.lit("")) for c in HIERARCHY]))]
+    else:
+        # a function's first subsystem is found on the small table, so that hits are not multiplied before one is picked
+        names = ("subsystem_name", "superclass", "class", "subclass")
+        every = every.where(has_subsystem()) if mode == "f" else every
+        first = every.groupBy("func").agg(F.min(F.struct(*names)).alias("x")).select("func", *[F.col(f"x.{c}").alias(c) for c in HIERARCHY])
+        rows = found.join(first, "func", "inner" if mode == "f" else "left")
+        order = [F.col(c) for c in ("row_no", *names)]
+    # partial aggregates keep one hit of each query: nothing is sorted and no query's hits are gathered
+    best = rows.groupBy("sample_id", "dna_id").agg(F.min_by(F.struct(*[c for c in rows.columns if c not in ("sample_id", "dna_id")]), F.struct(*order)).alias("x"))
+    return best.select("sample_id", "dna_id", "x.*")

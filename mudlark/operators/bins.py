@@ -10,7 +10,7 @@ def concatenated(contigs: DataFrame, least_length: int = 2000, keep_names: bool
     """Contigs of all samples that are long enough, named ``S<sample number>C<contig>``; samples are numbered in
     order of their names."""
     samples = contigs.select("sample_id").distinct().withColumn("sample_no", F.dense_rank().over(Window.orderBy("sample_id")))
-    rows = contigs.where(F.col(length) >= least_length).join(F.broadcast(samples), "sample_id")  # one row for each sample
+    rows = contigs.where(F.col(length) >= least_length).join(samples, "sample_id")
     name = F.col("contig_id") if keep_names else F.concat(F.lit("S"), F.col("sample_no").cast("string"), F.lit("C"), F.col("contig_id"))
     return rows.withColumn("name", name)
 

@@ -118,5 +118,4 @@ def mates_even(reads: DataFrame) -> DataFrame:
 def headers_even(headers: DataFrame) -> DataFrame:
     """Per sample the reference lines of alignment headers, and whether all samples have as many."""
     n = headers.groupBy("sample_id").agg(F.count("*").alias("n"))
-    low, high = n.agg(F.min("n"), F.max("n")).head()
-    return n.withColumn("even", F.lit(low == high))
+    return n.withColumn("even", n.select(F.min("n") == F.max("n")).scalar())
