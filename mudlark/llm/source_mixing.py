@@ -1,7 +1,7 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Documents fall into cells of (source, language, topic). The cells' token totals are raked in turn to the target
-marginals of each of the three until all agree; the ratio of a cell's fitted to its actual tokens, times one
+marginals of each of the three until all agree, or come as near as they can; the ratio of a cell's fitted to its actual tokens, times one
 constant for the wanted total, is the probability with which its documents are kept (1 at most). The draw is a
 hash of the document, so it is the same on every run and in every task.
 
@@ -44,13 +44,13 @@ def topic_of(text: Column) -> Column:
     )
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """The input's row as ``doc``, with its cell and tokens (words)."""
+def described(docs: DataFrame, topic: Column | None = None) -> DataFrame:
+    """The input's row as ``doc``, with its cell and tokens (words). ``topic``: what tells it where the documents have one."""
     return docs.select(
         F.struct("*").alias("doc"),
         F.col("source").cast("string").alias("source"),
         F.col("lang").cast("string").alias("lang"),
-        topic_of(F.col("text")).alias("topic"),
+        (topic_of(F.col("text")) if topic is None else topic.cast("string")).alias("topic"),
         F.size(words_of(F.col("text"))).cast("long").alias("n_tokens"),
     )
 
@@ -71,14 +71,14 @@ def tempered(cells: DataFrame, dim: str, power: float) -> DataFrame:
 def raked(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """Cells with ``weight``: their tokens fitted to the target shares. Values without a target get weight 0.
 
-    One round scales to each dimension in turn; it ends when the largest step of a round is below CLOSE.
-    Where that is not reached in ROUNDS (targets may not be compatible), a warning says how far the last round moved
-    and how far each dimension's shares are from their targets at most."""
+    One round scales to each dimension in turn; it ends when the largest step of a round is below CLOSE. ``distance``, the same in every
+    row, is how far a share is from its target at most: 0 to rounding, but where targets are not compatible (a source of one language
+    alone, say, whose targets differ). Where the steps are not small after ROUNDS, a warning says so too."""
     total = float(cells.agg(F.sum("tokens")).head()[0] or 0)
     fitted = cells.withColumn("weight", F.col("tokens").cast("double"))
     for dim, target in targets.items():
         fitted = _joined(fitted, target.withColumnRenamed("share", f"share_{dim}"), (dim,), "left").fillna(0.0, [f"share_{dim}"])
-    fitted = materialise(fitted, "cells")
+    fitted, moved = materialise(fitted, "cells"), 0.0
     for _ in range(ROUNDS):
         step = fitted.withColumn("before", F.col("weight"))
         for dim in targets:
@@ -88,38 +88,45 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
         moved = fitted.agg(F.max(F.abs(F.col("weight") - F.col("before"))).alias("m")).head()["m"] or 0.0
         if moved <= CLOSE * max(total, 1.0):
             break
-    else:
-        far = {}
-        for dim in targets:
-            sums = fitted.groupBy(dim).agg(F.sum("weight").alias("s"), F.first(f"share_{dim}").alias("share"))
-            far[dim] = sums.agg(F.max(F.abs(F.col("s") / F.lit(max(total, 1.0)) - F.col("share"))).alias("m")).head()["m"] or 0.0
-        warnings.warn(f"raked: after {ROUNDS} rounds a cell still moved by {moved:.6g} tokens; shares differ from their targets by {far}", RuntimeWarning, stacklevel=2)
-    return fitted.select(*DIMENSIONS, "tokens", "weight")
+    far = 0.0
+    for dim in targets:
+        sums = fitted.groupBy(dim).agg(F.sum("weight").alias("s"), F.first(f"share_{dim}").alias("share"))
+        far = max(far, sums.agg(F.max(F.abs(F.col("s") / F.lit(max(total, 1.0)) - F.col("share"))).alias("m")).head()["m"] or 0.0)
+    if moved > CLOSE * max(total, 1.0):
+        warnings.warn(f"raked: after {ROUNDS} rounds a cell still moved by {moved:.6g} tokens; a share differs by {far:.6g} from its target", RuntimeWarning, stacklevel=2)
+    return fitted.select(*DIMENSIONS, "tokens", "weight", F.lit(far).alias("distance"))
 
 
 def calibrated(cells: DataFrame, budget: float) -> DataFrame:
     """Cells with ``p = least(1, c * weight / tokens)``, with c such that the expected tokens are the share
-    ``budget`` of all (or all that have weight). c is bracketed by sums over the cells for 64 values at once."""
-    ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens"))
-    total = float(cells.agg(F.sum("tokens")).head()[0] or 0)
-    lo, hi = 0.0, float(cells.agg(F.max(F.when(F.col("weight") > 0, 1 / ratio))).head()[0] or 1.0)
-    for _ in range(3):
-        grid = [lo + (hi - lo) * i / 63 for i in range(64)]
-        sums = cells.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), ratio * c)).alias(f"s{i}") for i, c in enumerate(grid)]).head()
-        over = [i for i in range(64) if (sums[f"s{i}"] or 0.0) >= budget * total]
-        i = over[0] if over else 63
-        lo, hi = grid[max(i - 1, 0)], grid[i]
-    return cells.withColumn("p", F.coalesce(F.least(F.lit(1.0), ratio * hi), F.lit(1.0)))
+    ``budget`` of all (or all that have weight).
+
+    Expected tokens grow with c in straight pieces that get flatter as cells are used up. From 0 on, c steps to where the
+    piece it is on would meet the target; a step never goes too far, and when no further cell is used up c is exact. A step
+    is one sum over the cells."""
+    full = F.when((F.col("tokens") > 0) & (F.col("weight") > 0), F.col("tokens") / F.col("weight"))  # the c that uses a cell up
+    target = budget * float(cells.agg(F.sum("tokens")).head()[0] or 0)
+    c, used = 0.0, -1
+    while True:
+        on = cells.agg(F.sum(F.when(full <= c, F.col("tokens"))).alias("gone"), F.sum(F.when(full > c, F.col("weight"))).alias("weight"), F.count_if(full <= c).alias("used"), F.max(full).alias("most")).head()
+        if not on["weight"]:
+            c = on["most"] or 0.0  # all that has weight is wanted, or more
+            break
+        if on["used"] <= used:
+            break
+        c, used = max(target - float(on["gone"] or 0), 0.0) / on["weight"], on["used"]
+    p = F.when(F.col("tokens") > 0, F.when(full <= c, 1.0).otherwise(F.least(F.lit(1.0), F.lit(c) * F.col("weight") / F.col("tokens"))))
+    return cells.withColumn("p", F.coalesce(p, F.lit(1.0)))
 
 
-def mixed(docs: DataFrame, budget: float = BUDGET, targets: dict[str, DataFrame] | None = None, seed: int = SEED) -> DataFrame:
-    """Every row as ``doc`` with its cell, ``n_tokens``, probability ``p`` and whether it is ``kept``.
+def mixed(docs: DataFrame, budget: float = BUDGET, targets: dict[str, DataFrame] | None = None, seed: int = SEED, topic: Column | None = None) -> DataFrame:
+    """Every row as ``doc`` with its cell, ``n_tokens``, probability ``p``, ``distance`` of the mix from its targets and whether it is ``kept``.
 
     ``targets``: for any of the dimensions a DataFrame ``r_<dimension>, share``; the others are tempered."""
-    rows = described(docs)
+    rows = described(docs, topic)
     cells = materialise(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
     aims = {d: (targets or {}).get(d) if d in (targets or {}) else tempered(cells, d, TEMPER[d]) for d in DIMENSIONS}
-    known = materialise(calibrated(raked(cells, aims), budget), "cells").select(*[F.col(d).alias(f"r_{d}") for d in DIMENSIONS], "p")
+    known = materialise(calibrated(raked(cells, aims), budget), "cells").select(*[F.col(d).alias(f"r_{d}") for d in DIMENSIONS], "p", "distance")
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc.doc_id"), F.col("doc.text")), F.lit(1 << 52)) / F.lit(float(1 << 52))
     return _joined(rows, known, DIMENSIONS).withColumn("kept", draw < F.col("p"))
 
@@ -131,7 +138,7 @@ def sampled(docs: DataFrame, budget: float = BUDGET, targets: dict[str, DataFram
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixed(read_table(spark, sf_dir, "documents"))
-    return out.select("doc.doc_id", "source", "lang", "topic", "n_tokens", F.round("p", 9).alias("p"), "kept")
+    return out.select("doc.doc_id", "source", "lang", "topic", "n_tokens", F.round("p", 9).alias("p"), F.round("distance", 9).alias("distance"), "kept")
 
 
 QUERIES = {"op6_source_mixing": op6_source_mixing}
