@@ -25,6 +25,8 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
@@ -34,6 +36,8 @@ from mudlark.llm.shingles import _LOWER, byte_slices
 
 BUCKETS = 1 << 15
 HELD = 64
+#: Numbers of the model looked up at once.
+AT_ONCE = 4_000_000
 #: Power of the text's likelihood; pseudo-counts of the trigrams, the reliabilities and the priors.
 TEMPER, ALPHA, BETA, KAPPA = 0.1, 0.5, 1.0, 20.0
 #: Least confidence of a language that is kept.
@@ -89,32 +93,58 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return languages, p.astype(np.float32)
 
 
+def _summed(model: np.ndarray, h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the log-probabilities of each text's trigrams by language, a bounded number of numbers at a time."""
+    out = np.empty((len(first), len(model)))
+    some = max(1, AT_ONCE // max(len(h), 1))
+    for k in range(0, len(model), some):
+        out[:, k : k + some] = np.add.reduceat(model[k : k + some][:, h].astype(np.float64), first, axis=1).T
+    return out
+
+
 def _scored(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows with ``lik``, the tempered log-likelihood of each language, in place of ``text``; null for texts without a
-    letter."""
+    """Rows with ``lik``, the tempered log-likelihood of each language, and ``own``, these as probabilities, in place of ``text``;
+    null for texts without a letter."""
     for batch in batches:
         at = batch.schema.get_field_index("text")
         text = batch.column(at)
         letters = pc.fill_null(pc.match_substring_regex(text, r"\pL"), False).to_numpy(zero_copy_only=False)
         for begin, texts in byte_slices(text):
             h, first = _buckets(texts)
-            sums = np.stack([np.add.reduceat(m[h].astype(np.float64), first) for m in model], axis=1) * TEMPER
+            sums = _summed(model, h, first) * TEMPER
             rows = batch.slice(begin, len(texts))
-            lik = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * len(model)), pa.array(sums.ravel()), mask=pa.array(~letters[begin : begin + len(texts)]))
+            own = np.exp(sums - sums.max(axis=1, keepdims=True))
+            own /= own.sum(axis=1, keepdims=True)
+            edges, none = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * len(model)), pa.array(~letters[begin : begin + len(texts)])
+            lists = [pa.ListArray.from_arrays(edges, pa.array(x.ravel()), mask=none) for x in (sums, own)]
             columns = [c for i, c in enumerate(rows.columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*columns, lik], names=[*[n for n in batch.schema.names if n != "text"], "lik"])
+            yield pa.RecordBatch.from_arrays([*columns, *lists], names=[*[n for n in batch.schema.names if n != "text"], "lik", "own"])
+
+
+def _sums(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Per value of the keys, none null but the last, the rows and the expected rows of each language: one sum of vectors."""
+    held = rows.where(F.col(keys[0]).isNotNull()).groupBy(*[F.col(k).alias(f"of_{name}_{k}") for k in keys])
+    return held.agg(vector_to_array(Summarizer.sum(array_to_vector("own"))).alias(f"n_{name}"), F.count("*").alias(f"all_{name}"))
 
 
-def _sums(rows: DataFrame, keys: list[str], name: str, n: int) -> DataFrame:
-    """Per value of the keys, none null but the last, the expected rows of each language."""
-    return rows.where(F.col(keys[0]).isNotNull()).groupBy(*[F.col(k).alias(f"of_{name}_{k}") for k in keys]).agg(F.array(*[F.sum(F.get("own", F.lit(i))) for i in range(n)]).alias(f"n_{name}"))
+def _posterior(total: list[float]) -> Column:
+    """Logarithms of each language's posterior, up to a constant, from ``lik`` and ``own`` and the sums by declaration, suffix and host.
 
+    Every step is one pass over the languages: what the lambdas refer to besides their arguments are plain columns."""
+    everything, own = F.array(*map(F.lit, total)), F.col("own")
+    rest = lambda n: F.zip_with(n, own, lambda a, b: F.greatest(a - b, F.lit(0.0)))
 
-def _normal(logs: Column) -> Column:
-    """Logarithms to probabilities that sum to 1."""
-    top = F.array_max(logs)
-    e = F.transform(logs, lambda x: F.exp(x - top))
-    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
+    def smoothed(name: str, prior: Column) -> Column:
+        """The other rows' share of a language, as if KAPPA more rows had the prior's; without such rows the prior."""
+        others = F.greatest(F.col(f"all_{name}") - 1, F.lit(0)) + KAPPA
+        return F.when(F.col(f"n_{name}").isNull(), prior).otherwise(F.zip_with(rest(f"n_{name}"), prior, lambda r, q: (r + KAPPA * q) / others))
+
+    prior = F.zip_with(everything, own, lambda t, o: (t - o + 1.0) / (sum(total) - 1.0 + len(total)))
+    prior = smoothed("host", smoothed("suffix", prior))
+    logs = F.zip_with("lik", prior, lambda x, p: x + F.log(p))
+    of = F.zip_with(everything, own, lambda t, o: t - o + 10 * BETA)
+    says = F.zip_with(rest("n_declared"), of, lambda r, t: F.log((r + BETA) / t))
+    return F.when(F.col("n_declared").isNull(), logs).otherwise(F.zip_with(logs, says, lambda a, b: a + b))
 
 
 def identified(rows: DataFrame, languages: list[str], model: np.ndarray) -> DataFrame:
@@ -122,30 +152,21 @@ def identified(rows: DataFrame, languages: list[str], model: np.ndarray) -> Data
     n = len(languages)
     if not n:
         return rows.drop("text").select("*", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("kept"))
-    kinds = StructType([*[f for f in rows.schema.fields if f.name != "text"], StructField("lik", ArrayType(DoubleType()))])
-    held = materialise(rows.mapInArrow(partial(_scored, model=model), kinds).withColumn("own", _normal(F.col("lik"))), "likelihoods")
+    numbers = ArrayType(DoubleType())
+    kinds = StructType([*[f for f in rows.schema.fields if f.name != "text"], StructField("lik", numbers), StructField("own", numbers)])
+    held = materialise(rows.mapInArrow(partial(_scored, model=model), kinds), "likelihoods")
     small = held.select("declared", "suffix", "host", "own").where("own is not null")
-    overall = small.agg(*[F.coalesce(F.sum(F.get("own", F.lit(i))), F.lit(0.0)).alias(f"n{i}") for i in range(n)]).head()
-    total = [float(x) for x in overall]
-    declared, suffixes, hosts = (materialise(_sums(small, keys, name, n), "evidence") for keys, name in ((["declared"], "declared"), (["suffix"], "suffix"), (["host", "suffix"], "host")))
+    overall = _sums(small.withColumn("one", F.lit(1)), ["one"], "overall").head()
+    total = list(overall["n_overall"]) if overall else [0.0] * n
+    declared, suffixes, hosts = (materialise(_sums(small, keys, name), "evidence") for keys, name in ((["declared"], "declared"), (["suffix"], "suffix"), (["host", "suffix"], "host")))
     out = held.join(declared, F.col("declared") == F.col("of_declared_declared"), "left").join(suffixes, F.col("suffix") == F.col("of_suffix_suffix"), "left")
     out = out.join(hosts, (F.col("host") == F.col("of_host_host")) & F.col("suffix").eqNullSafe(F.col("of_host_suffix")), "left")
-
-    def smoothed(name: str, i: int, prior: Column) -> Column:
-        """The other rows' share of a language, as if KAPPA more rows had the prior's; without such rows the prior."""
-        rest = F.get(f"n_{name}", F.lit(i)) - F.get("own", F.lit(i))
-        all_ = F.aggregate(f"n_{name}", F.lit(0.0), lambda a, b: a + b) - 1
-        return F.when(F.col(f"n_{name}").isNull(), prior).otherwise((F.greatest(rest, F.lit(0.0)) + KAPPA * prior) / (F.greatest(all_, F.lit(0.0)) + KAPPA))
-
-    logs = []
-    for i in range(n):
-        own = F.get("own", F.lit(i))
-        prior = smoothed("host", i, smoothed("suffix", i, (total[i] - own + 1.0) / (sum(total) - 1.0 + n)))
-        says = F.log((F.greatest(F.get("n_declared", F.lit(i)) - own, F.lit(0.0)) + BETA) / (total[i] - own + 10 * BETA))
-        logs.append(F.get("lik", F.lit(i)) + F.log(prior) + F.when(F.col("n_declared").isNull(), 0.0).otherwise(says))
-    out = out.withColumn("post_", F.when(F.col("lik").isNotNull(), _normal(F.array(*logs))))
-    best = F.array_max("post_")
-    out = out.withColumn("confidence", F.coalesce(best, F.lit(0.0))).withColumn("language", F.get(F.array(*map(F.lit, languages)), (F.array_position("post_", best) - 1).cast("int")))
+    # generators keep what a step gives from being written out again in the places that use it
+    step = lambda df, **columns: df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
+    out = step(out, logs_=F.when(F.col("lik").isNotNull(), _posterior(total)))
+    out = step(out, top_=F.array_max("logs_"))
+    over = F.aggregate("logs_", F.lit(0.0), lambda z, x: z + F.exp(x - F.col("top_")))  # the greatest is 1 part of so many
+    out = step(out, confidence=F.coalesce(1 / over, F.lit(0.0)), language=F.get(F.array(*map(F.lit, languages)), (F.array_position("logs_", F.col("top_")) - 1).cast("int")))
     return out.withColumn("kept", F.col("confidence") >= SURE).select(*[c for c in rows.columns if c != "text"], "language", "confidence", "kept")
 
 
