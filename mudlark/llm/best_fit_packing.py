@@ -4,9 +4,10 @@ The pieces' lengths form a histogram of at most ``capacity`` bins: the only thin
 whatever the size of the corpus. There the configuration program (how many sequences of each pattern of
 lengths) is solved by multiplicative weights: every length has a weight, which falls by a factor as its demand gets
 covered; the weights are the dual prices, and a bounded-knapsack dynamic program finds the pattern of greatest
-price. Every step uses its pattern a whole number of times, its share of the sequences rounded down, and the steps
-go on, on what is left, until all is placed: every sequence is one of the program's patterns. The prices also bound
-from below what any packing needs; the best bound is kept and given back. Every piece then finds
+price. A first pass uses each step's pattern a whole number of times, on what is left, until all is placed; its prices bound from below
+what any packing needs. Where the pass is not within GAP of the bound, the weights run on over the whole demand in ever finer
+steps: the patterns' averaged uses are a fractional solution and the averaged weights its dual, and steps end when their values are
+within GAP. Its whole parts are taken and the rest is packed by the pass again. Every piece then finds
 its sequence from its rank among the pieces of its length, so no sequence is built in one place.
 
 Defined results: a null or empty text is one piece holding the end id alone; equal ids and equal rows are
@@ -22,6 +23,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,12 @@ from pyspark.sql import functions as F
 from mudlark.llm.common import materialise, read_table
 
 CAPACITY = 2048
-#: Steps of multiplicative weights that the sequences are dealt over, and their rate.
+#: Steps of multiplicative weights that a first pass deals the sequences over; their rate (0: weights without effect).
 STEPS, RATE = 256, 0.05
+#: Gap between value and bound at which the program counts as solved; phases of the weights beyond the first pass: parts of a demand that a step
+#: covers, and how many times RATE they move by; steps of a phase, and every how many the knapsack is asked.
+GAP, PHASES = 0.005, tuple((10 << k, 20 << k) for k in range(7))
+PHASE_STEPS, LOOK = 6000, 20
 #: Every so many steps all demand is priced, which gives a bound. Of patterns as full as each other one of longer pieces
 #: is worth more by this power: short pieces are easier to place later.
 BOUNDED, TILT = 128, 1.001
@@ -222,34 +228,134 @@ def best_pattern(lengths: np.ndarray, prices: np.ndarray, bound: np.ndarray, cap
     return pattern
 
 
+class Program(NamedTuple):
+    """The configuration program's fractional solution (patterns by row, how often each) and its dual: a price of each length at which no
+    pattern is worth more than 1, and what the demand is worth at it, which no packing can do with less than."""
+
+    patterns: np.ndarray
+    uses: np.ndarray
+    prices: np.ndarray
+    bound: float
+
+
+def exhausted(lengths: np.ndarray, demand: np.ndarray, capacity: int, prices: np.ndarray, steps: int) -> tuple[list[tuple[np.ndarray, int]], float, np.ndarray]:
+    """Patterns, each used a whole number of times, that cover the demand exactly; the best bound met and its prices.
+
+    A length's price falls with its share covered, compared with the share that all have covered; the pattern worth most
+    of what is left takes its share of all sequences, rounded down, or one."""
+    rest, total, step, out = demand.copy(), max(float(lengths @ demand) / capacity, 1e-9), 0, []
+    bound, best_prices = 0.0, prices
+    while rest.any():
+        gone = 1 - float(lengths @ rest) / capacity / total
+        weight = prices**TILT * np.exp(-RATE * ((demand - rest) / np.maximum(demand, 1) - gone))
+        if step % BOUNDED == 0:
+            worth = float(weight @ best_pattern(lengths, weight, demand, capacity))
+            if float(weight @ demand) > bound * worth:
+                bound, best_prices = float(weight @ demand) / worth, weight / worth
+        left = np.flatnonzero(rest)
+        left = left[(left + step) % (len(left) // PRICED + 1) == 0] if len(left) > PRICED else left
+        pattern = np.zeros_like(rest)
+        pattern[left] = best_pattern(lengths[left], weight[left], rest[left], capacity)
+        on = pattern > 0
+        count = min(max(1, int(total / steps)), int((rest[on] // pattern[on]).min()))
+        out.append((pattern, count))
+        rest -= count * pattern
+        step += 1
+    return out, bound, best_prices
+
+
+def program(lengths: np.ndarray, demand: np.ndarray, capacity: int, patterns: np.ndarray, prices: np.ndarray, bound: float, gap: float = GAP) -> Program:
+    """The program solved by multiplicative weights until its value is within ``gap`` of a dual bound, or PHASES end.
+
+    A step takes the pattern worth most and covers one part in ``parts`` of the demand that it is nearest to meeting; the weight of each
+    length falls exponentially in its share covered. The uses, scaled until all is covered, are the solution; the mean of the weights is the
+    dual. Phases take finer steps at higher rates, from where the last one's mean weights left off. Patterns come from a growing pool; the
+    knapsack adds to it now and then, and always tells what a price proves."""
+    known = {tuple(r) for r in patterns.tolist()}
+    pool, share = patterns.astype(np.float64), demand.astype(np.float64)
+    best, uses, at = np.inf, np.zeros(len(pool)), prices
+
+    def look(price: np.ndarray) -> None:
+        nonlocal pool, bound, prices
+        pattern = best_pattern(lengths, price, demand, capacity)
+        worth = float(price @ pattern)
+        if float(price @ share) > bound * worth:
+            bound, prices = float(price @ share) / worth, price / worth
+        if tuple(pattern.tolist()) not in known:
+            known.add(tuple(pattern.tolist()))
+            pool = np.vstack([pool, pattern])
+
+    look(at)
+    for parts, rate in PHASES:
+        x, covered, mean = np.zeros(len(pool)), np.zeros(len(share)), np.zeros(len(share))
+        for step in range(1, PHASE_STEPS + 1):
+            price = at * np.exp(-rate * RATE * (covered - covered.mean()))
+            price /= price @ share
+            mean = mean + price if step != PHASE_STEPS // 2 else price  # the way to a price is left out of its mean
+            if step % LOOK == 0:
+                look(price)
+                if step % (5 * LOOK) == 0:
+                    look(mean)
+                    if covered.min() > 0 and x.sum() / covered.min() < best:
+                        best, uses = x.sum() / covered.min(), x / covered.min()
+                    if best <= bound * (1 + gap):
+                        return Program(pool[: len(uses)].astype(np.int64), uses, prices, bound)
+                x = np.append(x, np.zeros(len(pool) - len(x)))
+            k = int(np.argmax(pool[: len(x)] @ price))
+            on = pool[k] > 0
+            amount = float((share[on] / pool[k][on]).min()) / parts
+            x[k] += amount
+            covered += amount * pool[k] / share
+        at = mean / mean.max()
+    return Program(pool[: len(uses)].astype(np.int64), uses, prices, bound)
+
+
+def rounded(found: Program, lengths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """The solution's whole parts, most used patterns first, without pieces beyond the demand; the rest is covered by ``exhausted``, at the
+    dual prices or at the lengths, whichever takes fewer."""
+    rest, out = demand.copy(), []
+    for k in np.argsort(-found.uses, kind="stable"):
+        count = int(found.uses[k] + 1e-9)
+        if not count:
+            break
+        pattern = np.minimum(found.patterns[k], rest // count)
+        if pattern.any():
+            out.append((pattern, count))
+            rest -= count * pattern
+    some = np.flatnonzero(rest)
+    ends = []
+    for prices in (found.prices, lengths / capacity):
+        price = np.maximum(prices[some], 1e-9)
+        more = exhausted(lengths[some], rest[some], capacity, price, 1 << 30)[0] if len(some) else []
+        ends.append([(np.bincount(some, p, len(lengths)).astype(np.int64), c) for p, c in more])
+    return out + min(ends, key=lambda e: sum(c for _, c in e))
+
+
 def solve(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> tuple[list[tuple[dict[int, int], int]], float]:
     """Patterns (length -> how many) with how many sequences use each, covering the histogram exactly, and the greatest
-    lower bound met of the number of sequences of any packing."""
+    lower bound met of the number of sequences of any packing.
+
+    A first pass of whole steps is a solution, and mostly within GAP of its bound: then the program is solved. Where it is not,
+    multiplicative weights run on, and the better of both is taken."""
     full = histogram.get(capacity, 0)
     out = [({capacity: 1}, full)] if full else []
     lengths = np.array(sorted((x for x in histogram if x < capacity), reverse=True), dtype=np.int64)
     demand = np.array([histogram[x] for x in lengths], dtype=np.int64)
     if not len(lengths):
         return out, float(full)
-    total = float(lengths @ demand) / capacity
     # a length's share of a sequence is a feasible price of the dual program: no pattern is worth more than 1
-    rest, bound, step = demand.copy(), total, 0
-    while rest.any():
-        # a length's weight falls with its share covered; it is compared with the share that all have covered
-        gone = 1 - float(lengths @ rest) / capacity / total
-        weight = (lengths / capacity) ** TILT * np.exp(-RATE * ((demand - rest) / demand - gone))
-        if step % BOUNDED == 0:  # so are the weights over that of the pattern worth most
-            best = best_pattern(lengths, weight, demand, capacity)
-            bound = max(bound, float(weight @ demand) / float(weight @ best))
-        left = np.flatnonzero(rest)
-        left = left[(left + step) % (len(left) // PRICED + 1) == 0] if len(left) > PRICED else left
-        pattern = np.zeros_like(rest)
-        pattern[left] = best_pattern(lengths[left], weight[left], rest[left], capacity)
+    found, bound, prices = exhausted(lengths, demand, capacity, lengths / capacity, steps)
+    if float(lengths @ demand) / capacity > bound:
+        bound, prices = float(lengths @ demand) / capacity, lengths / capacity
+    used = sum(c for _, c in found)
+    if used > np.ceil(bound - 1e-6) and used > bound * (1 + GAP):
+        better = program(lengths, demand, capacity, np.array([p for p, _ in found]), prices, bound)
+        bound = better.bound
+        whole = rounded(better, lengths, demand, capacity)
+        found = min((found, whole), key=lambda f: sum(c for _, c in f))
+    for pattern, count in found:
         on = pattern > 0
-        count = min(max(1, int(total / steps)), int((rest[on] // pattern[on]).min()))
         out.append((dict(zip(lengths[on].tolist(), pattern[on].tolist(), strict=True)), count))
-        rest -= count * pattern
-        step += 1
     return out, full + bound
 
 
