@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mudlark.llm.common import materialise, read_table
+from mudlark.llm.common import materialise, read_table, shared_dir
 from mudlark.llm.shingles import _powers, in_slices, mixed
 
 LENGTH, K = 100, 24
@@ -272,11 +272,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def bucketed(docs: DataFrame, parts: int) -> DataFrame:
-    """``id, key, doc_id, text`` as a table bucketed by id and key in the warehouse."""
+    """``id, key, more, doc_id, text`` as a table bucketed by id and key, in the shared folder; ``key`` and ``more`` are 128 bits
+    that stand for the text."""
     name = f"mudlark_texts_{uuid.uuid4().hex}"
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    rows.write.option("compression", "zstd").bucketBy(parts, "id", "key").saveAsTable(name)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("key"), F.xxhash64(text, F.lit("more")).alias("more"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    rows.write.option("compression", "zstd").option("path", f"{shared_dir(docs.sparkSession)}/{name}").bucketBy(parts, "id", "key").saveAsTable(name)
     return docs.sparkSession.table(name)
 
 
@@ -293,9 +294,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     more = left.repartition("hash").sortWithinPartitions("hash").mapInArrow(partial(_finally, length=length), "id long, key long, begin int, end int")
     spans = local.where("hash is null").select("id", "key", "begin", "end").union(more).groupBy("id", "key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     cut = texts.join(spans, ["id", "key"]).select("id", "key", "text", "spans").mapInArrow(_cut, "id long, key long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    rows = table.select("id", "key", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
-    first = table.groupBy("key").agg(F.min("id").alias("first"))
-    out = rows.join(first, "key").join(cut, ["id", "key"], "left")
+    rows = table.select("id", "key", "more", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
+    first = table.groupBy("key", "more").agg(F.min("id").alias("first"))
+    out = rows.join(first, ["key", "more"]).join(cut, ["id", "key"], "left")
     copy = (F.col("id") > F.col("first")) & (F.col("n_bytes") >= length)
     return out.select(
         "doc_id",
