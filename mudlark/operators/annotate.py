@@ -59,7 +59,7 @@ def annotate(hits: DataFrame, trembl: DataFrame, subsystems: DataFrame) -> DataF
 def with_lineage(rows: DataFrame, lineage: DataFrame, spread: bool = False) -> DataFrame:
     """Adds ``lineage`` by ``taxid``, the empty one where there is none; domain prefixes ``d__`` become ``k__``.
 
-    ``spread``: for rows of which a few taxa may hold most."""
+    ``spread``: for stored rows of which a few taxa may hold most; the sample that finds them computes the rows again."""
     one = lineage.groupBy("taxid").agg(F.regexp_replace(F.min("lineage"), "^d__", "k__").alias("lineage"))
     both = left_join_spread(rows, one, "taxid") if spread else rows.join(one, "taxid", "left")
     return both.withColumn("lineage", F.coalesce("lineage", F.lit(NO_LINEAGE)))
