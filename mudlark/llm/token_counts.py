@@ -3,7 +3,8 @@ pre-token frequencies, and summed.
 
 The frequencies are kept as postings: for each pre-token of a task's documents a list of the documents and how
 often each holds it. The postings are dealt out by buckets of pre-tokens; there each distinct one is counted once
-and joined to all its postings. A pre-token that stands in every document has one list for each task, and texts
+and joined to all its postings. A pre-token that stands in every document has one list for each task; a bucket of
+more than EVEN times the mean bytes is dealt over several tasks, each of which counts its pre-tokens once. Texts
 are never shuffled.
 
 Defined results: a null text counts as empty (0 tokens); every input row is counted on its own, also rows with
@@ -29,6 +30,8 @@ from mudlark.llm.common import materialise, read_table
 #: Documents whose sums a task holds before it passes them on, and characters of text behind one set of postings.
 HELD, POSTED = 500_000, 24_000_000
 MOST = 65_535
+#: Times the mean bytes of a bucket that one task takes.
+EVEN = 2
 _SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Fixed value: the pre-token pattern of byte-level vocabularies, with white space spelt out.
 PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
@@ -169,13 +172,24 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def spread(packs: DataFrame) -> DataFrame:
+    """Packs with the ``share`` of their bucket that they belong to: a bucket of many bytes has several. The table of shares
+    has a row for each bucket, so it is broadcast."""
+    size = F.octet_length("text") + F.octet_length("lens") + F.octet_length("docs") + F.octet_length("counts")
+    sizes = packs.groupBy("bucket").agg(F.sum(size).alias("size"))
+    mean = sizes.select(F.avg("size")).scalar()
+    shares = sizes.select("bucket", F.ceil(F.col("size") / (EVEN * mean)).alias("shares"))
+    return packs.join(F.broadcast(shares), "bucket").withColumn("share", F.pmod(F.xxhash64("row"), F.col("shares")).cast("int"))
+
+
 def token_counts(docs: DataFrame, tokenizer_name: str = "byte_bpe_50k.json", specials: tuple[str, ...] = ("<|endoftext|>",), limit: int = 1024) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row. ``specials`` are the vocabulary's special strings,
     each one token wherever it stands in a text."""
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = materialise(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_postings, specials=specials, buckets=buckets), PACKS_KIND), "postings")
     packs = rows.where("bucket is not null").select("row", "bucket", "text", "lens", "holders", "docs", "counts")
-    sums = packs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(partial(_sums, tokenizer_name=tokenizer_name), "row long, sums binary, n long")
+    dealt = spread(packs).repartition("bucket", "share").sortWithinPartitions("bucket")
+    sums = dealt.select("row", "bucket", "text", "lens", "holders", "docs", "counts").mapInArrow(partial(_sums, tokenizer_name=tokenizer_name), "row long, sums binary, n long")
     sums = sums.repartition("row").sortWithinPartitions("row").mapInArrow(_added, "row long, n long")
     documents = rows.where("bucket is null").select("row", "doc_id", "n_bytes", "special")
     n = F.coalesce("n", F.lit(0)) + F.col("special")
