@@ -340,7 +340,7 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     blocks = max(1, math.ceil(size / BLOCK), min(2 * spark.sparkContext.defaultParallelism, math.ceil(size / LEAST_BLOCK)))
     buckets, top = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / LEAST_BLOCK)), min(TOP, depth)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("held_out", F.lit(False)).alias("held_out"), F.col("text").cast("string"))
-    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).cast("int"))
+    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     dealt = docs.select("block", "held_out", "text").repartition("block").sortWithinPartitions("block")
     packs = materialise(dealt.mapInArrow(partial(_counted, depth=depth, buckets=buckets), PACK_KIND), "packs")
 
