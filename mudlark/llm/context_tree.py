@@ -6,7 +6,7 @@ context, its Krichevsky-Trofimov estimate, and the weighted mixture of that with
 probability is the product of its decisions' mixtures over all depths, from the root to the deepest
 context seen in training.
 
-How it runs: documents are dealt into blocks by a hash of their id. A block gives its distinct n-grams (context
+How it runs: documents are dealt into blocks by a hash of id and text. A block gives its distinct n-grams (context
 and byte) with their training counts, in packs by bucket; a bucket holds all n-grams whose contexts end in the same
 bytes, so whole subtrees. A bucket's packs are merged a few at a time; of the merged table the trees' lower levels are
 built, and the few levels above are grouped sums over all buckets. Then the packs pass by their bucket's table one by
@@ -329,6 +329,11 @@ def _read_off(docs: pd.DataFrame, table: pd.DataFrame, depth: int, buckets: int,
     return pd.DataFrame({"doc_id": docs["doc_id"].astype("Int64"), "held_out": docs["held_out"], "n_tokens": cat(tokens, np.int64), "n_known": cat(known, np.int64), "base": cat(base, float), "score": cat(score, float), "n_bytes": np.array([len(t) for t in texts], dtype=np.int64)})
 
 
+def dealt(docs: DataFrame, blocks: int) -> DataFrame:
+    """Documents with their ``block``; only rows of equal id and text are always in one."""
+    return docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+
+
 def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Scores of ``docs(doc_id, text, held_out)``; the models are trained on the rows that are not held out.
 
@@ -340,9 +345,9 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     blocks = max(1, math.ceil(size / BLOCK), min(2 * spark.sparkContext.defaultParallelism, math.ceil(size / LEAST_BLOCK)))
     buckets, top = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / LEAST_BLOCK)), min(TOP, depth)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("held_out", F.lit(False)).alias("held_out"), F.col("text").cast("string"))
-    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    dealt = docs.select("block", "held_out", "text").repartition("block").sortWithinPartitions("block")
-    packs = materialise(dealt.mapInArrow(partial(_counted, depth=depth, buckets=buckets), PACK_KIND), "packs")
+    docs = dealt(docs, blocks)
+    shuffled = docs.select("block", "held_out", "text").repartition("block").sortWithinPartitions("block")
+    packs = materialise(shuffled.mapInArrow(partial(_counted, depth=depth, buckets=buckets), PACK_KIND), "packs")
 
     def gathered(rows: DataFrame) -> DataFrame:
         return rows.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket", "block")

@@ -12,7 +12,8 @@ occurrence (in order of doc_id and place) are marked. Contexts are cut where ano
 longer repeat is marked piece by piece.
 
 An anchor's occurrences are first scanned among the documents of one task; what is marked whole there goes no
-further. So an anchor that stands in a third of all documents meets with a few occurrences from each task. Copies
+further. So an anchor that stands in a third of all documents meets with a few occurrences from each task. There
+they come sorted by their sides: of equal sides only the first are held, the others are marked as they pass. Copies
 of a text are one text. Texts are written once, bucketed by document, and joined without a shuffle from there.
 
 Defined results: null and empty texts have 0 bytes, nothing removed; documents of equal id and text are one
@@ -32,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mudlark.functions.skew import left_join_spread
 from mudlark.llm.common import materialise, read_table, shared_dir
 from mudlark.llm.shingles import _powers, in_slices, mixed
 
@@ -232,17 +234,35 @@ def _locally(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 
 
 def _finally(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Occurrences sorted by hash to marks."""
-    rows = []
-    for group in _gathered(batches):
-        if len(group) > 1:
-            some = [r[1:] for r in group]
-            for x, spans in zip(some, marks(some, length), strict=True):
-                rows += [(x[0], x[1], a, b) for a, b in _merged(spans)]
-        if len(rows) > 20_000:
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["id", "key", "begin", "end"])
-            rows = []
-    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["id", "key", "begin", "end"])
+    """Occurrences sorted by hash, sides and place to marks. Of occurrences with equal sides the first stands for all, and
+    the others repeat it whole, so what is held of an anchor is its distinct sides."""
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    rows: list[tuple[int, int, int, int]] = []
+    held: list[Occurrence] = []
+    at = None
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=t) for i, t in enumerate(kinds)], names=["id", "key", "begin", "end"])
+
+    def scanned():
+        if len(held) > 1:
+            for x, spans in zip(held, marks(held, length), strict=True):
+                rows.extend((x[0], x[1], a, b) for a, b in _merged(spans))
+
+    for batch in batches:
+        for h, *x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if h != at:
+                scanned()
+                at, held = h, []
+            if held and held[-1][3:] == tuple(x[3:]):
+                rows.append((x[0], x[1], x[2] - len(x[3]), x[2] + len(x[4])))
+            else:
+                held.append(tuple(x))
+            if len(rows) > 20_000:
+                yield out()
+                rows = []
+    scanned()
+    yield out()
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -281,17 +301,22 @@ def bucketed(docs: DataFrame, parts: int) -> DataFrame:
     return docs.sparkSession.table(name)
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row; ``kept`` is null where nothing goes."""
+def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The bucketed table, its distinct ``id, key, text``, and for each with repeated anchors these as ``found``."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     table = bucketed(docs, parts)
     packs = table.select("id", "key", "text").mapInArrow(partial(_anchored, buckets=4 * parts), PACK_KIND)
     found = packs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_repeated, REPEATED)
     found = found.groupBy("id", "key").agg(F.collect_list(F.struct("hash", "place", "lo", "hi")).alias("found"))
-    texts = table.select("id", "key", "text").dropDuplicates(["id", "key"])
+    return table, table.select("id", "key", "text").dropDuplicates(["id", "key"]), found
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row; ``kept`` is null where nothing goes."""
+    table, texts, found = _found(docs)
     local = materialise(texts.join(found, ["id", "key"]).select("id", "key", "text", "found").mapInArrow(partial(_locally, length=length), ROUND_KIND), "occurrences")
     left = local.where("hash is not null").select("hash", "id", "key", "place", "left", "right")
-    more = left.repartition("hash").sortWithinPartitions("hash").mapInArrow(partial(_finally, length=length), "id long, key long, begin int, end int")
+    more = left.repartition("hash").sortWithinPartitions("hash", "left", "right", "id", "place", "key").mapInArrow(partial(_finally, length=length), "id long, key long, begin int, end int")
     spans = local.where("hash is null").select("id", "key", "begin", "end").union(more).groupBy("id", "key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     cut = texts.join(spans, ["id", "key"]).select("id", "key", "text", "spans").mapInArrow(_cut, "id long, key long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     rows = table.select("id", "key", "more", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
@@ -308,8 +333,83 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
 
 
+def maximal(group: list[Occurrence], length: int = LENGTH) -> Iterator[tuple[int, int, list[int]]]:
+    """Those of the ``repeats`` whose members differ on both sides of what they share: each set of occurrences once, with
+    the longest string that they have in common."""
+    for left, right, members in repeats(group, length):
+        sides = ([group[i][side] for i in members] for side in (3, 4))
+        if (left, right) == tuple(common(min(x), max(x)) for x in sides):
+            yield left, right, members
+
+
+SIDES = pa.schema([("hash", pa.int64()), ("context", pa.binary()), ("id", pa.int64()), ("place", pa.int32()), ("left", pa.binary()), ("right", pa.binary())])
+SIDES_KIND = "hash long, context binary, id long, place int, left binary, right binary"
+
+
+def _sides(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Every occurrence of a document's repeated anchors with its sides, and a digest of these as ``context``."""
+    for batch in batches:
+        rows = []
+        for doc, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            data = text.encode()
+            for x in found:
+                place = x["place"]
+                left, right = data[place - x["hi"] : place][::-1], data[place : place - x["lo"] + length]
+                rows.append((x["hash"], hashlib.md5(b"%d " % len(left) + left + right).digest(), doc, place, left, right))
+            if len(rows) > 20_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), SIDES, strict=True)], schema=SIDES)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), SIDES, strict=True)], schema=SIDES)
+
+
+MEMBERS = pa.schema([("context", pa.binary()), ("repeat", pa.binary()), ("length", pa.int32()), ("before", pa.int32())])
+
+
+def _members(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Distinct sides sorted by anchor (with how often they stand) to the maximal repeats that they belong to."""
+    rows = []
+    for found in _gathered(batches):
+        group = [(0, 0, 0, left, right) for _, _, left, right, _ in found]
+        whole = set()
+        for left, right, members in maximal(group, length) if len(group) > 1 else ():
+            one = group[members[0]]
+            repeat = hashlib.md5(one[3][:left][::-1] + one[4][:right]).digest()
+            rows += [(found[i][1], repeat, left + right, left) for i in members]
+            whole.update(i for i in members if (left, right) == (len(group[i][3]), len(group[i][4])))
+        for i, (_, context, left, right, n) in enumerate(found):
+            # equal sides that no other holds are a group of their own
+            if n > 1 and i not in whole:
+                rows.append((context, hashlib.md5(left[::-1] + right).digest(), len(left) + len(right), len(left)))
+        if len(rows) > 20_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), MEMBERS, strict=True)], schema=MEMBERS)
+            rows = []
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), MEMBERS, strict=True)], schema=MEMBERS)
+
+
+def repeat_groups(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``repeat, length, doc_id, start``: a row for each occurrence of each maximal repeat; ``repeat`` is the MD5 of its bytes.
+
+    The tree is scanned over the distinct sides of an anchor, counted before they are shuffled, and the occurrences are
+    joined to the groups afterwards, with heavy sides dealt over salts: a passage that a third of the documents hold is
+    one entry of the scan. A repeat that goes over several anchors' stretches comes as overlapping pieces. Copies of a
+    text are one: occurrences are those in the first of equal texts, so a text that only stands in copies has no group."""
+    _, texts, found = _found(docs)
+    sides = texts.join(found, ["id", "key"]).select("id", "text", "found").mapInArrow(partial(_sides, length=length), SIDES_KIND)
+    sides = materialise(sides, "sides")
+    distinct = sides.groupBy("hash", "context").agg(F.first("left").alias("left"), F.first("right").alias("right"), F.count("*").alias("n"))
+    members = distinct.repartition("hash").sortWithinPartitions("hash").mapInArrow(partial(_members, length=length), "context binary, repeat binary, length int, before int")
+    rows = left_join_spread(sides.select("context", "id", "place"), materialise(members, "members"), "context").where("repeat is not null")
+    return rows.select(F.lower(F.hex("repeat")).alias("repeat"), "length", F.nullif("id", F.lit(LAST)).alias("doc_id"), (F.col("place") - F.col("before")).cast("long").alias("start"))
+
+
+def repeat_groups_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {"op10_suffix_dedup": op10_suffix_dedup}
+QUERIES = {"op10_suffix_dedup": op10_suffix_dedup, "repeat_groups_documents": repeat_groups_documents}

@@ -127,6 +127,22 @@ def test_token_counts_of_a_pre_token_with_many_postings(spark, monkeypatch):
     assert len(got["docs"]) == len(wide["docs"]) == 140_000 and len(wide["holders"]) == 4
 
 
+def test_token_counts_of_a_bucket_with_most_postings(spark, monkeypatch):
+    """Half of all postings are of one pre-token: its bucket is dealt over several tasks, sums stay."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_counts, "POSTED", 400)
+    texts_ = [" the" * (1 + i % 300) + f" a{i}" for i in range(200)]
+    rows = spark.createDataFrame([(i if i % 3 else None, t) for i, t in enumerate(texts_)], "doc_id long, text string").repartition(3)
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = sorted((r.doc_id or -1, r.n_tokens) for r in token_counts.token_counts(rows).collect())
+    assert got == sorted((i if i % 3 else -1, len(t.encode(x).ids)) for i, x in enumerate(texts_))
+    packs = spark.createDataFrame([(row, 0 if row % 2 else 1 + row % 50, bytes(100), b"", b"", b"", b"") for row in range(2000)], "row long, bucket int, text binary, lens binary, holders binary, docs binary, counts binary")
+    shares = Counter((r.bucket, r.share) for r in token_counts.spread(packs).collect())
+    assert len([s for s in shares if s[0] == 0]) > 5 and max(shares.values()) < 250 and sum(shares.values()) == 2000
+
+
 def test_packing_comes_near_its_bound():
     """Every sequence is a pattern of the program, and their number lies by its own bound."""
     rng = np.random.default_rng(2)
@@ -378,6 +394,45 @@ def test_repeat_groups():
     assert (3, 5, (0, 2)) in found and (3, 4, (0, 1, 2)) in found and (4, 4, (0, 1)) in found
 
 
+def test_repeat_groups_of_documents(spark, documents):
+    """Every group has all occurrences of its string, and every string of 100 bytes that repeats lies in a group of as many."""
+    part = "".join(chr(97 + i % 7 + (i * i) % 11) for i in range(150))
+    more = [(800001, "ab" * 300), (800002, "x" * 99), (800004, "qq" + part + "zz" + part), (800005, part[:120] + "AAA" + part[30:]), (800006, part), (800007, part), (None, "new " + part[:110]), (None, None)]
+    more += [(800100 + i, f"{i} {part[:125]} {i}") for i in range(30)]
+    rows = documents.where("doc_id < 60").select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    first = {}
+    for i, t in sorted(((r.doc_id, r.text) for r in rows.collect()), key=lambda r: (r[0] is None, r[0] or 0)):
+        first.setdefault((t or "").encode(), i)
+    got = defaultdict(set)
+    for r in suffix_dedup.repeat_groups(rows).collect():
+        assert (r.doc_id, r.start) not in got[r.repeat, r.length]
+        got[r.repeat, r.length].add((r.doc_id, r.start))
+    owner = {i: data for data, i in first.items() if data}
+    strings = {}
+    for (repeat, n), places in got.items():
+        i, start = next(iter(places))
+        strings[repeat] = s = owner[i][start : start + n]
+        assert hashlib.md5(s).hexdigest() == repeat and n >= 100 and len(places) > 1
+        assert places == {(i, k) for data, i in first.items() for k in range(len(data) - n + 1) if data[k : k + n] == s}
+    windows = defaultdict(set)
+    for data, i in first.items():
+        for k in range(len(data) - 99):
+            windows[data[k : k + 100]].add((i, k))
+    covered = {(strings[repeat][k : k + 100], len(places)) for (repeat, n), places in got.items() for k in range(n - 99)}
+    repeated = {(s, len(places)) for s, places in windows.items() if len(places) > 1}
+    assert len(repeated) > 100 and repeated <= covered
+    assert suffix_dedup.repeat_groups(without_rows(documents)).count() == 0
+
+
+def test_a_hot_anchor_is_held_by_its_sides(spark):
+    """Half of all occurrences have equal sides: they pass one by one, and what is marked is the same."""
+    part = "".join(chr(97 + i % 7 + (i * i) % 11) for i in range(150))
+    rows = [(7, i, 1, 40, part[:40].encode()[::-1], part[40:].encode()) for i in range(50)] + [(7, 100, 2, 60, b"zz", part[40:].encode()), (8, 3, 3, 0, b"", b"p" * 120), (8, 4, 4, 0, b"", b"p" * 120)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[k : k + 20]]) for i in range(6)], names=["hash", "id", "key", "place", "left", "right"]) for k in range(0, len(rows), 20)]
+    got = sorted(tuple(r.values()) for b in suffix_dedup._finally(iter(batches), 100) for r in b.to_pylist())
+    assert got == sorted([(i, 1, 0, 150) for i in range(1, 50)] + [(100, 2, 60, 170), (4, 4, 0, 120)])
+
+
 def tree_brute(docs, depth):
     n = defaultdict(lambda: [0, 0])
 
@@ -439,6 +494,13 @@ def test_context_tree(spark, documents, monkeypatch):
     assert context_tree.scored(rows.where("false")).count() == 0
 
 
+def test_blocks_of_rows_without_id(spark):
+    """Rows without id and of one id are dealt over the blocks by their texts."""
+    rows = spark.createDataFrame([(None if i % 2 else 7, f"text {i:04d}", False) for i in range(400)], "doc_id long, text string, held_out boolean")
+    blocks = context_tree.dealt(rows, 8).groupBy("block").count().collect()
+    assert len(blocks) == 8 and max(r["count"] for r in blocks) < 100
+
+
 def test_mixing(spark, documents):
     out = source_mixing.mixed(documents, 0.5)
     cells = out.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("t"), F.max("p").alias("p")).toPandas().fillna("?")
