@@ -125,6 +125,14 @@ def test_annotated_formats(spark, tmp_path):
     assert rows[2].superclass is None and rows[0].sample_id == "s"
 
 
+def test_annotated_form_is_given(spark, tmp_path):
+    """With a given form a row is read in that form, whatever else could be read from it."""
+    base = ["UniRef50_A", "2", "0.1", "0.2", "0.3", "5", "species", "x", "f", "M", "c", "s", "y"]
+    path = put(tmp_path / "s_tophit_report_subsystems_taxa", "\n".join("\t".join(r) for r in ([*base, "4.0", "7.5", "k__B"], [*base, "word", "0.5", "k__A"])) + "\nshort\n")
+    assert [(r.weight, r.lineage) for r in readers.read_annotated(spark, path, form="v2").collect()] == [(4.0, "7.5"), (None, "0.5")]
+    assert [(r.weight, r.lineage) for r in readers.read_annotated(spark, path, form="v1").collect()] == [(7.5, "k__B"), (0.5, "k__A")]
+
+
 def test_tables(spark, tmp_path):
     hit = "UniRef50_A\t21\t0.9\t20.7\t0.4\t77\tspecies\tx y\n"
     assert readers.read_tophit_report(spark, put(tmp_path / "q_tophit_report.gz", hit)).head().n_aligned == 21
