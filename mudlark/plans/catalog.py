@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from mudlark.functions.checkpoints import shared_folder
 from mudlark.operators import annotate as an
 from mudlark.operators import bins, flow, profile, reads, refdb, taxonomy
+from mudlark.plans import files
 from mudlark.plans.fixtures import view, with_views
 from mudlark.sources import sinks
 
@@ -490,6 +491,12 @@ _register(
 )
 _register("graph_segments", lambda s, d: bins.graph(view(s, d, "fx_fastg"))[0], "fx_fastg", "select substr(split_part(header, ':', 1), 2) as id, seq, cast(length(seq) as int) as len from fx_fastg where not contains(split_part(header, ':', 1), chr(39))")
 
+# --- files -------------------------------------------------------------------------------------------------
+
+for _file_query in files.FILES:
+    _register(*_file_query)
+_register("ingest_hits", files.ingested, HITS, ANNOTATED + files.INGESTED)
+
 
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

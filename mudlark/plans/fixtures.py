@@ -49,6 +49,21 @@ VIEWS = {
     "fx_groups": "select r_name as bin_group, concat('S', cast(r_regionkey as string), '_') as pattern from {region}",
     "fx_fastg": """select concat('>', cast(l_orderkey as string), case when l_linenumber % 2 = 0 then chr(39) else '' end, ':', cast(l_partkey as string), chr(39), ',', cast(l_suppkey as string), ';') as header,
  repeat('acgt', cast(l_linenumber as int)) as seq from {lineitem}""",
+    "fx_seqs": """select coalesce(lang, 'none') as sample_id, concat('d', cast(doc_id as string), ' ', coalesce(source, '')) as header,
+ translate(coalesce(text, ''), concat(' >', chr(9), chr(10), chr(11), chr(12), chr(13)), '') as seq from {documents}""",
+    "fx_sam": """select concat('S', cast(l_suppkey % 8 as string)) as sample_id, concat('r', cast(l_orderkey as string), '.', cast(l_linenumber as string)) as read_id,
+ cast(cast(l_orderkey * 37 + l_linenumber * 13 as bigint) % 4096 as int) as flag, concat('c', cast(l_partkey as string)) as rname, cast(l_quantity * 10 as bigint) as pos,
+ cast(l_linenumber as int) as mapq, repeat('acgt', cast(l_linenumber as int)) as seq, repeat('#', cast(l_linenumber * 4 as int)) as qual from {lineitem}""",
+    "fx_report_rows": """select concat('S', cast(l_suppkey % 8 as string)) as sample_id, concat('UniRef50_P', cast(l_partkey as string)) as uniref_id, cast(l_quantity as bigint) as n_aligned,
+ l_discount as unique_cov, l_tax as target_cov, l_extendedprice as identity, cast(l_suppkey as int) as taxid, 'species' as rank, concat('x "', l_returnflag, ' y') as name from {lineitem}""",
+    "fx_aln_rows": """select concat('S', cast(user_id % 4 as string)) as sample_id, concat('q', cast(event_id as string)) as dna_id, concat('UniRef50_P', cast(user_id as string)) as uniref_id, value as percent_identity,
+ cast(event_id % 300 as int) as alignment_length, cast(event_id % 7 as int) as gaps, cast(event_id % 5 as int) as bitscore from {events}""",
+    "fx_annotated": """select concat('S', cast(l_suppkey % 8 as string)) as sample_id, concat('UniRef50_P', cast(l_partkey as string)) as uniref_id, cast(l_quantity as bigint) as n_aligned, cast(l_suppkey as int) as taxid,
+ p_type as func, concat('M', cast(p_size % 3 as string)) as superclass, cast(p_size as string) as size, p_name as subsystem_name, l_quantity / 4 as weight,
+ case when l_suppkey % 3 = 0 then '' else concat('k__', p_brand, ';p__;c__;o__;f__;g__;s__') end as lineage, l_linenumber as form from {lineitem} join {part} on l_partkey = p_partkey""",
+    "fx_paths": """select distinct concat('run', cast(l_linenumber % 3 as string), '/S', cast(l_orderkey as string), '/S', cast(l_orderkey as string),
+ case l_linenumber when 1 then '_tophit_report_subsystems.gz' when 2 then '_tophit_report_subsystems_taxa.gz' when 3 then '_tophit_report.gz' when 4 then '_tophit_aln.gz' when 5 then '_lca_taxonomy.tsv.gz'
+ when 6 then '_lca.tsv.gz' else '_R1.fastq.gz' end) as path from {lineitem}""",
 }
 
 

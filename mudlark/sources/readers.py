@@ -1,6 +1,7 @@
 """Scans of tool output tables and sequence files as DataFrames with explicit schemas.
 
-Every table gets ``sample_id`` from its file's name. Gzip files are one task each (they can't be split); write
+Every table gets ``sample_id`` from its file's name, or from its folder where that is named like ``sample_id=S1``, as Spark
+names the folders of what it writes by a column. Gzip files are one task each (they can't be split); write
 them to Parquet once if they are read again.
 
 Spark tells gzip by a file's name. A file that is gzip under another name is an error that says so; readers with ``by_content`` look at
@@ -43,10 +44,11 @@ def kind_of(path: str = "path") -> Column:
 
 
 def sample_of(path: Column) -> Column:
-    """Sample name of a path: the file's name up to its kind's ending, or without extensions."""
-    name = F.regexp_extract(path, r"([^/]+)$", 1)
+    """Sample name of a path: the value of a last folder ``column=value`` (a plain one, without escapes), else the file's name up to its
+    kind's ending, or without extensions."""
+    name, folder = F.regexp_extract(path, r"([^/]+)$", 1), F.regexp_extract(path, r"/\w+=([^/]+)/[^/]+$", 1)
     endings = "|".join(e.replace(".", r"\.") for e in KINDS.values())
-    return F.when(name.rlike(f"({endings})$"), F.regexp_replace(name, f"({endings})$", "")).otherwise(F.regexp_replace(name, r"(\.[A-Za-z]+)+$", ""))
+    return F.when(folder != "", folder).when(name.rlike(f"({endings})$"), F.regexp_replace(name, f"({endings})$", "")).otherwise(F.regexp_replace(name, r"(\.[A-Za-z]+)+$", ""))
 
 
 def _refused(file: Column) -> Column:
@@ -73,10 +75,10 @@ def _table(spark: SparkSession, path, schema: str, comment: str | None = None, b
         return rows.select(sample_of(F.col("file")).alias("sample_id"), F.from_csv("value", schema, options).alias("x")).select("sample_id", "x.*")
     reader = spark.read.schema(schema).options(**options)
     rows = (reader.option("comment", comment) if comment else reader).csv(path)
-    first, file = rows.columns[0], F.col("_metadata.file_path")
+    (first, *rest), file = [c for c in rows.columns if c != "sample_id"], F.col("_metadata.file_path")
     # the same bytes as text: the second is no UTF-8
     ok = F.when(F.col(first).cast("string").startswith("\x1f\ufffd\x08"), _refused(file)).otherwise(F.col(first)).alias(first)
-    return rows.select(sample_of(file).alias("sample_id"), ok, *rows.columns[1:])
+    return rows.select(sample_of(file).alias("sample_id"), ok, *rest)
 
 
 def _lines(spark: SparkSession, path) -> DataFrame:

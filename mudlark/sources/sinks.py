@@ -36,20 +36,26 @@ def write_matrix(wide: DataFrame, path: str, comment: str | None = None) -> None
     head.union(wide.select(F.lit(2), *order)).repartitionByRange(1, "o").sortWithinPartitions("o", "value").select("value").write.mode("overwrite").text(path)
 
 
-def fasta_lines(rows: DataFrame, name: str = "seq_id", seq: str = "seq") -> DataFrame:
-    return rows.select(F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col(seq)).alias("value"))
+def fasta_lines(rows: DataFrame, name: str = "seq_id", seq: str = "seq", keep: Sequence[str] = ()) -> DataFrame:
+    return rows.select(*keep, F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col(seq)).alias("value"))
 
 
-def fastq_lines(rows: DataFrame, header: str = "header") -> DataFrame:
-    return rows.select(F.concat_ws("\n", F.concat(F.lit("@"), F.col(header)), "seq", F.lit("+"), "qual").alias("value"))
+def fastq_lines(rows: DataFrame, header: str = "header", keep: Sequence[str] = ()) -> DataFrame:
+    return rows.select(*keep, F.concat_ws("\n", F.concat(F.lit("@"), F.col(header)), "seq", F.lit("+"), "qual").alias("value"))
 
 
-def write_fasta(rows: DataFrame, path: str, name: str = "seq_id", compression: str = "gzip") -> None:
-    fasta_lines(rows, name).write.mode("overwrite").option("compression", compression).text(path)
+def write_lines(lines: DataFrame, path: str, by: str | None = None, compression: str = "gzip") -> None:
+    """Text of the column ``value``; with ``by`` in a folder for each of its values, from which readers take the sample's name."""
+    writer = lines.write.mode("overwrite").option("compression", compression)
+    (writer.partitionBy(by) if by else writer).text(path)
 
 
-def write_fastq(rows: DataFrame, path: str, compression: str = "gzip") -> None:
-    fastq_lines(rows).write.mode("overwrite").option("compression", compression).text(path)
+def write_fasta(rows: DataFrame, path: str, name: str = "seq_id", compression: str = "gzip", by: str | None = None) -> None:
+    write_lines(fasta_lines(rows, name, keep=[by] if by else []), path, by, compression)
+
+
+def write_fastq(rows: DataFrame, path: str, compression: str = "gzip", by: str | None = None) -> None:
+    write_lines(fastq_lines(rows, keep=[by] if by else []), path, by, compression)
 
 
 def write_by_cluster(rows: DataFrame, path: str, cluster: str = "cluster_id", name: str = "seq_id") -> None:

@@ -51,7 +51,9 @@ def reachable(paths: list[str]) -> bool:
 
 
 def files_of(path: str) -> list[tuple[str, int]]:
-    """Path as Spark would name it, and size, of the files that a file, a folder or a pattern in the last part of a path stands for."""
+    """Path as Spark would name it, and size, of the files that a file, a folder or a pattern in the last part of a path stands for.
+
+    As Spark does, a folder's files are those in it and in its folders ``column=value``; hidden ones are left out."""
     system, inner = file_system(path)
     head = path[: -len(inner)] if path.endswith(inner) else ("" if "://" in path else "file://")
     head = head or "file://"
@@ -61,7 +63,10 @@ def files_of(path: str) -> list[tuple[str, int]]:
         one = system.get_file_info(inner)
         if one.type == fs.FileType.NotFound:
             raise FileNotFoundError(path)
-        found = system.get_file_info(fs.FileSelector(inner)) if one.type == fs.FileType.Directory else [one]
+        found = [one]
+        if one.type == fs.FileType.Directory:
+            below = [(x, x.path[len(inner.rstrip("/")) + 1 :].split("/")[:-1]) for x in system.get_file_info(fs.FileSelector(inner, recursive=True))]
+            found = [x for x, folders in below if all("=" in f and not f.startswith(("_", ".")) for f in folders)]
     return sorted((head + x.path, x.size) for x in found if x.type == fs.FileType.File and not x.base_name.startswith(("_", ".")))
 
 

@@ -16,7 +16,7 @@ def ingest_hits(spark: SparkSession, path: str, out: str, checkpoint: str, tremb
     The joins are with fixed tables, so there is no state; aggregates stay batch jobs on the result. A batch is
     written under its own number, so that one that is repeated after a failure replaces itself."""
     rows = spark.readStream.schema(TOPHIT_REPORT).option("sep", "\t").option("quote", "").csv(path)
-    rows = rows.select(sample_of(F.col("_metadata.file_path")).alias("sample_id"), "*")
+    rows = rows.select(sample_of(F.col("_metadata.file_path")).alias("sample_id"), *[c for c in rows.columns if c != "sample_id"])
 
     def write(batch: DataFrame, number: int) -> None:
         done = annotate(batch, trembl, subsystems)

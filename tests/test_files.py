@@ -233,3 +233,23 @@ def test_top_hit_without_subsystem(spark):
     subsystems = spark.createDataFrame([("x", "y", "z", "s", "fb")], "superclass string, class string, subclass string, subsystem_name string, func string")
     assert [(r.dna_id, r.uniref_id) for r in annotate.top_hits(hits, trembl, subsystems, "f").collect()] == [("q1", "UniRef50_B")]
     assert sorted((r.dna_id, r.uniref_id) for r in annotate.top_hits(hits, trembl, subsystems, "t").collect()) == [("q1", "UniRef50_A"), ("q2", "UniRef50_A")]
+
+
+def test_samples_named_by_folders(spark, tmp_path):
+    """What is written by sample is read with its sample again, by every kind of scan; hidden folders are left out."""
+    reads = spark.createDataFrame([("S1", "r1 x", "AC", "!!"), ("S2", "r2", "GGT", "@@@")], "sample_id string, header string, seq string, qual string")
+    sinks.write_fastq(reads, str(tmp_path / "q"), by="sample_id")
+    (tmp_path / "q/_old=1").mkdir()
+    put(tmp_path / "q/_old=1/a.fastq", "no record\n")
+    for by_spark in (False, True):
+        got = readers.read_fastq(spark, str(tmp_path / "q"), by_spark=by_spark).select(*reads.columns).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, reads.collect()))
+    sinks.write_fasta(reads, str(tmp_path / "a"), "header", by="sample_id")
+    assert sorted((r.sample_id, r.seq) for r in readers.read_fasta(spark, str(tmp_path / "a")).collect()) == [("S1", "AC"), ("S2", "GGT")]
+    hit = spark.createDataFrame([("S1", "UniRef50_A\t21\t0.9\t20.7\t0.4\t77\tspecies\tx")], "sample_id string, value string")
+    sinks.write_lines(hit, str(tmp_path / "h"), "sample_id")
+    for by_content in (False, True):
+        rows = readers.read_tophit_report(spark, str(tmp_path / "h"), by_content=by_content)
+        assert rows.columns[0] == "sample_id" and len(rows.columns) == 9 and (rows.head().sample_id, rows.head().taxid) == ("S1", 77)
+    names = spark.createDataFrame([("x/y=1/z/s_report.gz",), ("sample_id=S/part-0.txt.gz",), ("a/sample_id=S/part-0.txt.gz",)], "p string")
+    assert [r[0] for r in names.select(readers.sample_of(names["p"])).collect()] == ["s", "part-0", "S"]
