@@ -66,7 +66,7 @@ def files_of(path: str) -> list[tuple[str, int]]:
         found = [one]
         if one.type == fs.FileType.Directory:
             below = [(x, x.path[len(inner.rstrip("/")) + 1 :].split("/")[:-1]) for x in system.get_file_info(fs.FileSelector(inner, recursive=True))]
-            found = [x for x, folders in below if all("=" in f and not f.startswith(("_", ".")) for f in folders)]
+            found = [x for x, folders in below if all("=" in f and not f.startswith(".") for f in folders)]
     return sorted((head + x.path, x.size) for x in found if x.type == fs.FileType.File and not x.base_name.startswith(("_", ".")))
 
 

@@ -239,8 +239,8 @@ def test_samples_named_by_folders(spark, tmp_path):
     """What is written by sample is read with its sample again, by every kind of scan; hidden folders are left out."""
     reads = spark.createDataFrame([("S1", "r1 x", "AC", "!!"), ("S2", "r2", "GGT", "@@@")], "sample_id string, header string, seq string, qual string")
     sinks.write_fastq(reads, str(tmp_path / "q"), by="sample_id")
-    (tmp_path / "q/_old=1").mkdir()
-    put(tmp_path / "q/_old=1/a.fastq", "no record\n")
+    (tmp_path / "q/.old=1").mkdir()
+    put(tmp_path / "q/.old=1/a.fastq", "no record\n")
     for by_spark in (False, True):
         got = readers.read_fastq(spark, str(tmp_path / "q"), by_spark=by_spark).select(*reads.columns).collect()
         assert sorted(map(tuple, got)) == sorted(map(tuple, reads.collect()))
