@@ -53,3 +53,24 @@ def test_hits_are_multiplied_after_the_last_shuffle(wide):
     # few functions have most hits, and still no task most rows
     tasks = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count("superclass")).collect()]
     assert len(tasks) == 16 and max(tasks) <= 2 * median(tasks), tasks
+
+
+@pytest.mark.parametrize("mode", ["a", "s"])
+def test_all_top_hits_are_multiplied_after_the_last_shuffle(wide, mode):
+    hits, trembl, subsystems, _ = tables(wide)
+    rows = an.top_hits(hits, trembl, subsystems, mode)
+    plan, names = plan_of(rows), ["row_no", "func", *an.HIERARCHY]
+    assert plan.index("Generate inline") < plan.index("Exchange")
+    expected = plain(hits, trembl, subsystems)
+    expected = expected.where(an.has_subsystem()) if mode == "s" else expected
+    assert sorted(map(str, rows.select(names).collect())) == sorted(map(str, expected.select(names).collect()))
+
+
+def test_a_random_top_hit_is_drawn_from_one_row_of_each_hit(wide):
+    hits, trembl, subsystems, _ = tables(wide)
+    rows = an.top_hits(hits, trembl, subsystems, "r", 3)
+    assert "Generate inline" not in plan_of(rows) and "array_min" in plan_of(rows)
+    draw = F.md5(F.concat_ws("|", F.lit("3"), "dna_id", "uniref_id", "row_no", *[F.coalesce(c, F.lit("")) for c in an.HIERARCHY]))
+    names = ["dna_id", "row_no", "func", *an.HIERARCHY]
+    best = plain(hits, trembl, subsystems).groupBy("sample_id", "dna_id").agg(F.min_by(F.struct(*names[1:]), draw).alias("x")).select("dna_id", "x.*")
+    assert sorted(map(str, rows.select(names).collect())) == sorted(map(str, best.collect())) and rows.count() == 300
