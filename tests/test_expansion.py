@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mudlark.operators import annotate as an
+from mudlark.operators import taxonomy
 
 HIERARCHY = "superclass string, class string, subclass string, subsystem_name string, func string"
 
@@ -74,3 +75,23 @@ def test_a_random_top_hit_is_drawn_from_one_row_of_each_hit(wide):
     names = ["dna_id", "row_no", "func", *an.HIERARCHY]
     best = plain(hits, trembl, subsystems).groupBy("sample_id", "dna_id").agg(F.min_by(F.struct(*names[1:]), draw).alias("x")).select("dna_id", "x.*")
     assert sorted(map(str, rows.select(names).collect())) == sorted(map(str, best.collect())) and rows.count() == 300
+
+
+def test_contigs_are_shuffled_and_sorted_once(wide):
+    rng = random.Random(1)
+    names = {9: "k__A;p__B;c__;o__O1;f__;g__;s__x", 10: "k__A;p__B;c__;o__O2;f__;g__;s__x", 11: "k__A;p__BB;c__C;o__;f__;g__;s__y", 12: "k__;p__;c__;o__;f__;g__;s__", 13: "k__short;p__"}
+    reads = [(f"S{rng.randrange(2)}", f"c{rng.randrange(60)}-orf{i}", rng.choice([*names, 99]), rng.choice(["x", "x", "unclassified"])) for i in range(900)] + [("S0", "no frame", 9, "x")]
+    lca = wide.createDataFrame(reads, "sample_id string, dna_id string, taxid int, name string")
+    rows = taxonomy.contig_consensus(lca, wide.createDataFrame(list(names.items()), "taxid int, lineage string"))
+    plan = plan_of(rows)
+    assert plan.count("Exchange hashpartitioning(sample_id") == 1 and plan.index("Generate inline") < plan.index("Exchange") and plan.count("Sort [sample_id") == 1, plan[:400]
+    counts = {}
+    for sample, name, taxid, kind in reads:
+        path = names.get(taxid, an.NO_LINEAGE).split(";")
+        if kind == "x" and "-orf" in name and len(path) == 7:
+            for i, rank in enumerate(taxonomy.RANKS):
+                of = counts.setdefault((sample, name.split("-")[0], rank), {})
+                of[";".join(path[: i + 1])] = of.get(";".join(path[: i + 1]), 0) + 1
+    best = {k: min(v.items(), key=lambda x: (-x[1], x[0])) for k, v in counts.items()}
+    got = {(r.sample_id, r.contig, r["rank"]): (r.taxon, r.n) for r in rows.collect()}
+    assert got == best and rows.count() == len(best) and rows.where("fraction > 1 or fraction <= 0").isEmpty()
