@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from mudlark.operators import annotate as an
-from mudlark.operators import taxonomy
+from mudlark.operators import refdb, taxonomy
+from mudlark.plans import files
+from mudlark.sources import sinks
 
 HIERARCHY = "superclass string, class string, subclass string, subsystem_name string, func string"
 
@@ -95,3 +97,32 @@ def test_contigs_are_shuffled_and_sorted_once(wide):
     best = {k: min(v.items(), key=lambda x: (-x[1], x[0])) for k, v in counts.items()}
     got = {(r.sample_id, r.contig, r["rank"]): (r.taxon, r.n) for r in rows.collect()}
     assert got == best and rows.count() == len(best) and rows.where("fraction > 1 or fraction <= 0").isEmpty()
+
+
+def test_lists_of_clusters_are_written_where_their_rows_lie(wide, monkeypatch):
+    contigs = wide.createDataFrame([("S0", f"c{i}", f"b{i % 7}") for i in range(2000)], "sample_id string, contig_id string, cluster_id string").repartition(5).localCheckpoint()
+    put, lines = files._put, []
+    monkeypatch.setattr(files, "view", lambda spark, sf_dir, name: contigs)
+    monkeypatch.setattr(files, "_put", lambda spark, rows, *more: lines.append(rows) or put(spark, rows, *more))
+    got = {r.contig_id: r.cluster_id for r in files._cluster_lists(wide, "").collect()}
+    assert got == {f"c{i}": f"b{i % 7}" for i in range(2000)}
+    # a sample is not one task: its rows are not moved
+    assert "Exchange" not in plan_of(lines[0]) and "Sort" not in plan_of(lines[0])
+
+
+def test_buckets_of_a_star_follow_its_rows(spark, tmp_path, monkeypatch):
+    subsystems = spark.createDataFrame([(f"s{i % 3}", "c", "d", f"sys{i % 5}", f"role{i}") for i in range(40)], HIERARCHY)
+    linkout = spark.createDataFrame([(f"P{i}", f"fig|{i % 7}.1.peg.{i}") for i in range(5000)], "uniprot_id string, patric_id string")
+    roles = spark.createDataFrame([(f"fig|{i % 7}.1.peg.{i}", f"role{i % 40}") for i in range(5000)], "patric_id string, role string")
+    star = refdb.star_schema(subsystems, linkout, roles)
+    buckets = lambda table: int(spark.sql(f"describe extended {table}").where("col_name = 'Num Buckets'").first().data_type)
+    monkeypatch.setattr(sinks, "BUCKET_ROWS", 100)
+    try:
+        stored = sinks.store_star(star, "grown", str(tmp_path))
+        assert buckets("grown_uniprot_patric_role") == 50 and buckets("grown_roles") == sinks.LEAST_BUCKETS
+        for name, rows in star.items():
+            assert sorted(map(tuple, stored[name].select(rows.columns).collect())) == sorted(map(tuple, rows.collect()))
+        assert refdb.accessions_of_subsystem(stored).count() == refdb.accessions_of_subsystem(star).count() > 0
+    finally:
+        for name in star:
+            spark.sql(f"drop table if exists grown_{name}")
