@@ -6,9 +6,10 @@ from statistics import median
 import pytest
 from pyspark.sql import functions as F
 
+from mudlark.functions import skew
 from mudlark.operators import annotate as an
 from mudlark.operators import refdb, taxonomy
-from mudlark.plans import files
+from mudlark.plans import catalog, files
 from mudlark.sources import sinks
 
 HIERARCHY = "superclass string, class string, subclass string, subsystem_name string, func string"
@@ -126,3 +127,21 @@ def test_buckets_of_a_star_follow_its_rows(spark, tmp_path, monkeypatch):
     finally:
         for name in star:
             spark.sql(f"drop table if exists grown_{name}")
+
+
+def test_a_star_is_built_by_tasks_that_follow_its_rows(wide, monkeypatch):
+    """Whatever the session's partitions: twice the rows are twice the tasks. Half of all genes are of one protein."""
+    subsystems = wide.createDataFrame([(f"s{i % 3}", "c", "d", f"sys{i % 5}", f"role{i}") for i in range(40)], HIERARCHY)
+    trembl = wide.createDataFrame([(f"P{i}", f"role{i % 45}" if i % 9 else None) for i in range(3000)], "uniprot string, func string")
+    monkeypatch.setattr(skew, "TASK_ROWS", 200)
+    for n in (8_000, 16_000):
+        linkout = wide.createDataFrame([(None if i % 50 == 1 else f"P{i % 3500}" if i % 2 else "P7", f"fig|{i % 7}.1.peg.{i * 2 // 3}") for i in range(n)], "uniprot_id string, patric_id string").localCheckpoint()
+        views = {"fx_linkout": linkout, "fx_trembl": trembl, "fx_subsystems": subsystems}
+        monkeypatch.setattr(catalog, "view", lambda spark, sf_dir, name: views[name])
+        got = catalog._new_star(wide, "")["uniprot_patric_role"]
+        sizes = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert len(sizes) == n // 200 and max(sizes) < 4 * 200, sizes
+        assert plan_of(got).count(f", {n // 200}), REPARTITION_BY_NUM") == 4  # both sides of both joins
+        roles = linkout.join(trembl, F.col("uniprot_id") == F.col("uniprot")).select("patric_id", F.col("func").alias("role"))
+        expected = refdb.star_schema(subsystems, linkout, roles)["uniprot_patric_role"]
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect())) and got.count() > n / 2
