@@ -145,3 +145,18 @@ def test_a_star_is_built_by_tasks_that_follow_its_rows(wide, monkeypatch):
         roles = linkout.join(trembl, F.col("uniprot_id") == F.col("uniprot")).select("patric_id", F.col("func").alias("role"))
         expected = refdb.star_schema(subsystems, linkout, roles)["uniprot_patric_role"]
         assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect())) and got.count() > n / 2
+
+
+def test_accessions_of_all_subsystems_take_a_task_for_each_bucket(spark, tmp_path, monkeypatch):
+    subsystems = spark.createDataFrame([("s", "c", "d", f"sys{i % 5}", f"role{i}") for i in range(40)], HIERARCHY)
+    linkout = spark.createDataFrame([(f"P{i}", f"fig|{i % 7}.1.peg.{i}") for i in range(4000)], "uniprot_id string, patric_id string")
+    star = refdb.star_schema(subsystems, linkout, linkout.select("patric_id", F.concat(F.lit("role"), F.pmod(F.xxhash64("patric_id"), F.lit(40)).cast("string")).alias("role")))
+    monkeypatch.setattr(sinks, "BUCKET_ROWS", 100)
+    try:
+        got = refdb.accessions_of_subsystem(sinks.store_star(star, "tasks", str(tmp_path)))
+        assert "Exchange hashpartitioning" not in plan_of(got)
+        sizes = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert len(sizes) == 40 and max(sizes) < 200 and sum(sizes) == 4000, sizes
+    finally:
+        for name in star:
+            spark.sql(f"drop table if exists tasks_{name}")
