@@ -1,6 +1,7 @@
 """Work on larger tables: hits are multiplied last, contigs are shuffled once, files and buckets follow the size of their tables."""
 
 import random
+import re
 from statistics import median
 
 import pytest
@@ -11,6 +12,7 @@ from mudlark.operators import annotate as an
 from mudlark.operators import refdb, taxonomy
 from mudlark.plans import catalog, files
 from mudlark.sources import sinks
+from mudlark.streaming import ingest
 
 HIERARCHY = "superclass string, class string, subclass string, subsystem_name string, func string"
 
@@ -160,3 +162,40 @@ def test_accessions_of_all_subsystems_take_a_task_for_each_bucket(spark, tmp_pat
     finally:
         for name in star:
             spark.sql(f"drop table if exists tasks_{name}")
+
+
+@pytest.fixture
+def guessing(spark, tmp_path):
+    """Gives tables as small, packed files, in a session of 8 shuffle partitions that broadcasts up to so many bytes by the planner's guess."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+
+    def tables_of(threshold="10m", **sizes):
+        for k, v in zip(before, ("8", threshold), strict=True):
+            spark.conf.set(k, v)
+        for i, table in enumerate(made := tables(spark, **sizes)):
+            table.coalesce(1).write.parquet(f"{tmp_path}/{i}")
+        return [spark.read.parquet(f"{tmp_path}/{i}") for i in range(len(made))]
+
+    yield tables_of
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+#: A join whose right side holds copies of heavy keys, and a shuffle of the rows that meet them.
+COPIES_BROADCAST, DEALT = r"BroadcastHashJoin \[[^\]]*salt_", r"Exchange hashpartitioning\((\w+)#\d+, salt_"
+
+
+@pytest.mark.parametrize("whole", [1 << 20, 0])
+def test_ingest_broadcasts_no_copies_of_heavy_functions(guessing, spark, tmp_path, monkeypatch, whole):
+    monkeypatch.setattr(skew, "WHOLE", whole, raising=False)
+    hits, trembl, subsystems, _ = guessing()
+    plans, made = [], lambda *of: (rows := an.annotate(*of), plans.append(plan_of(rows)))[0]
+    monkeypatch.setattr(ingest, "annotate", made)
+    line = F.concat_ws("\t", "uniref_id", "n_aligned", F.lit("0.5\t0.5\t0.5"), "taxid", F.lit("species\tx"))
+    hits.select("sample_id", line.alias("value")).write.partitionBy("sample_id").text(f"{tmp_path}/in")
+    ingest.ingest_hits(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/kept", trembl, subsystems).awaitTermination()
+    assert plans and not any(re.search(COPIES_BROADCAST, p) for p in plans), plans
+    assert all(("salt_" in p) == (not whole) for p in plans)
+    names = ["uniref_id", "n_aligned", "func", *an.HIERARCHY, "n_subsystems"]
+    got = spark.read.parquet(f"{tmp_path}/out").select(names)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain(hits, trembl, subsystems).select(names).collect()))
