@@ -199,3 +199,20 @@ def test_ingest_broadcasts_no_copies_of_heavy_functions(guessing, spark, tmp_pat
     names = ["uniref_id", "n_aligned", "func", *an.HIERARCHY, "n_subsystems"]
     got = spark.read.parquet(f"{tmp_path}/out").select(names)
     assert sorted(map(str, got.collect())) == sorted(map(str, plain(hits, trembl, subsystems).select(names).collect()))
+
+
+@pytest.mark.parametrize("mode", ["a"])
+@pytest.mark.parametrize("whole", [1 << 20, 0])
+def test_top_hits_broadcast_no_copies_of_heavy_functions(guessing, monkeypatch, mode, whole):
+    monkeypatch.setattr(skew, "WHOLE", whole, raising=False)
+    hits, trembl, subsystems, _ = guessing()
+    rows = an.top_hits(hits, trembl, subsystems, mode)
+    plan = plan_of(rows)
+    assert not re.search(COPIES_BROADCAST, plan) and ("salt_" in plan) == (not whole), plan
+    names = ["dna_id", "row_no", "func", *an.HIERARCHY]
+    expected = plain(hits, trembl, subsystems)
+    expected = expected.where(an.has_subsystem()) if mode == "s" else expected
+    if mode == "r":
+        draw = F.md5(F.concat_ws("|", F.lit("0"), "dna_id", "uniref_id", "row_no", *[F.coalesce(c, F.lit("")) for c in an.HIERARCHY]))
+        expected = expected.groupBy("sample_id", "dna_id").agg(F.min_by(F.struct(*names[1:]), draw).alias("x")).select("dna_id", "x.*")
+    assert sorted(map(str, rows.select(names).collect())) == sorted(map(str, expected.select(names).collect()))
