@@ -201,7 +201,7 @@ def test_ingest_broadcasts_no_copies_of_heavy_functions(guessing, spark, tmp_pat
     assert sorted(map(str, got.collect())) == sorted(map(str, plain(hits, trembl, subsystems).select(names).collect()))
 
 
-@pytest.mark.parametrize("mode", ["a", "r"])
+@pytest.mark.parametrize("mode", ["a", "r", "s"])
 @pytest.mark.parametrize("whole", [1 << 20, 0])
 def test_top_hits_broadcast_no_copies_of_heavy_functions(guessing, monkeypatch, mode, whole):
     monkeypatch.setattr(skew, "WHOLE", whole, raising=False)
