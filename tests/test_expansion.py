@@ -216,3 +216,14 @@ def test_top_hits_broadcast_no_copies_of_heavy_functions(guessing, monkeypatch,
         draw = F.md5(F.concat_ws("|", F.lit("0"), "dna_id", "uniref_id", "row_no", *[F.coalesce(c, F.lit("")) for c in an.HIERARCHY]))
         expected = expected.groupBy("sample_id", "dna_id").agg(F.min_by(F.struct(*names[1:]), draw).alias("x")).select("dna_id", "x.*")
     assert sorted(map(str, rows.select(names).collect())) == sorted(map(str, expected.select(names).collect()))
+
+
+def test_hits_are_shuffled_for_large_tables_only(guessing, monkeypatch):
+    """Lineages and subsystems are small by their bytes, whatever the planner would broadcast: hits are shuffled by accession, and not with their lineage."""
+    monkeypatch.setattr(skew, "WHOLE", 1000, raising=False)
+    hits, trembl, subsystems, lineage = guessing("1", n_systems=2)
+    rows = an.annotate(hits, trembl, subsystems, lineage)
+    assert re.findall(DEALT, plan_of(rows)) == ["accession"], plan_of(rows)
+    names = ["row_no", "func", *an.HIERARCHY, "n_subsystems", "lineage"]
+    expected = an.with_lineage(plain(hits, trembl, subsystems), lineage)
+    assert sorted(map(str, rows.select(names).collect())) == sorted(map(str, expected.select(names).collect()))
